@@ -121,14 +121,14 @@ def enriched_flat(r: StarRetail) -> DataFrame:
 
 def filtered_lines(r: StarRetail) -> DataFrame:
     """Revenue per day and category-filtered product of the lines that pass the report filters."""
-    orders = filters.by_date(r.orders, *DATES).select("transaction_id", "date")
+    orders = filters.by_date(r.orders, *DATES, column="timestamp").select("transaction_id", "date")
     lines = r.items.join(orders, "transaction_id")
     kept = filters.by_category(lines, r.product_dim(), CATEGORIES, r.hot_keys("items", "product_id"))
     return kept.groupBy("date", "product_id").agg(F.sum("subtotal").alias("revenue"), F.count("*").alias("lines"))
 
 
 def filtered_sessions(r: StarRetail) -> DataFrame:
-    return filters.by_province(filters.by_date(r.sessions, *SESSION_DATES, column="start_time"), PROVINCES)
+    return filters.by_province(r.sessions_between(*SESSION_DATES), PROVINCES)
 
 
 def filtered_page_views(r: StarRetail) -> DataFrame:
@@ -175,7 +175,7 @@ CATALOG: dict[str, Query] = {
     "monthly_revenue": lambda r: commerce.monthly_revenue(r.transactions()),
     "payment_methods": lambda r: commerce.payment_methods(r.transactions()),
     # key access
-    "user_sessions": lambda r: lookup.user_sessions(r.sessions, ONE_USER),
+    "user_sessions": lambda r: lookup.user_sessions(r.sessions_of(ONE_USER), ONE_USER),
     "sessions_by_key": lambda r: lookup.sessions_by_key(r.sessions, SCAN_ROWS),
     "recent_sessions": lambda r: lookup.recent_sessions(r.sessions, SCAN_ROWS),
     "product_metrics_for": lambda r: lookup.product_metrics_for(metrics_of(r, ONE_PRODUCT), ONE_PRODUCT),
@@ -186,17 +186,17 @@ CATALOG: dict[str, Query] = {
     "also_bought": recommendations,
     "search_recommendations": lambda r: recommend.search_recommendations(recommendations(r), SEARCH),
     # cohorts
-    "cohort_activity": lambda r: cohort.cohort_activity(r.orders, r.users, r.hot_keys("orders", "user_id")),
-    "cohort_spending": lambda r: cohort.cohort_spending(r.orders, r.users),
-    "cohort_spending_matrix": lambda r: cohort.pivot_offsets(cohort.cohort_cells(r.orders, r.users), "revenue", OFFSETS),
-    "cohort_summary": lambda r: cohort.cohort_summary(r.orders, r.users),
-    "cohort_retention": lambda r: cohort.cohort_retention(r.orders, r.users),
+    "cohort_activity": lambda r: cohort.cohort_activity(r.orders, r.registrations, r.hot_keys("orders", "user_id")),
+    "cohort_spending": lambda r: cohort.cohort_spending(r.orders, r.registrations),
+    "cohort_spending_matrix": lambda r: cohort.pivot_offsets(cohort.cohort_cells(r.orders, r.registrations), "revenue", OFFSETS),
+    "cohort_summary": lambda r: cohort.cohort_summary(r.orders, r.registrations),
+    "cohort_retention": lambda r: cohort.cohort_retention(r.orders, r.registrations),
     "cohort_retention_matrix": lambda r: cohort.pivot_offsets(
-        cohort.cohort_cells(r.orders, r.users).withColumn("active_users", F.col("active_users").cast("double")), "active_users", OFFSETS),
-    "cohort_retention_pct": lambda r: cohort.cohort_retention_pct(r.orders, r.users),
-    "cohort_spending_calendar": lambda r: cohort.cohort_spending_calendar(r.sales("user_id", "date"), r.users),
+        cohort.cohort_cells(r.orders, r.registrations).withColumn("active_users", F.col("active_users").cast("double")), "active_users", OFFSETS),
+    "cohort_retention_pct": lambda r: cohort.cohort_retention_pct(r.orders, r.registrations),
+    "cohort_spending_calendar": lambda r: cohort.cohort_spending_calendar(r.order_revenue("user_id", "date"), r.registrations),
     "cohort_spending_calendar_matrix": lambda r: cohort.pivot_months(
-        cohort.cohort_spending_calendar(r.sales("user_id", "date"), r.users), MONTHS),
+        cohort.cohort_spending_calendar(r.order_revenue("user_id", "date"), r.registrations), MONTHS),
     # sales and session reports
     "top_products": lambda r: commerce.top_products(r.items, r.product_dim()),
     "device_behaviour": lambda r: sessions.device_behaviour(r.sessions),
@@ -225,7 +225,7 @@ CATALOG: dict[str, Query] = {
     "cart_abandonment_by_device": lambda r: funnel.cart_abandonment_by_device(flags(r)),
     # chart data sets
     "weekly_category_revenue": lambda r: insights.weekly_category_revenue(r.sales("date"), r.product_dim()),
-    "weekly_revenue": lambda r: insights.weekly_revenue(r.sales("date")),
+    "weekly_revenue": lambda r: insights.weekly_revenue(r.order_revenue("date")),
     "category_concentration": lambda r: insights.category_concentration(r.items, r.product_dim()),
     "customer_tiers": lambda r: tiered(r).select("user_id", "province", "total_spent", "total_orders", "tier"),
     "tiers_by_province": lambda r: insights.tiers_by_province(tiered(r)),
@@ -240,13 +240,13 @@ CATALOG: dict[str, Query] = {
     "filtered_users": lambda r: filters.by_province(r.customers, PROVINCES),
     "filtered_sessions": lambda r: filtered_sessions(r).select("session_id", "province", "start_time"),
     "filtered_page_views": filtered_page_views,
-    "overview_kpis": lambda r: insights.overview_kpis(r.sales("date"), r.customers, r.sessions),
-    "daily_revenue_lines": lambda r: insights.daily_revenue_lines(r.sales("date")),
+    "overview_kpis": lambda r: insights.overview_kpis(r.order_revenue("date"), r.items, r.customers, r.sessions),
+    "daily_revenue_lines": lambda r: insights.daily_revenue_lines(r.order_revenue("date")),
     "category_revenue": lambda r: insights.category_revenue(r.items, r.product_dim()),
-    "payment_revenue": lambda r: insights.payment_revenue(r.sales("payment_method")),
-    "status_payment_revenue": lambda r: insights.status_payment_revenue(r.sales("status", "payment_method")),
-    "monthly_changes": lambda r: insights.monthly_changes(r.sales("date")),
-    "monthly_volume": lambda r: insights.monthly_volume(r.sales("date")),
+    "payment_revenue": lambda r: insights.payment_revenue(r.order_revenue("payment_method")),
+    "status_payment_revenue": lambda r: insights.status_payment_revenue(r.order_revenue("status", "payment_method")),
+    "monthly_changes": lambda r: insights.monthly_changes(r.order_revenue("date")),
+    "monthly_volume": lambda r: insights.monthly_volume(r.order_revenue("date")),
     "tier_summary": lambda r: insights.tier_summary(tiered(r), ["VIP", "Regular", "Low"]),
     "registrations": lambda r: insights.registrations(r.users),
     "top_provinces": lambda r: insights.top_provinces(user_totals(r)),
@@ -278,7 +278,7 @@ CATALOG: dict[str, Query] = {
     "status_share": lambda r: insights.status_share(insights.orders_with_items(r.orders, r.items)),
     "cart_value_histogram": lambda r: insights.cart_value_histogram(r.carts),
     "cart_value_quartiles": lambda r: insights.cart_value_quartiles(r.carts),
-    "discount_bridge": lambda r: insights.discount_bridge(r.order_amounts(), r.orders),
+    "discount_bridge": lambda r: insights.discount_bridge(r.order_revenue("total")),
     "refund_rate_by_category": lambda r: insights.refund_rate_by_category(
         r.items, r.orders, r.product_dim(), r.hot_keys("items", "product_id")),
     "abandonment_by_referrer_device": lambda r: insights.abandonment_by_referrer_device(r.sessions),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from datetime import date, timedelta
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
@@ -58,3 +60,12 @@ def session_row_key(user_id: str, ts: str) -> Column:
 def row_key_user(key: Column | str) -> Column:
     """User part of a row key: everything before the last underscore."""
     return F.regexp_extract(key, "^(.*)_([^_]*)$", 1)
+
+
+def by_date(df: DataFrame, start: date | None, end: date | None, column: str = "date") -> DataFrame:
+    """Days from ``start`` to ``end``, both included, for date and timestamp columns alike."""
+    if start is not None:
+        df = df.filter(F.col(column) >= F.lit(start))
+    if end is not None:
+        df = df.filter(F.col(column) < F.lit(end + timedelta(days=1)))
+    return df

@@ -6,9 +6,6 @@ partitions are merged. Means and rates are taken as doubles at the very end.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, functions as F
 
 MONEY = "decimal(18,2)"
@@ -58,9 +55,5 @@ def sample_stddev(n: Column, total: Column, total_sq: Column) -> Column:
     return F.sqrt(ratio(spread, n * (n - F.lit(1))))
 
 
-def count_set_bits(cols: list[Column]) -> Column:
-    return reduce(add, [F.bit_count(c) for c in cols])
-
-
 def _col(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col

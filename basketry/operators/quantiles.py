@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from basketry.functions.numeric import dbl, half_up
 
@@ -12,52 +12,57 @@ QUARTILES = (0.25, 0.5, 0.75)
 ACCURACY = 10000
 
 
-def summary_by(df: DataFrame, group: str, value: str, probs: Sequence[float] = QUARTILES, digits: int = 2) -> DataFrame:
-    """``group, n, min, max`` and one interpolated quantile per probability (``q25`` ...).
+def summary_by(df: DataFrame, value: str, group: str | None = None, probs: Sequence[float] = QUARTILES, digits: int = 2,
+               extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """``n, min, max`` and one interpolated quantile per probability (``q25`` ...), per group or over all rows.
 
     Sorting a group in one task would not survive a group holding most rows.
     A sketch first gives, for every group and probability, two values that are
     guaranteed to enclose the wanted rank; only the value frequencies between
     them are ordered, everything below is folded into one counter while the
     frequencies are combined. The answer is exact, the sketch only narrows it.
+    ``extra`` aggregates are taken along in the first pass.
     """
-    rows = df.select(F.col(group).alias("_g"), dbl(value).alias("_v")).filter("_v IS NOT NULL")
+    rows = df.withColumn("_v", dbl(value)).withColumn("_g", F.col(group) if group else F.lit(0))
     margin = 3.0 / ACCURACY
     lows = [max(0.0, p - margin) for p in probs]
     highs = [min(1.0, p + margin) for p in probs]
-    sketch = rows.groupBy("_g").agg(
-        F.count("*").alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"),
+    kept = ["n", "min", "max", *(extra or {})]
+    sketch = rows.groupBy(*(["_g"] if group else [])).agg(
+        F.count("_v").alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"),
         F.percentile_approx("_v", lows, ACCURACY).alias("_lo"), F.percentile_approx("_v", highs, ACCURACY).alias("_hi"),
+        *[c.alias(name) for name, c in (extra or {}).items()],
     )
     # Below ACCURACY rows the sketch margin is less than a row: use the whole range.
     small = F.col("n") < ACCURACY
-    brackets = sketch.select(
-        "_g", "n", "min", "max",
-        F.explode(F.array(*[
-            F.struct(
-                F.lit(i).alias("q"), F.lit(p).alias("p"),
-                F.when(small, F.col("min")).otherwise(F.col("_lo")[i]).alias("lo"),
-                F.when(small, F.col("max")).otherwise(F.col("_hi")[i]).alias("hi"),
-            )
-            for i, p in enumerate(probs)
-        ])).alias("b"),
-    ).select("_g", "n", "min", "max", "b.*")
-
-    frequencies = rows.groupBy("_g", "_v").agg(F.count("*").alias("_c"))
+    brackets = F.array(*[
+        F.struct(
+            F.lit(i).alias("q"), F.lit(p).alias("p"),
+            F.when(small, F.col("min")).otherwise(F.col("_lo")[i]).alias("lo"),
+            F.when(small, F.col("max")).otherwise(F.col("_hi")[i]).alias("hi"),
+        )
+        for i, p in enumerate(probs)
+    ])
+    narrowed = sketch.select(*(["_g"] if group else []), F.struct(*kept, brackets.alias("brackets")).alias("_s"))
+
+    frequencies = rows.filter("_v IS NOT NULL").groupBy("_g", "_v").agg(F.count("*").alias("_c"))
+    placed = frequencies.join(narrowed, "_g") if group else frequencies.withColumn("_s", narrowed.scalar())
+    wanted = placed.select("_g", "_v", "_c", *[F.col(f"_s.{c}").alias(c) for c in kept], F.explode("_s.brackets").alias("_b"))
+    keys = ["_g", *kept, "q", "p"]
     folded = (
-        frequencies.join(brackets, "_g").filter("_v <= hi")
-        .groupBy("_g", "n", "min", "max", "q", "p", F.when(F.col("_v") >= F.col("lo"), F.col("_v")).alias("_v"))
-        .agg(F.sum("_c").alias("_c"))
+        wanted.select("_g", "_v", "_c", *kept, "_b.*").filter("_v <= hi")
+        .groupBy(*keys, F.when(F.col("_v") >= F.col("lo"), F.col("_v")).alias("_v")).agg(F.sum("_c").alias("_c"))
     )
     so_far = Window.partitionBy("_g", "q").orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, 0)
     ranked = folded.withColumn("_upto", F.sum("_c").over(so_far))
     rank = (F.col("n") - 1) * F.col("p")
-    at = ranked.groupBy("_g", "n", "min", "max", "q", "p").agg(
+    at = ranked.groupBy(*keys).agg(
         F.min(F.when(F.col("_upto") > F.floor(rank), F.col("_v"))).alias("_below"),
         F.min(F.when(F.col("_upto") > F.floor(rank) + 1, F.col("_v"))).alias("_above"),
     )
     below, above = F.col("_below"), F.coalesce("_above", "_below")
     exact = at.withColumn("_x", half_up(below + (above - below) * (rank - F.floor(rank)), digits))
-    return exact.groupBy(F.col("_g").alias(group), "n", "min", "max").agg(
+    result = exact.groupBy("_g", *kept).agg(
         *[F.max(F.when(F.col("q") == i, F.col("_x"))).alias(f"q{round(p * 100):02d}") for i, p in enumerate(probs)]
     )
+    return result.withColumnRenamed("_g", group) if group else result.drop("_g")

@@ -25,19 +25,7 @@ def most_frequent(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     return counts.groupBy(*group).agg(F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias(value))
 
 
-def moving_mean_rows(value: str, order: str, rows: int) -> Column:
-    """Mean over the current and the previous rows (gaps in dates are not filled).
-
-    For frames already reduced to one row per period only.
-    """
-    return F.avg(value).over(Window.orderBy(order).rowsBetween(1 - rows, 0))
-
-
 def over_rows(agg: Column, order: str, rows: int | None = None) -> Column:
     """``agg`` over the last ``rows`` rows, or over all rows so far. Reduced frames only."""
     start = Window.unboundedPreceding if rows is None else 1 - rows
     return agg.over(Window.orderBy(order).rowsBetween(start, 0))
-
-
-def previous(value: str, order: str) -> Column:
-    return F.lag(value).over(Window.orderBy(order))

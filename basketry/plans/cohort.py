@@ -67,9 +67,9 @@ def cohort_summary(orders: DataFrame, users: DataFrame) -> DataFrame:
     ).withColumn("avg_order_value", mean("total_revenue", "total_transactions", 2)).orderBy("cohort")
 
 
-def cohort_spending_calendar(sales: DataFrame, users: DataFrame) -> DataFrame:
+def cohort_spending_calendar(order_revenue: DataFrame, users: DataFrame) -> DataFrame:
     """Line revenue per cohort and calendar month; users without a date form their own cohort."""
-    monthly = sales.groupBy("user_id", year_month("date").alias("activity_month")).agg(F.sum("subtotal").alias("_rev"))
+    monthly = order_revenue.groupBy("user_id", year_month("date").alias("activity_month")).agg(F.sum("subtotal").alias("_rev"))
     labelled = monthly.join(cohorts(users), "user_id", "left")
     return labelled.groupBy(F.coalesce("cohort", F.lit("Unknown")).alias("cohort_month"), "activity_month").agg(
         F.sum("_rev").alias("revenue")

@@ -3,22 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
+from basketry.functions.calendar import by_date  # noqa: F401  (one of the report filters)
 from basketry.operators.joins import HotKeys, attach
 
 
-def by_date(df: DataFrame, start: date | None, end: date | None, column: str = "date") -> DataFrame:
-    """Days from ``start`` to ``end``, both included, for date and timestamp columns alike."""
-    if start is not None:
-        df = df.filter(F.col(column) >= F.lit(start))
-    if end is not None:
-        df = df.filter(F.col(column) < F.date_add(F.lit(end), 1))
-    return df
-
-
 def by_province(df: DataFrame, provinces: Sequence[str] | None) -> DataFrame:
     return df if provinces is None else df.filter(F.col("province").isin(*provinces))
 

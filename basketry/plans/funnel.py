@@ -96,11 +96,15 @@ def cart_abandonment_by_device(flags: DataFrame) -> DataFrame:
 
 def device_funnel(sessions: DataFrame) -> DataFrame:
     """Stage counts per device and overall, with the share of the first stage."""
-    totals = sessions.rollup("device_type").agg(
-        F.grouping("device_type").alias("_all"), F.count("*").alias("total_sessions"),
-        F.count_if(F.col("viewed_products") > 0).alias("viewed_products"),
-        F.count_if(F.col("cart_items") > 0).alias("added_to_cart"),
-        F.count_if(F.col("conversion_status") == "converted").alias("converted"),
+    stages = {
+        "total_sessions": F.count("*"),
+        "viewed_products": F.count_if(F.col("viewed_products") > 0),
+        "added_to_cart": F.count_if(F.col("cart_items") > 0),
+        "converted": F.count_if(F.col("conversion_status") == "converted"),
+    }
+    per_device = sessions.groupBy("device_type").agg(*[c.alias(name) for name, c in stages.items()])
+    totals = per_device.rollup("device_type").agg(
+        F.grouping("device_type").alias("_all"), *[F.sum(name).alias(name) for name in stages]
     )
     n = F.col("total_sessions")
     return totals.select(

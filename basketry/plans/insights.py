@@ -17,7 +17,7 @@ from basketry.functions.segments import SEGMENT_BOUNDS, SEGMENT_LABELS, segment,
 from basketry.functions.text import product_label, share_label, thousands
 from basketry.operators.joins import HotKeys, attach
 from basketry.operators.quantiles import summary_by
-from basketry.operators.ranking import over_rows, previous, top_k
+from basketry.operators.ranking import over_rows, top_k
 
 STATUSES = ("completed", "shipped", "processing", "refunded")
 
@@ -56,8 +56,8 @@ def weekly_category_revenue(sales: DataFrame, product_dim: DataFrame, top: int =
     return weekly.join(leaders, "category", "left_semi").select("week", "category", "revenue").orderBy("week", "category")
 
 
-def weekly_revenue(sales: DataFrame) -> DataFrame:
-    return sales.groupBy(week_start("date").alias("week")).agg(F.sum("subtotal").alias("revenue")).orderBy("week")
+def weekly_revenue(order_revenue: DataFrame) -> DataFrame:
+    return order_revenue.groupBy(week_start("date").alias("week")).agg(F.sum("subtotal").alias("revenue")).orderBy("week")
 
 
 def category_revenue(items: DataFrame, product_dim: DataFrame) -> DataFrame:
@@ -79,52 +79,55 @@ def category_concentration(items: DataFrame, product_dim: DataFrame, top: int =
     )
 
 
-def daily_revenue_lines(sales: DataFrame) -> DataFrame:
+def daily_revenue_lines(order_revenue: DataFrame) -> DataFrame:
     """Line revenue per day with the mean of the last seven rows."""
-    daily = sales.groupBy("date").agg(F.sum("subtotal").alias("revenue"))
+    daily = order_revenue.groupBy("date").agg(F.sum("subtotal").alias("revenue"))
     return daily.select(
         "date", "revenue",
         half_up(ratio(over_rows(F.sum("revenue"), "date", 7), over_rows(F.count("revenue"), "date", 7)), 4).alias("avg_7d"),
     ).orderBy("date")
 
 
-def payment_revenue(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("payment_method").agg(F.sum("subtotal").alias("revenue")).orderBy("payment_method")
+def payment_revenue(order_revenue: DataFrame) -> DataFrame:
+    return order_revenue.groupBy("payment_method").agg(F.sum("subtotal").alias("revenue")).orderBy("payment_method")
 
 
-def status_payment_revenue(sales: DataFrame) -> DataFrame:
-    """Revenue by (status, method) with totals per status and overall (NULL = all)."""
-    return sales.rollup("status", "payment_method").agg(F.sum("subtotal").alias("revenue"))
+def status_payment_revenue(order_revenue: DataFrame) -> DataFrame:
+    """Revenue by (status, method) with totals per status and overall (NULL = all).
+
+    The totals are rolled up from the few (status, method) cells, not from the orders.
+    """
+    cells = order_revenue.groupBy("status", "payment_method").agg(F.sum("subtotal").alias("revenue"))
+    return cells.rollup("status", "payment_method").agg(F.sum("revenue").alias("revenue"))
 
 
-def monthly_changes(sales: DataFrame) -> DataFrame:
+def monthly_changes(order_revenue: DataFrame) -> DataFrame:
     """Revenue per month, its change to the month before (the first is absolute), and a
     closing row: where the changes add up to."""
-    monthly = sales.groupBy(year_month("date").alias("month")).agg(F.sum("subtotal").alias("revenue"))
-    before = previous("revenue", "month")
-    steps = monthly.select(
-        "month", "revenue", F.when(before.isNull(), F.col("revenue")).otherwise(F.col("revenue") - before).alias("delta"),
+    monthly = order_revenue.groupBy(year_month("date").alias("month")).agg(F.sum("subtotal").alias("revenue"))
+    months = Window.orderBy("month")
+    revenue, before = F.col("revenue"), F.lag("revenue").over(months)
+    step = F.struct(
+        F.col("month"), revenue.alias("revenue"), (revenue - F.coalesce(before, F.lit(0))).alias("delta"),
         F.when(before.isNull(), "absolute").otherwise("relative").alias("measure"),
     )
-    total = steps.agg(F.lit("Total").alias("month"), F.sum("delta").alias("revenue"), F.lit(0).alias("delta"), F.lit("total").alias("measure"))
-    return steps.unionByName(total)
+    closing = F.struct(F.lit("Total").alias("month"), revenue.alias("revenue"), (revenue - revenue).alias("delta"), F.lit("total").alias("measure"))
+    is_last = F.lead("month").over(months).isNull()
+    return monthly.select(step.alias("step"), F.when(is_last, closing).alias("closing")).select(
+        F.explode(F.filter(F.array("step", "closing"), lambda r: r.isNotNull())).alias("r")
+    ).select("r.*")
 
 
-def monthly_volume(sales: DataFrame) -> DataFrame:
+def monthly_volume(order_revenue: DataFrame) -> DataFrame:
     """Revenue and order lines per month."""
-    return sales.groupBy(year_month("date").alias("month")).agg(
-        F.sum("subtotal").alias("revenue"), F.count("*").alias("order_lines")
+    return order_revenue.groupBy(year_month("date").alias("month")).agg(
+        F.sum("subtotal").alias("revenue"), F.sum("lines").alias("order_lines")
     ).orderBy("month")
 
 
-def overview_kpis(sales: DataFrame, users: DataFrame, sessions: DataFrame, target_factor: float = 1.2) -> DataFrame:
-    """One row of headline figures.
-
-    Revenue per day and distinct products come from one frame reduced to
-    (product, day); the last 30 days are measured from the last day of sale.
-    """
-    cells = sales.groupBy("product_id", "date").agg(F.sum("subtotal").alias("revenue"))
-    daily = cells.groupBy("date").agg(F.sum("revenue").alias("revenue"))
+def overview_kpis(order_revenue: DataFrame, items: DataFrame, users: DataFrame, sessions: DataFrame, target_factor: float = 1.2) -> DataFrame:
+    """One row of headline figures; the last 30 days are measured from the last day of sale."""
+    daily = order_revenue.groupBy("date").agg(F.sum("subtotal").alias("revenue"))
     last = daily.withColumn("_last", F.max("date").over(Window.partitionBy(F.lit(1))))
     recent = F.col("date") >= F.date_sub("_last", 30)
     prior = (F.col("date") >= F.date_sub("_last", 60)) & ~recent
@@ -134,7 +137,7 @@ def overview_kpis(sales: DataFrame, users: DataFrame, sessions: DataFrame, targe
         F.coalesce(F.sum(F.when(recent, F.col("revenue"))), zero).alias("last_30d"),
         F.coalesce(F.sum(F.when(prior, F.col("revenue"))), zero).alias("prior_30d"),
     )
-    products = cells.select("product_id").distinct().agg(F.count("product_id").alias("n"))
+    products = items.select("product_id").distinct().agg(F.count("product_id").alias("n"))
     people = users.select("user_id").distinct().agg(F.count("user_id").alias("n"))
     visits = sessions.agg(F.struct(
         F.count("*").alias("n"),
@@ -172,7 +175,8 @@ def best_products(stats: DataFrame, by: str, k: int = 15) -> DataFrame:
 def product_insight(items: DataFrame, product_dim: DataFrame, k: int = 15) -> DataFrame:
     """Best product by revenue and by units, revenue share of the top ``k``, and how many products were sold."""
     stats = product_revenue(items)
-    best = top_k(stats, "revenue", k, ["product_id"]).agg(F.sum("revenue").alias("r"))
+    # Reads the same columns as the totals below, so both share one shuffle of the items.
+    best = top_k(stats, "revenue", k, ["product_id"]).agg(F.struct(F.sum("revenue").alias("r"), F.sum("quantity").alias("q")).alias("b"))
     first = {m: F.min_by(F.struct("product_id", m), F.struct(-F.col(m), "product_id")) for m in ("revenue", "quantity")}
     row = stats.agg(
         first["revenue"].alias("_earner"), first["quantity"].alias("_mover"),
@@ -180,7 +184,7 @@ def product_insight(items: DataFrame, product_dim: DataFrame, k: int = 15) -> Da
     ).select(
         F.col("_earner.product_id").alias("_p1"), F.col("_earner.revenue").alias("top_revenue"),
         F.col("_mover.product_id").alias("_p2"), F.col("_mover.quantity").alias("top_quantity"),
-        pct(best.scalar(), "_all").alias("top_share_pct"), "products_sold",
+        pct(best.scalar()["r"], "_all").alias("top_share_pct"), "products_sold",
     )
     for key, name in (("_p1", "top_revenue_product"), ("_p2", "top_quantity_product")):
         row = row.join(product_dim.select(F.col("product_id").alias(key), F.col("name").alias(name)), key, "left")
@@ -274,7 +278,7 @@ def active_users(tiered: DataFrame) -> DataFrame:
 
 def spend_distribution(tiered: DataFrame) -> DataFrame:
     """Extremes and exact quartiles of spend per tier, active users only."""
-    return summary_by(tiered.filter("total_orders > 0"), "tier", "total_spent")
+    return summary_by(tiered.filter("total_orders > 0"), "total_spent", "tier")
 
 
 def registrations(users: DataFrame) -> DataFrame:
@@ -349,14 +353,13 @@ def cart_value_histogram(carts: DataFrame, bins: int = 40) -> DataFrame:
 
 
 def cart_value_quartiles(carts: DataFrame) -> DataFrame:
-    return summary_by(cart_totals(carts).withColumn("scope", F.lit("all")), "scope", "cart_total")
+    return summary_by(cart_totals(carts), "cart_total").withColumn("scope", F.lit("all"))
 
 
-def discount_bridge(order_amounts: DataFrame, orders: DataFrame) -> DataFrame:
+def discount_bridge(order_revenue: DataFrame) -> DataFrame:
     """Gross, discount, net and discount share over orders with items."""
-    joined = order_amounts.join(orders.select("transaction_id", "total"), "transaction_id")
     gross, discount = F.sum("subtotal"), F.sum("discount")
-    return joined.agg(
+    return order_revenue.agg(
         gross.alias("gross"), F.round(discount, 2).alias("discount"), F.sum("total").alias("net"),
         pct(discount, gross).alias("discount_pct"),
     )

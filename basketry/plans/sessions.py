@@ -109,17 +109,11 @@ def page_type_filter(page_views: DataFrame, page_types: Sequence[str] | None = N
 
 
 def page_view_kpis(page_views: DataFrame) -> DataFrame:
-    """Totals, mean views per session, mean duration and the most viewed page type (ties: first by name).
-
-    Views are combined per (session, page type) once; session and type counts
-    both come from those cells.
-    """
-    cells = page_views.groupBy("session_id", "page_type").agg(
+    """Totals, mean views per session, mean duration and the most viewed page type (ties: first by name)."""
+    per_session = page_views.groupBy("session_id").agg(
         F.count("*").alias("n"), F.sum("view_duration").alias("spent"), F.count("view_duration").alias("timed")
     )
-    totals = ("n", "spent", "timed")
-    per_session = cells.groupBy("session_id").agg(*[F.sum(c).alias(c) for c in totals])
-    types = cells.groupBy("page_type").agg(F.sum("n").alias("n"))
+    types = page_views.groupBy("page_type").agg(F.count("*").alias("n"))
     top_type = types.agg(F.min_by("page_type", F.struct(-F.col("n"), "page_type")).alias("t"))
     return per_session.agg(
         F.sum("n").alias("total_views"), mean(F.sum("n"), F.count("*"), 2).alias("avg_views_per_session"),
@@ -129,11 +123,11 @@ def page_view_kpis(page_views: DataFrame) -> DataFrame:
 
 def page_type_stats(page_views: DataFrame) -> DataFrame:
     """Views, mean duration, extremes and exact quartiles of the duration per page type."""
-    basic = page_views.groupBy("page_type").agg(
-        F.count("*").alias("views"), mean(F.sum("view_duration"), F.count("view_duration"), 2).alias("avg_duration")
-    )
-    spread = summary_by(page_views, "page_type", "view_duration").drop("n")
-    return basic.join(spread, "page_type", "left").orderBy("page_type")
+    extra = {
+        "views": F.count("*"),
+        "avg_duration": mean(F.sum("view_duration"), F.count("view_duration"), 2),
+    }
+    return summary_by(page_views, "view_duration", "page_type", extra=extra).drop("n").orderBy("page_type")
 
 
 def daily_page_views(page_views: DataFrame) -> DataFrame:

@@ -119,7 +119,8 @@ class DocumentRetail(Retail):
 
     def order_amounts(self) -> DataFrame:
         with_items = self.entities["transactions"].filter(F.size("items") > 0)
-        return with_items.select("transaction_id", money("subtotal").alias("subtotal"), money("discount").alias("discount"))
+        return with_items.select("transaction_id", money("subtotal").alias("subtotal"), money("discount").alias("discount"),
+                                 F.size("items").cast("bigint").alias("lines"))
 
     @cached_property
     def products(self) -> DataFrame:

@@ -63,15 +63,29 @@ class Retail:
         return attach(self.items, header, "transaction_id", hot=self.hot_keys("items", "transaction_id"))
 
     def order_amounts(self) -> DataFrame:
-        """``subtotal`` and ``discount`` per transaction that has items."""
+        """``subtotal``, ``discount`` and number of ``lines`` per transaction that has items."""
         return self.items.groupBy("transaction_id").agg(
-            F.sum("subtotal").alias("subtotal"), F.sum("line_discount").alias("discount")
+            F.sum("subtotal").alias("subtotal"), F.sum("line_discount").alias("discount"), F.count("*").alias("lines")
         )
 
+    def order_revenue(self, *order_columns: str) -> DataFrame:
+        """Amounts of the transactions that have items, with the named columns of their order.
+
+        For reports that do not look at products: items are reduced to one row
+        per transaction before the join, so both sides are unique on the key and
+        a transaction with very many lines needs no special care.
+        """
+        return self.order_amounts().join(self.orders.select("transaction_id", *order_columns), "transaction_id")
+
+    @property
+    def registrations(self) -> DataFrame:
+        """``user_id, registration_date``"""
+        return self.users.select("user_id", "registration_date")
+
     def transactions(self) -> DataFrame:
         """Orders with their amounts; orders without items have zero amounts."""
         zero = F.lit(0).cast("decimal(18,2)")
-        return self.orders.join(self.order_amounts(), "transaction_id", "left").withColumns(
+        return self.orders.join(self.order_amounts().drop("lines"), "transaction_id", "left").withColumns(
             {"subtotal": F.coalesce("subtotal", zero), "discount": F.coalesce("discount", zero)}
         )
 

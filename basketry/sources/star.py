@@ -12,11 +12,12 @@ The mapping is fixed and stated here once; nothing is invented per query.
 
 from __future__ import annotations
 
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from basketry.functions.calendar import seconds_between
+from basketry.functions.calendar import by_date, seconds_between
 from basketry.functions.numeric import half_up_money, money
 from basketry.sources.retail import Retail
 
@@ -113,10 +114,14 @@ class StarRetail(Retail):
             .select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"), "city", "province")
         )
 
+    @cached_property
+    def registrations(self) -> DataFrame:
+        """First order per user; needs the orders only."""
+        return self.orders.groupBy("user_id").agg(F.min("timestamp").alias("registration_date"))
+
     @cached_property
     def users(self) -> DataFrame:
-        first = self.orders.groupBy("user_id").agg(F.min("timestamp").alias("registration_date"))
-        return self.customers.join(first, "user_id", "left")
+        return self.customers.join(self.registrations, "user_id", "left")
 
     @cached_property
     def events(self) -> DataFrame:
@@ -129,11 +134,22 @@ class StarRetail(Retail):
 
     @cached_property
     def sessions(self) -> DataFrame:
+        return self._sessions_from(self.events)
+
+    def sessions_of(self, user_id: int) -> DataFrame:
+        """Sessions of one user; the user filter reaches the event scan."""
+        return self._sessions_from(self.events.filter(F.col("user_id") == user_id))
+
+    def sessions_between(self, start: date, end: date) -> DataFrame:
+        """Sessions that start in the given days; a session never leaves its day, so the scan is cut to them."""
+        return self._sessions_from(by_date(self.events, start, end, "ts"))
+
+    def _sessions_from(self, events: DataFrame) -> DataFrame:
         """One aggregation, combined before the shuffle; no event list is collected."""
         def having(kind: str) -> Column:
             return F.count_if(F.col("event_type") == kind)
 
-        per_session = self.events.groupBy("session_id").agg(
+        per_session = events.groupBy("session_id").agg(
             F.min("user_id").alias("user_id"),
             F.min("ts").alias("start_time"),
             F.max("ts").alias("end_time"),
