@@ -43,13 +43,20 @@ def time_of_day(hour: Column) -> Column:
     )
 
 
+def epoch_micros(ts: str) -> Column:
+    """Microseconds since 1970 of a zone-free timestamp. Built from its calendar
+    parts: converting it to an instant would depend on the session zone."""
+    seconds = (F.unix_date(F.to_date(ts)).cast("bigint") * 24 + F.hour(ts)) * 3600 + F.minute(ts) * 60
+    return seconds * 1000000 + (F.extract(F.lit("SECOND"), F.col(ts)) * 1000000).cast("bigint")
+
+
 def seconds_between(start: str, end: str) -> Column:
-    return F.expr(f"timestampdiff(SECOND, {start}, {end})")
+    """Whole seconds from ``start`` to ``end``."""
+    return F.floor((epoch_micros(end) - epoch_micros(start)) / F.lit(1000000)).cast("bigint")
 
 
 def epoch_millis(ts: str) -> Column:
-    """Milliseconds since 1970 of a zone-free timestamp, whatever the session zone."""
-    return F.expr(f"timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', {ts})")
+    return F.floor(epoch_micros(ts) / F.lit(1000)).cast("bigint")
 
 
 def session_row_key(user_id: str, ts: str) -> Column:

@@ -58,10 +58,13 @@ class Retail:
 
         The status filter sits on the order side, so it reaches that scan.
         """
-        orders = self.orders if only is None else self.orders.filter(F.col("status") == only)
+        orders = self.orders if only is None else self.orders_with(only)
         header = orders.select("transaction_id", *(order_columns or ORDER_COLUMNS))
         return attach(self.items, header, "transaction_id", hot=self.hot_keys("items", "transaction_id"))
 
+    def orders_with(self, status: str) -> DataFrame:
+        return self.orders.filter(F.col("status") == status)
+
     def order_amounts(self) -> DataFrame:
         """``subtotal``, ``discount`` and number of ``lines`` per transaction that has items."""
         return self.items.groupBy("transaction_id").agg(

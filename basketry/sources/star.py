@@ -22,6 +22,7 @@ from basketry.functions.numeric import half_up_money, money
 from basketry.sources.retail import Retail
 
 # Fixed values of the mapping.
+CODE_OF = {"completed": "F", "processing": "O", "refunded": "P"}
 DEVICES = ("desktop", "mobile", "tablet")
 SYSTEMS = ("Windows", "macOS", "Android", "iOS")
 REFERRERS = ("direct", "search_engine", "social_media", "email", "affiliate")
@@ -44,8 +45,17 @@ class StarRetail(Retail):
 
     @cached_property
     def orders(self) -> DataFrame:
-        status = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "O", "processing")
-        return self._read("orders").select(
+        return self._orders_from(self._read("orders"))
+
+    def orders_with(self, status: str) -> DataFrame:
+        """Filters the stored code: a comparison Parquet can check, unlike the derived name."""
+        return self._orders_from(self._read("orders").filter(F.col("o_orderstatus") == CODE_OF[status]))
+
+    def _orders_from(self, raw: DataFrame) -> DataFrame:
+        status = F.lit(None).cast("string")
+        for name, code in CODE_OF.items():
+            status = F.when(F.col("o_orderstatus") == code, name).otherwise(status)
+        return raw.select(
             F.col("o_orderkey").alias("transaction_id"),
             F.col("o_custkey").alias("user_id"),
             F.lit(None).cast("string").alias("session_id"),
@@ -53,7 +63,7 @@ class StarRetail(Retail):
             F.to_date("o_orderdate").alias("date"),
             money("o_totalprice").alias("total"),
             F.col("o_orderpriority").alias("payment_method"),
-            status.otherwise("refunded").alias("status"),
+            status.alias("status"),
         )
 
     @cached_property
