@@ -84,7 +84,7 @@ def pairs(r: StarRetail) -> DataFrame:
 
 
 def recommendations(r: StarRetail) -> DataFrame:
-    return recommend.also_bought(pairs(r), r.product_dim())
+    return recommend.also_bought(r.items, r.product_dim(), hot=r.hot_keys("items", "transaction_id"))
 
 
 def metrics(r: StarRetail) -> DataFrame:
@@ -182,7 +182,7 @@ CATALOG: dict[str, Query] = {
     "product_metrics_summary": lambda r: lookup.product_metrics_summary(metrics_of(r, ONE_PRODUCT), ONE_PRODUCT),
     # recommendation
     "co_purchase_pairs": pairs,
-    "top_pairs": lambda r: recommend.top_pairs(pairs(r), r.product_dim()),
+    "top_pairs": lambda r: recommend.top_pairs(r.items, r.product_dim(), hot=r.hot_keys("items", "transaction_id")),
     "also_bought": recommendations,
     "search_recommendations": lambda r: recommend.search_recommendations(recommendations(r), SEARCH),
     # cohorts

@@ -1,12 +1,27 @@
-"""Pairs of products bought together."""
+"""Pairs of products bought together.
+
+``pair_counts`` lists every pair, as asked. The ``best_*`` functions want only
+the most frequent ones, so they do not list the pairs of a few very large
+transactions at all. Such a transaction adds 1 to each pair of its products;
+which of them a product is in fits in a bit mask, and the number of large
+transactions two products share is the number of common bits. Products with the
+same mask are interchangeable up to the tie-break by id, so the first few ids of
+every mask contain all pairs that can be among the best without also sharing a
+small transaction. The result is exact.
+"""
 
 from __future__ import annotations
 
 from math import ceil, sqrt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.operators.joins import HotKeys, _lookup
+from basketry.operators.ranking import top_k, top_k_per_group
+
+# Large transactions kept as mask bits; it bounds the masks by 2**8. Further
+# frequent transactions are listed like the others, in blocks.
+MASK_BITS = 8
 
 
 def distinct_baskets(items: DataFrame) -> DataFrame:
@@ -52,3 +67,95 @@ def _blocked_pairs(baskets: DataFrame, hot: HotKeys) -> DataFrame:
     )
     met = left.join(right, ["transaction_id", "_i", "_j"]).filter("_i < _j OR _l < _r")
     return met.select(F.least("_l", "_r").alias("product_a"), F.greatest("_l", "_r").alias("product_b"))
+
+
+def best_pairs(items: DataFrame, k: int, hot: HotKeys | None = None) -> DataFrame:
+    """The ``k`` most frequent pairs; ties by product ids."""
+    large = _large(hot)
+    if not large:
+        return top_k(pair_counts(items, hot), "co_purchase_count", k, ["product_a", "product_b"])
+    masks, listed = _masks(items, large), _listed_pairs(items, hot, large)
+    a, b = masks.select(F.col("product_id").alias("product_a"), F.col("_mask").alias("_ma")), masks.select(
+        F.col("product_id").alias("product_b"), F.col("_mask").alias("_mb"))
+    counted = listed.join(a, "product_a", "left").join(b, "product_b", "left").select(
+        "product_a", "product_b", (F.col("co_purchase_count") + _shared("_ma", "_mb")).alias("co_purchase_count"))
+    # A pair is preceded by every pair of the same masks with smaller ids: 2k members per mask are enough.
+    members = _by_bit(top_k_per_group(masks.withColumn("_one", F.lit(1)), "_mask", "_one", 2 * k, ["product_id"]))
+    left = members.select("_bit", F.col("product_id").alias("product_a"), F.col("_mask").alias("_ma"))
+    right = members.select("_bit", F.col("product_id").alias("product_b"), F.col("_mask").alias("_mb"))
+    unlisted = left.join(right, "_bit").filter("product_a < product_b").select(
+        "product_a", "product_b", _shared("_ma", "_mb").alias("co_purchase_count"))
+    return top_k(_larger(counted, unlisted, ["product_a", "product_b"]), "co_purchase_count", k, ["product_a", "product_b"])
+
+
+def best_partners(items: DataFrame, k: int, hot: HotKeys | None = None) -> DataFrame:
+    """``source_product, recommended_product, co_purchase_count``: the ``k`` most frequent partners
+    of every product; ties by id. Each task keeps ``k`` rows per product before the shuffle."""
+    large = _large(hot)
+    listed = _listed_pairs(items, hot, large)
+    a, b = F.col("product_a"), F.col("product_b")
+    both = F.array(
+        F.struct(a.alias("source_product"), b.alias("recommended_product")),
+        F.struct(b.alias("source_product"), a.alias("recommended_product")),
+    )
+    counted = listed.select(F.explode(both).alias("p"), "co_purchase_count").select("p.*", "co_purchase_count")
+    if large:
+        masks = _masks(items, large)
+        of = {key: masks.select(F.col("product_id").alias(key), F.col("_mask").alias(m))
+              for key, m in (("source_product", "_ms"), ("recommended_product", "_mr"))}
+        counted = counted.join(of["source_product"], "source_product", "left").join(
+            of["recommended_product"], "recommended_product", "left"
+        ).select("source_product", "recommended_product", (F.col("co_purchase_count") + _shared("_ms", "_mr")).alias("co_purchase_count"))
+        unlisted = of["source_product"].join(_partners_by_mask(masks, k), "_ms").filter(
+            "source_product <> recommended_product").select("source_product", "recommended_product", "co_purchase_count")
+        counted = _larger(counted, unlisted, ["source_product", "recommended_product"])
+    return top_k_per_group(counted, "source_product", "co_purchase_count", k, ["recommended_product"])
+
+
+def _partners_by_mask(masks: DataFrame, k: int) -> DataFrame:
+    """Best ``k + 1`` partners shared by all products of a mask (one of them may be the product itself)."""
+    members = _by_bit(top_k_per_group(masks.withColumn("_one", F.lit(1)), "_mask", "_one", k + 1, ["product_id"]))
+    sources = members.select("_bit", F.col("_mask").alias("_ms")).distinct()
+    partners = members.select("_bit", F.col("product_id").alias("recommended_product"), F.col("_mask").alias("_mr"))
+    met = sources.join(partners, "_bit").select(
+        "_ms", "recommended_product", _shared("_ms", "_mr").alias("co_purchase_count")).distinct()
+    # At most 2**MASK_BITS * (k + 1) rows.
+    return F.broadcast(top_k_per_group(met, "_ms", "co_purchase_count", k + 1, ["recommended_product"]))
+
+
+def _large(hot: HotKeys | None) -> list:
+    """The heaviest transactions, at most ``MASK_BITS``."""
+    return sorted(hot.counts, key=hot.counts.get, reverse=True)[:MASK_BITS] if hot else []
+
+
+def _listed_pairs(items: DataFrame, hot: HotKeys | None, large: list) -> DataFrame:
+    """Pair counts over all but the large transactions."""
+    if not large:
+        return pair_counts(items, hot)
+    rest = HotKeys({k: n for k, n in hot.counts.items() if k not in large}, hot.total)
+    return pair_counts(items.filter(~F.col("transaction_id").isin(large)), rest)
+
+
+def _masks(items: DataFrame, large: list) -> DataFrame:
+    """Which large transactions a product is in, one bit each."""
+    bit = F.lit(0).cast("bigint")
+    for i, key in enumerate(large):
+        bit = F.when(F.col("transaction_id") == key, F.lit(1 << i).cast("bigint")).otherwise(bit)
+    inside = items.filter(F.col("transaction_id").isin(large))
+    return inside.groupBy("product_id").agg(F.bit_or(bit).alias("_mask"))
+
+
+def _by_bit(members: DataFrame) -> DataFrame:
+    """One row per set bit: two masks overlap when they meet on a bit."""
+    bits = F.filter(F.sequence(F.lit(0), F.lit(MASK_BITS - 1)), lambda i: F.getbit(F.col("_mask"), i) == 1)
+    return members.select("product_id", "_mask", F.explode(bits).alias("_bit"))
+
+
+def _shared(left: str, right: str) -> Column:
+    """Number of large transactions two products share."""
+    return F.coalesce(F.bit_count(F.col(left).bitwiseAND(F.col(right))), F.lit(0)).cast("bigint")
+
+
+def _larger(counted: DataFrame, unlisted: DataFrame, keys: list[str]) -> DataFrame:
+    """A pair met both ways has its full count in the first frame, which is never the smaller one."""
+    return counted.unionByName(unlisted).groupBy(*keys).agg(F.max("co_purchase_count").alias("co_purchase_count"))

@@ -5,35 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.functions.text import contains_ignore_case
-from basketry.operators.ranking import top_k, top_k_per_group
+from basketry.operators.baskets import best_pairs, best_partners
+from basketry.operators.joins import HotKeys
 
 
 def _named(df: DataFrame, product_dim: DataFrame, key: str, name: str) -> DataFrame:
     return df.join(product_dim.select(F.col("product_id").alias(key), F.col("name").alias(name)), key)
 
 
-def top_pairs(pairs: DataFrame, product_dim: DataFrame, k: int = 20) -> DataFrame:
+def top_pairs(items: DataFrame, product_dim: DataFrame, k: int = 20, hot: HotKeys | None = None) -> DataFrame:
     """Most frequent pairs; names are joined to ``k`` rows only."""
-    best = top_k(pairs, "co_purchase_count", k, ["product_a", "product_b"])
+    best = best_pairs(items, k, hot)
     named = _named(_named(best, product_dim, "product_a", "product_a_name"), product_dim, "product_b", "product_b_name")
     return named.select("product_a", "product_a_name", "product_b", "product_b_name", "co_purchase_count").orderBy(
         F.desc("co_purchase_count"), "product_a", "product_b"
     )
 
 
-def also_bought(pairs: DataFrame, product_dim: DataFrame, k: int = 3) -> DataFrame:
-    """The ``k`` products most often bought with each product.
-
-    Each pair counts for both of its products. Ranking is done before names are
-    joined, and every task drops all but ``k`` rows per product before the shuffle.
-    """
-    a, b = F.col("product_a"), F.col("product_b")
-    both = F.array(
-        F.struct(a.alias("source_product"), b.alias("recommended_product")),
-        F.struct(b.alias("source_product"), a.alias("recommended_product")),
-    )
-    mirrored = pairs.select(F.explode(both).alias("p"), "co_purchase_count").select("p.*", "co_purchase_count")
-    best = top_k_per_group(mirrored, "source_product", "co_purchase_count", k, ["recommended_product"])
+def also_bought(items: DataFrame, product_dim: DataFrame, k: int = 3, hot: HotKeys | None = None) -> DataFrame:
+    """The ``k`` products most often bought with each product, ranked before names are joined."""
+    best = best_partners(items, k, hot)
     named = _named(_named(best, product_dim, "source_product", "source_name"), product_dim, "recommended_product", "rec_name")
     return named.select("source_product", "source_name", "recommended_product", "rec_name", "co_purchase_count").orderBy(
         "source_product", F.desc("co_purchase_count"), "recommended_product"

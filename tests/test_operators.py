@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.operators.adjacency import transition_counts
-from basketry.operators.baskets import pair_counts
+from basketry.operators.baskets import best_pairs, best_partners, pair_counts
 from basketry.operators.joins import HotKeys, attach, find_hot_keys
 from basketry.operators.quantiles import summary_by
 from basketry.operators.ranking import most_frequent, top_k, top_k_per_group
@@ -60,6 +60,28 @@ def test_pair_counts(spark, hot):
     assert got == dict(brute_pairs(rows))
 
 
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("heavy", [0, 1, 3, 10])
+def test_best_pairs_with_large_transactions(spark, seed, heavy):
+    """Large transactions are never listed, yet the best pairs and partners are the brute-force ones."""
+    rnd = random.Random(seed)
+    rows = [(t, p) for t in range(heavy) for p in range(30) if rnd.random() < 0.6]
+    rows += [(100 + rnd.randrange(60), rnd.randrange(30)) for _ in range(150)]
+    df = spark.createDataFrame(rows, "transaction_id long, product_id long")
+    hot = HotKeys({t: 30 for t in range(heavy)}, len(rows)) if heavy else None
+    want = brute_pairs(rows)
+    ordered = sorted(want, key=lambda p: (-want[p], p))
+    for k in (1, 5):
+        got = [(r[0], r[1], r[2]) for r in best_pairs(df, k, hot).select("product_a", "product_b", "co_purchase_count").collect()]
+        assert got == [(*p, want[p]) for p in ordered[:k]]
+    partners = {}
+    for (a, b), n in want.items():
+        partners.setdefault(a, []).append((-n, b))
+        partners.setdefault(b, []).append((-n, a))
+    expected = {(s, p, -n) for s, found in partners.items() for n, p in sorted(found)[:3]}
+    assert {tuple(r) for r in best_partners(df, 3, hot).select("source_product", "recommended_product", "co_purchase_count").collect()} == expected
+
+
 def test_transitions_across_chunks(spark):
     rnd = random.Random(2)
     rows = [("hot" if i % 3 else f"s{rnd.randrange(40)}", i, rnd.choice("abc")) for i in range(6000)]
