@@ -99,7 +99,7 @@ TABLES: dict[str, str] = {
         SELECT session_id, MIN(user_id) AS user_id, MIN(ts) AS start_time, MAX(ts) AS end_time, COUNT(*) AS page_views,
                COUNT(*) FILTER (WHERE event_type = 'view') AS viewed_products,
                COUNT(*) FILTER (WHERE event_type = 'click') AS cart_items,
-               COUNT(*) FILTER (WHERE event_type = 'purchase') AS bought, FIRST(k ORDER BY ts, event_id) AS k
+               COUNT(*) FILTER (WHERE event_type = 'purchase') AS bought, FIRST(k ORDER BY event_id) AS k
         FROM ev GROUP BY session_id""",
     "sess": f"""
         SELECT session_id, user_id, start_time, end_time,

@@ -14,6 +14,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from basketry.operators import baskets, profiling
+from basketry.operators.joins import attach
 from basketry.plans import clv, cohort, commerce, etl, filters, funnel, insights, lookup, recommend, sessions
 from basketry.session import shared_dir
 from basketry.sources import results
@@ -122,7 +123,7 @@ def enriched_flat(r: StarRetail) -> DataFrame:
 def filtered_lines(r: StarRetail) -> DataFrame:
     """Revenue per day and category-filtered product of the lines that pass the report filters."""
     orders = filters.by_date(r.orders, *DATES, column="timestamp").select("transaction_id", "date")
-    lines = r.items.join(orders, "transaction_id")
+    lines = attach(r.items, orders, "transaction_id", hot=r.hot_keys("items", "transaction_id"))
     kept = filters.by_category(lines, r.product_dim(), CATEGORIES, r.hot_keys("items", "product_id"))
     return kept.groupBy("date", "product_id").agg(F.sum("subtotal").alias("revenue"), F.count("*").alias("lines"))
 
@@ -163,7 +164,8 @@ CATALOG: dict[str, Query] = {
     "users_flat": lambda r: etl.users_flat(r.users, etl.order_totals(r.orders)),
     "sessions_summary": lambda r: etl.sessions_summary(r.sessions),
     "page_views": lambda r: r.page_views.withColumn("product_id", F.col("product_id").cast("string")),
-    "cart_lines": lambda r: etl.cart_lines(r.carts, r.sessions, r.product_dim(), r.hot_keys("carts", "product_id")),
+    "cart_lines": lambda r: etl.cart_lines(
+        r.carts, r.sessions, r.product_dim(), r.hot_keys("cart_events", "product_id"), r.hot_keys("cart_events", "session_id")),
     "price_history": lambda r: etl.price_history(r.price_points, r.product_dim()),
     "materialised_daily_revenue": materialised,
     # document-store style reports

@@ -80,6 +80,11 @@ class Retail:
         """
         return self.order_amounts().join(self.orders.select("transaction_id", *order_columns), "transaction_id")
 
+    @property
+    def cart_events(self) -> DataFrame:
+        """What the carts are made of; frequent products and sessions are measured here, before any shuffle."""
+        return self.carts
+
     @property
     def registrations(self) -> DataFrame:
         """``user_id, registration_date``"""

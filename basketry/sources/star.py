@@ -7,7 +7,7 @@ The mapping is fixed and stated here once; nothing is invented per query.
 - user geography = region (province) and nation (city); registration = first order
 - a session is one user's events of one calendar day; views, clicks (cart) and
   purchases are event types; device, system, referrer and browser follow from
-  the ``k`` of the session's first event; a cart line is one clicked product
+  the ``k`` of the session's first event (smallest id); a cart line is one clicked product
 """
 
 from __future__ import annotations
@@ -167,7 +167,7 @@ class StarRetail(Retail):
             having("view").alias("viewed_products"),
             having("click").alias("cart_items"),
             having("purchase").alias("_bought"),
-            F.min_by("k", F.struct("ts", "event_id")).alias("_k"),
+            F.min_by("k", "event_id").alias("_k"),
         )
         k = F.col("_k")
         status = F.when((F.col("cart_items") > 0) & (F.col("_bought") > 0), "converted").when(
@@ -196,10 +196,13 @@ class StarRetail(Retail):
             F.when(shows_product, F.col("k")).alias("product_id"), F.to_date("ts").alias("date"),
         )
 
+    @cached_property
+    def cart_events(self) -> DataFrame:
+        return self.events.filter(F.col("event_type") == "click").select("session_id", F.col("k").alias("product_id"), "value")
+
     @cached_property
     def carts(self) -> DataFrame:
-        clicks = self.events.filter(F.col("event_type") == "click")
-        return clicks.groupBy("session_id", F.col("k").alias("product_id")).agg(
+        return self.cart_events.groupBy("session_id", "product_id").agg(
             F.count("*").alias("quantity"), F.min("value").alias("price")
         )
 
