@@ -29,12 +29,9 @@ def transition_counts(df: DataFrame, group: str, order: Sequence[str], value: st
                     F.col("_v").alias("source"), F.lit(None).cast("string").alias("target"))
     tail = F.struct(F.col(group).alias("g"), F.col("_chunk").alias("c"), F.lit(2).alias("side"),
                     F.col("_v").alias("source"), F.lit(None).cast("string").alias("target"))
-    records = F.filter(
-        F.array(F.when(~F.col("_end"), step), F.when(F.col("_pos") == 1, head), F.when(F.col("_end"), tail)),
-        lambda r: r.isNotNull(),
-    )
+    records = F.array(F.when(~F.col("_end"), step), F.when(F.col("_pos") == 1, head), F.when(F.col("_end"), tail))
     reduced = (
-        stepped.select(F.explode(records).alias("r")).select("r.*")
+        stepped.select(F.explode(records).alias("r")).filter("r IS NOT NULL").select("r.*")
         .groupBy("g", "c", "side", "source", "target").agg(F.count("*").alias("n"))
     )
     # A tail is followed by the head of the next chunk of its group.

@@ -371,7 +371,7 @@ def refund_rate_by_category(items: DataFrame, orders: DataFrame, product_dim: Da
     Lines become distinct (order, category) pairs before orders are joined, so
     an order with very many lines is at most one row per category.
     """
-    lines = items.select("transaction_id", "product_id").distinct()
+    lines = items.select("transaction_id", "product_id")
     labelled = attach(lines, product_dim.select("product_id", "category"), "product_id", "left", hot_products)
     pairs = labelled.select("transaction_id", F.coalesce("category", F.lit("Unknown")).alias("category")).distinct()
     refunded = F.count_if(F.col("status") == "refunded")
