@@ -13,6 +13,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from basketry.functions.numeric import sum_money
 from basketry.operators import baskets, profiling
 from basketry.operators.joins import attach
 from basketry.plans import clv, cohort, commerce, etl, filters, funnel, insights, lookup, recommend, sessions
@@ -125,7 +126,7 @@ def filtered_lines(r: StarRetail) -> DataFrame:
     orders = filters.by_date(r.orders, *DATES, column="timestamp").select("transaction_id", "date")
     lines = attach(r.items, orders, "transaction_id", hot=r.hot_keys("items", "transaction_id"))
     kept = filters.by_category(lines, r.product_dim(), CATEGORIES, r.hot_keys("items", "product_id"))
-    return kept.groupBy("date", "product_id").agg(F.sum("subtotal").alias("revenue"), F.count("*").alias("lines"))
+    return kept.groupBy("date", "product_id").agg(sum_money("subtotal").alias("revenue"), F.count("*").alias("lines"))
 
 
 def filtered_sessions(r: StarRetail) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.functions.calendar import months_apart, year_month
-from basketry.functions.numeric import mean, pct
+from basketry.functions.numeric import mean, pct, sum_money, units
 from basketry.operators.joins import HotKeys, attach
 
 
@@ -26,13 +26,13 @@ def cohort_activity(orders: DataFrame, users: DataFrame, hot_users: HotKeys | No
     dated = orders.select("transaction_id", "user_id", "date", "total")
     return attach(dated, cohorts(users), "user_id", hot=hot_users).select(
         "transaction_id", "user_id", "cohort", year_month("date").alias("txn_month"),
-        months_apart(F.col("date"), F.col("_registered")).alias("months_since_reg"), "total",
+        months_apart(F.col("date"), F.col("_registered")).alias("months_since_reg"), units("total").alias("total"),
     )
 
 
 def _user_months(orders: DataFrame) -> DataFrame:
     return orders.groupBy("user_id", F.trunc("date", "month").alias("_month")).agg(
-        F.sum("total").alias("_total"), F.count("*").alias("_n")
+        sum_money("total").alias("_total"), F.count("*").alias("_n")
     )
 
 
@@ -61,7 +61,7 @@ def cohort_retention_pct(orders: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def cohort_summary(orders: DataFrame, users: DataFrame) -> DataFrame:
-    per_user = orders.groupBy("user_id").agg(F.sum("total").alias("_total"), F.count("*").alias("_n"))
+    per_user = orders.groupBy("user_id").agg(sum_money("total").alias("_total"), F.count("*").alias("_n"))
     return per_user.join(cohorts(users), "user_id").groupBy("cohort").agg(
         F.count("*").alias("active_users"), F.sum("_n").alias("total_transactions"), F.sum("_total").alias("total_revenue")
     ).withColumn("avg_order_value", mean("total_revenue", "total_transactions", 2)).orderBy("cohort")

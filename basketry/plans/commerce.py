@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.functions.calendar import year_month
-from basketry.functions.numeric import dbl, half_up, half_up_money, mean, pct, ratio, sample_stddev
+from basketry.functions.numeric import half_up, half_up_money, mean, pct, ratio, sample_stddev, sum_money
 from basketry.functions.segments import SPEND_BOUNDS, SPEND_LABELS, spend_bucket, spend_label
 from basketry.operators.ranking import over_rows, top_k
 
@@ -21,7 +21,7 @@ def product_popularity(completed: DataFrame, product_dim: DataFrame, k: int = 10
     the product join: unknown products shorten the list."""
     best = top_k(
         completed.groupBy("product_id").agg(
-            F.sum("quantity").alias("total_qty"), F.sum("subtotal").alias("total_revenue"),
+            F.sum("quantity").alias("total_qty"), sum_money("subtotal").alias("total_revenue"),
             F.count("*").alias("num_orders"),
         ),
         "total_qty", k, ["product_id"],
@@ -33,7 +33,7 @@ def product_popularity(completed: DataFrame, product_dim: DataFrame, k: int = 10
 
 def revenue_by_subcategory(completed: DataFrame, product_dim: DataFrame) -> DataFrame:
     per_product = completed.groupBy("product_id").agg(
-        F.sum("subtotal").alias("revenue"), F.sum("quantity").alias("qty_sold"), F.count("*").alias("order_count")
+        sum_money("subtotal").alias("revenue"), F.sum("quantity").alias("qty_sold"), F.count("*").alias("order_count")
     )
     return per_product.join(product_dim.select("product_id", "category", "subcategory"), "product_id").groupBy(
         "category", "subcategory"
@@ -127,7 +127,7 @@ def _with_rates(totals: DataFrame) -> DataFrame:
 def top_products(items: DataFrame, product_dim: DataFrame, k: int = 15) -> DataFrame:
     """Best products by revenue over all statuses, with the estimated profit."""
     sold = items.groupBy("product_id").agg(
-        F.count("*").alias("times_sold"), F.sum("quantity").alias("units_sold"), F.sum("subtotal").alias("total_revenue")
+        F.count("*").alias("times_sold"), F.sum("quantity").alias("units_sold"), sum_money("subtotal").alias("total_revenue")
     )
     known = sold.join(product_dim, "product_id").select(
         "product_id", F.col("name").alias("product_name"), F.col("category").alias("category_name"),
@@ -143,7 +143,7 @@ def daily_revenue(orders: DataFrame) -> DataFrame:
     The windows run over one row per day, never over transactions.
     """
     daily = orders.groupBy(F.col("date").alias("sale_date")).agg(
-        F.count("*").alias("num_transactions"), F.sum("total").alias("daily_revenue")
+        F.count("*").alias("num_transactions"), sum_money("total").alias("daily_revenue")
     )
     recent, days = over_rows(F.sum("daily_revenue"), "sale_date", 7), over_rows(F.count("daily_revenue"), "sale_date", 7)
     return daily.select(
@@ -159,7 +159,7 @@ def price_variability(sales: DataFrame, product_dim: DataFrame, k: int = 20, min
     the ratio is taken. Only products with a price history take part.
     """
     daily = sales.groupBy("product_id", "date").agg(
-        F.sum("quantity").alias("_units"), half_up_money(F.try_divide(dbl(F.sum("unit_price")), F.count("unit_price"))).alias("_price")
+        F.sum("quantity").alias("_units"), half_up_money(ratio(sum_money("unit_price"), F.count("unit_price"))).alias("_price")
     )
     n = F.col("active_days")
     stats = daily.groupBy("product_id").agg(

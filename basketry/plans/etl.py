@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.functions.calendar import session_row_key
-from basketry.functions.numeric import half_up, ratio
+from basketry.functions.numeric import half_up, ratio, sum_money, units
 from basketry.operators.joins import HotKeys, attach
 from basketry.sources.retail import Retail
 
@@ -31,7 +31,7 @@ def purchase_summary(orders: DataFrame) -> DataFrame:
     per user, and the most frequent method needs no extra pass.
     """
     per_method = orders.groupBy("user_id", "payment_method").agg(
-        F.count("*").alias("n"), F.sum("total").alias("spent"),
+        F.count("*").alias("n"), sum_money("total").alias("spent"),
         F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
     )
     per_user = per_method.groupBy("user_id").agg(
@@ -48,7 +48,7 @@ def purchase_summary(orders: DataFrame) -> DataFrame:
 
 def order_totals(orders: DataFrame) -> DataFrame:
     """The numeric part of the purchase summary in one aggregation."""
-    per_user = orders.groupBy("user_id").agg(F.count("*").alias("total_orders"), F.sum("total").alias("total_spent"))
+    per_user = orders.groupBy("user_id").agg(F.count("*").alias("total_orders"), sum_money("total").alias("total_spent"))
     return per_user.withColumn("avg_order_value", half_up(ratio("total_spent", "total_orders"), 2))
 
 
@@ -81,8 +81,8 @@ def users_flat(users: DataFrame, totals: DataFrame) -> DataFrame:
 def product_daily_metrics(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Per product and day, all statuses; ``num_transactions`` counts lines."""
     daily = sales.groupBy("product_id", "date").agg(
-        F.sum("quantity").alias("total_quantity"), F.sum("subtotal").alias("total_revenue"),
-        F.count("*").alias("num_transactions"), F.sum("unit_price").alias("_prices"),
+        F.sum("quantity").alias("total_quantity"), sum_money("subtotal").alias("total_revenue"),
+        F.count("*").alias("num_transactions"), sum_money("unit_price").alias("_prices"),
     )
     shelf = products.select("product_id", "current_stock", "base_price", "is_active")
     return daily.join(shelf, "product_id", "left").select(
@@ -139,7 +139,8 @@ def txn_lines(r: Retail) -> DataFrame:
     products are salted.
     """
     header = r.transactions().select("transaction_id", "user_id", "date", "total", "discount", "payment_method", "status")
-    items = r.items.drop("line_discount")
+    items = r.items.select("transaction_id", "product_id", "quantity", units("unit_price").alias("unit_price"),
+                           units("subtotal").alias("subtotal"))
     lines = attach(items, header, "transaction_id", hot=r.hot_keys("items", "transaction_id"))
     return with_product(lines, r.product_dim(), r.hot_keys("items", "product_id")).select(*LINE_COLUMNS)
 
@@ -175,17 +176,13 @@ def cart_lines(carts: DataFrame, sessions: DataFrame, product_dim: DataFrame, ho
                    "product_id", "left", hot_products)
     return named.select(
         "session_id", "product_id", F.coalesce("product_name", F.col("product_id").cast("string")).alias("product_name"),
-        F.coalesce("category", F.lit("Unknown")).alias("category"), "quantity", "price",
-        cart_value().alias("line_total"), "conversion_status",
+        F.coalesce("category", F.lit("Unknown")).alias("category"), "quantity", units("price").alias("price"),
+        units(F.col("quantity") * F.col("price")).alias("line_total"), "conversion_status",
     )
 
 
-def cart_value():
-    return (F.col("quantity") * F.col("price")).cast("decimal(18,2)")
-
-
 def price_history(price_points: DataFrame, product_dim: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     names = product_dim.select("product_id", F.col("name").alias("product_name"))
     return attach(price_points, names, "product_id", "left", hot).select(
-        "product_id", F.coalesce("product_name", F.col("product_id").cast("string")).alias("product_name"), "price", "date"
+        "product_id", F.coalesce("product_name", F.col("product_id").cast("string")).alias("product_name"), units("price").alias("price"), "date"
     )

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from basketry.functions.calendar import week_start, year_month
-from basketry.functions.numeric import dbl, half_up, mean, pct, ratio
+from basketry.functions.numeric import dbl, half_up, mean, pct, ratio, sum_money, units
 from basketry.functions.segments import SEGMENT_BOUNDS, SEGMENT_LABELS, segment, segment_rank
 from basketry.functions.text import product_label, share_label, thousands
 from basketry.operators.joins import HotKeys, attach
@@ -27,13 +27,13 @@ STATUSES = ("completed", "shipped", "processing", "refunded")
 
 def product_revenue(items: DataFrame) -> DataFrame:
     return items.groupBy("product_id").agg(
-        F.sum("subtotal").alias("revenue"), F.sum("quantity").alias("quantity"), F.count("*").alias("orders")
+        sum_money("subtotal").alias("revenue"), F.sum("quantity").alias("quantity"), F.count("*").alias("orders")
     )
 
 
 def _by_product_and(sales: DataFrame, period: Column, product_dim: DataFrame) -> DataFrame:
     """Revenue per product and period, with the product's category."""
-    reduced = sales.groupBy("product_id", period).agg(F.sum("subtotal").alias("revenue"))
+    reduced = sales.groupBy("product_id", period).agg(sum_money("subtotal").alias("revenue"))
     return _categorised(reduced, product_dim)
 
 
@@ -218,14 +218,14 @@ def price_timeline(price_points: DataFrame, items: DataFrame, product_dim: DataF
     leaders = top_k(product_revenue(items), "revenue", k, ["product_id"]).select("product_id")
     names = product_dim.select("product_id", F.col("name").alias("product_name"))
     chosen = leaders.join(names, "product_id", "left")
-    return price_points.join(chosen, "product_id").select("product_id", "product_name", "price", "date").orderBy("product_id", "date")
+    return price_points.join(chosen, "product_id").select("product_id", "product_name", units("price").alias("price"), "date").orderBy("product_id", "date")
 
 
 def category_stats(items: DataFrame, product_dim: DataFrame) -> DataFrame:
     """Revenue, units, lines, distinct products and mean unit price per category."""
     reduced = items.groupBy("product_id").agg(
-        F.sum("subtotal").alias("revenue"), F.sum("quantity").alias("quantity"), F.count("*").alias("orders"),
-        F.sum("unit_price").alias("_prices"),
+        sum_money("subtotal").alias("revenue"), F.sum("quantity").alias("quantity"), F.count("*").alias("orders"),
+        sum_money("unit_price").alias("_prices"),
     )
     return _categorised(reduced, product_dim).groupBy("category").agg(
         F.sum("revenue").alias("revenue"), F.sum("quantity").alias("quantity"), F.sum("orders").alias("orders"),
@@ -305,7 +305,7 @@ def top_customers(tiered: DataFrame, k: int = 15) -> DataFrame:
 def cart_totals(carts: DataFrame) -> DataFrame:
     """Value and units per session with a cart."""
     return carts.groupBy("session_id").agg(
-        F.sum((F.col("quantity") * F.col("price")).cast("decimal(18,2)")).alias("cart_total"), F.sum("quantity").alias("cart_quantity")
+        sum_money(F.col("quantity") * F.col("price")).alias("cart_total"), F.sum("quantity").alias("cart_quantity")
     )
 
 

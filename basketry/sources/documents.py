@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketry.functions.calendar import parse_iso
-from basketry.functions.numeric import money
+from basketry.functions.numeric import cents, money
 from basketry.sources.retail import ORDER_COLUMNS, Retail
 from basketry.sources.schemas import ENTITIES
 
@@ -82,7 +82,7 @@ class DocumentRetail(Retail):
     def orders(self) -> DataFrame:
         return self.entities["transactions"].select(
             "transaction_id", "user_id", "session_id", "timestamp", F.to_date("timestamp").alias("date"),
-            money("total").alias("total"), "payment_method", "status",
+            cents("total").alias("total"), "payment_method", "status",
         )
 
     @cached_property
@@ -90,13 +90,13 @@ class DocumentRetail(Retail):
         """Items with everything their document says about the order."""
         return self.entities["transactions"].select(
             "transaction_id", "user_id", "timestamp", F.to_date("timestamp").alias("date"),
-            money("total").alias("total"), "payment_method", "status",
-            (money("discount") / F.size("items")).cast("decimal(18,4)").alias("line_discount"),
+            cents("total").alias("total"), "payment_method", "status",
+            F.floor(F.try_divide(F.col("discount") * 10000, F.size("items")) + 0.5).alias("line_discount"),
             F.explode("items").alias("item"),
         ).select(
             "transaction_id", F.col("item.product_id").alias("product_id"),
             F.col("item.quantity").cast("bigint").alias("quantity"),
-            money("item.unit_price").alias("unit_price"), money("item.subtotal").alias("subtotal"),
+            cents("item.unit_price").alias("unit_price"), cents("item.subtotal").alias("subtotal"),
             "line_discount", *ORDER_COLUMNS,
         )
 
@@ -177,7 +177,7 @@ class DocumentRetail(Retail):
         return self.entities["sessions"].select(
             "session_id", F.explode("cart_contents").alias("product_id", "line")
         ).select("session_id", "product_id", F.col("line.quantity").cast("bigint").alias("quantity"),
-                 money("line.price").alias("price"))
+                 cents("line.price").alias("price"))
 
     @cached_property
     def session_purchases(self) -> DataFrame:
@@ -189,5 +189,5 @@ class DocumentRetail(Retail):
     @cached_property
     def price_points(self) -> DataFrame:
         return self.entities["products"].select("product_id", F.explode("price_history").alias("p")).select(
-            "product_id", "p.date", money("p.price").alias("price")
+            "product_id", "p.date", cents("p.price").alias("price")
         )

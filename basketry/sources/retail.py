@@ -15,7 +15,10 @@ Both adapters (documents and star schema) fill the same columns:
 - ``session_purchases``: session_id, purchase_amount, items_purchased
 - ``price_points``: product_id, price, date
 
-Amounts are DECIMAL; timestamps carry no zone.
+``total``, ``subtotal``, ``unit_price`` and ``price`` are whole cents (BIGINT), ``line_discount``
+hundredths of a cent: they are summed over billions of rows, see ``functions.numeric``. Everything
+derived from these tables, ``transactions()`` and ``order_revenue()`` included, is in DECIMAL
+amounts. Timestamps carry no zone.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
+from basketry.functions.numeric import sum_money, units
 from basketry.operators.joins import HotKeys, attach, find_hot_keys
 
 ORDER_COLUMNS = ("user_id", "timestamp", "date", "total", "payment_method", "status")
@@ -68,7 +72,7 @@ class Retail:
     def order_amounts(self) -> DataFrame:
         """``subtotal``, ``discount`` and number of ``lines`` per transaction that has items."""
         return self.items.groupBy("transaction_id").agg(
-            F.sum("subtotal").alias("subtotal"), F.sum("line_discount").alias("discount"), F.count("*").alias("lines")
+            sum_money("subtotal").alias("subtotal"), sum_money("line_discount", 4).alias("discount"), F.count("*").alias("lines")
         )
 
     def order_revenue(self, *order_columns: str) -> DataFrame:
@@ -78,7 +82,8 @@ class Retail:
         per transaction before the join, so both sides are unique on the key and
         a transaction with very many lines needs no special care.
         """
-        return self.order_amounts().join(self.orders.select("transaction_id", *order_columns), "transaction_id")
+        header = [units("total").alias("total") if c == "total" else F.col(c) for c in order_columns]
+        return self.order_amounts().join(self.orders.select("transaction_id", *header), "transaction_id")
 
     @property
     def cart_events(self) -> DataFrame:
@@ -94,7 +99,7 @@ class Retail:
         """Orders with their amounts; orders without items have zero amounts."""
         zero = F.lit(0).cast("decimal(18,2)")
         return self.orders.join(self.order_amounts().drop("lines"), "transaction_id", "left").withColumns(
-            {"subtotal": F.coalesce("subtotal", zero), "discount": F.coalesce("discount", zero)}
+            {"total": units("total"), "subtotal": F.coalesce("subtotal", zero), "discount": F.coalesce("discount", zero)}
         )
 
     def product_dim(self) -> DataFrame:

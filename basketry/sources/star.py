@@ -18,7 +18,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketry.functions.calendar import by_date, seconds_between
-from basketry.functions.numeric import half_up_money, money
+from basketry.functions.numeric import cents, money, sum_money, units
 from basketry.sources.retail import Retail
 
 # Fixed values of the mapping.
@@ -61,21 +61,21 @@ class StarRetail(Retail):
             F.lit(None).cast("string").alias("session_id"),
             F.col("o_orderdate").alias("timestamp"),
             F.to_date("o_orderdate").alias("date"),
-            money("o_totalprice").alias("total"),
+            cents("o_totalprice").alias("total"),
             F.col("o_orderpriority").alias("payment_method"),
             status.alias("status"),
         )
 
     @cached_property
     def items(self) -> DataFrame:
-        price = money("l_extendedprice")
+        price = cents("l_extendedprice")
         return self._read("lineitem").select(
             F.col("l_orderkey").alias("transaction_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
-            half_up_money(F.try_divide("l_extendedprice", "l_quantity")).alias("unit_price"),
+            cents(F.try_divide("l_extendedprice", "l_quantity")).alias("unit_price"),
             price.alias("subtotal"),
-            (price * F.col("l_discount").cast("decimal(4,2)")).alias("line_discount"),
+            (price * cents("l_discount")).alias("line_discount"),
         )
 
     @cached_property
@@ -137,7 +137,7 @@ class StarRetail(Retail):
     def events(self) -> DataFrame:
         return self._read("events").select(
             "event_id", "user_id", "ts", "event_type",
-            money("value").alias("value"),
+            cents("value").alias("value"),
             F.get_json_object("props", "$.k").cast("bigint").alias("k"),
             F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("ts", "yyyyMMdd")).alias("session_id"),
         )
@@ -192,7 +192,7 @@ class StarRetail(Retail):
         shows_product = F.col("event_type").isin("view", "click")
         return self.events.select(
             "session_id", F.col("event_id").alias("view_id"), F.col("event_type").alias("page_type"),
-            F.col("value").alias("view_duration"), F.col("ts").alias("timestamp"),
+            units("value").alias("view_duration"), F.col("ts").alias("timestamp"),
             F.when(shows_product, F.col("k")).alias("product_id"), F.to_date("ts").alias("date"),
         )
 
@@ -210,7 +210,7 @@ class StarRetail(Retail):
     def session_purchases(self) -> DataFrame:
         bought = self.events.filter(F.col("event_type") == "purchase")
         return bought.groupBy("session_id").agg(
-            F.sum("value").alias("purchase_amount"), F.count("*").alias("items_purchased")
+            sum_money("value").alias("purchase_amount"), F.count("*").alias("items_purchased")
         )
 
     @cached_property
