@@ -251,6 +251,10 @@ def _load_and_profile() -> dict[str, str]:
         CASE WHEN {dup} = 0 THEN 'OK' ELSE 'DUPLICATES' END AS verdict
         FROM (SELECT COUNT(*) AS total_rows, COUNT(DISTINCT transaction_id) AS distinct_keys FROM """
     return {
+        "users_from_json": _with("usr reg", f"""SELECT CAST(usr.user_id AS VARCHAR) AS user_id, name, city, province,
+            {_sec('registration_date')} AS registration_date FROM usr LEFT JOIN reg ON reg.user_id = usr.user_id"""),
+        "subcategories_from_json": _with("prod", f"""SELECT DISTINCT category_id, category AS category_name, subcategory_id,
+            subcategory AS subcategory_name, {_dbl('profit_margin')} AS profit_margin FROM prod"""),
         "clean_products": _with("prod", "SELECT product_id, name, current_stock, is_active FROM prod"),
         "subcategories": _with("prod", f"""SELECT DISTINCT category_id, category AS category_name, subcategory_id,
             subcategory AS subcategory_name, {_dbl('profit_margin')} AS profit_margin FROM prod"""),

@@ -18,8 +18,7 @@ from basketry.operators import baskets, profiling
 from basketry.operators.joins import attach
 from basketry.plans import clv, cohort, commerce, etl, filters, funnel, insights, lookup, recommend, sessions
 from basketry.session import shared_dir
-from basketry.sources import results
-from basketry.sources.documents import clean_products
+from basketry.sources import documents, results
 from basketry.sources.star import StarRetail, SYSTEMS
 
 CLV_BOUNDS = (1200000, 900000, 600000)
@@ -32,6 +31,7 @@ SESSION_DATES = (date(2024, 1, 5), date(2024, 1, 20))
 CATEGORIES = ("ECONOMY", "LARGE")
 PROVINCES = ("ASIA", "EUROPE")
 PAGE_TYPES = ("view", "click", "purchase")
+FILES = 5
 OFFSETS = tuple(range(12))
 MONTHS = tuple(f"1995-{m:02d}" for m in range(1, 13))
 
@@ -140,14 +140,40 @@ def filtered_page_views(r: StarRetail) -> DataFrame:
 
 def materialised(r: StarRetail) -> DataFrame:
     """Write a result to the shared folder and read it back."""
-    path = posixpath.join(shared_dir(r.spark), f"basketry-results-{uuid.uuid4().hex}")
+    path = _scratch(r, "results")
     results.materialise({"daily_revenue": commerce.daily_revenue(r.orders)}, path)
     return results.load_results(r.spark, path, ["daily_revenue"])["daily_revenue"]
 
 
+def _scratch(r: StarRetail, name: str) -> str:
+    return posixpath.join(shared_dir(r.spark), f"basketry-{name}-{uuid.uuid4().hex}")
+
+
+def users_from_json(r: StarRetail) -> DataFrame:
+    """Users written as JSON documents in several files and loaded with the declared schema."""
+    iso = F.date_format("registration_date", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    path = _scratch(r, "users")
+    documents.write_json(r.users.select(
+        F.col("user_id").cast("string").alias("user_id"), "name", F.struct("city", "province").alias("geo_data"), iso.alias("registration_date"),
+    ), posixpath.join(path, "users.json"), FILES)
+    loaded = documents.read_entity(r.spark, path, "users", multi_line=False)
+    return loaded.select("user_id", "name", "geo_data.city", "geo_data.province", "registration_date")
+
+
+def subcategories_from_json(r: StarRetail) -> DataFrame:
+    """Categories with their (few) subcategories as nested documents, loaded and exploded again."""
+    sub = F.struct("subcategory_id", F.col("subcategory_name").alias("name"), F.col("profit_margin").cast("double").alias("profit_margin"))
+    path = _scratch(r, "categories")
+    documents.write_json(r.subcategories.groupBy("category_id", F.col("category_name").alias("name")).agg(
+        F.collect_list(sub).alias("subcategories")), posixpath.join(path, "categories.json"), 1)
+    return documents.explode_subcategories(documents.read_entity(r.spark, path, "categories", multi_line=False))
+
+
 CATALOG: dict[str, Query] = {
     # load, clean, profile
-    "clean_products": lambda r: clean_products(r.products).select("product_id", "name", "current_stock", "is_active"),
+    "users_from_json": users_from_json,
+    "subcategories_from_json": subcategories_from_json,
+    "clean_products": lambda r: documents.clean_products(r.products).select("product_id", "name", "current_stock", "is_active"),
     "subcategories": lambda r: r.subcategories,
     "null_profile": lambda r: profiling.null_profile(r.page_views),
     "duplicate_key_check_lines": lambda r: profiling.duplicate_key_check(r.items, "transaction_id"),

@@ -22,14 +22,21 @@ HOT_SHARE = 0.02
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Row counts of the few keys that hold a large share of a table."""
+    """Row counts of the few keys that hold a large share of a table, and of missing keys if they do."""
 
     counts: dict[Any, int] = field(default_factory=dict)
     total: int = 0
+    nulls: int = 0
 
     def splits(self, partitions: int) -> dict[Any, int]:
         """How many parts each hot key is cut into on ``partitions`` shuffle partitions."""
-        return {k: max(2, ceil(2 * partitions * n / self.total)) for k, n in self.counts.items()}
+        return {k: self._parts(n, partitions) for k, n in self.counts.items()}
+
+    def null_splits(self, partitions: int) -> int:
+        return self._parts(self.nulls, partitions) if self.nulls else 1
+
+    def _parts(self, n: int, partitions: int) -> int:
+        return max(2, ceil(2 * partitions * n / self.total))
 
 
 def find_hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> HotKeys:
@@ -40,12 +47,12 @@ def find_hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> HotKeys:
     count per candidate with all other keys falling into a single group.
     """
     candidates = [k for k in df.select(key).freqItems([key], share).first()[0] or [] if k is not None]
-    if not candidates:
-        return HotKeys()
     group = F.when(F.col(key).isin(candidates), F.col(key))
-    rows = df.groupBy(group.alias("k")).count().collect()  # at most 1/share + 1 rows
+    rows = df.groupBy(group.alias("k"), F.col(key).isNull().alias("missing")).count().collect()  # at most 1/share + 2 rows
     total = sum(r["count"] for r in rows)
-    return HotKeys({r["k"]: r["count"] for r in rows if r["k"] is not None and r["count"] >= share * total}, total)
+    large = [r for r in rows if r["count"] >= share * total]
+    return HotKeys({r["k"]: r["count"] for r in large if r["k"] is not None}, total,
+                   sum(r["count"] for r in large if r["missing"]))
 
 
 def attach(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", hot: HotKeys | None = None) -> DataFrame:
@@ -54,10 +61,11 @@ def attach(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", hot: H
     ``how`` is "inner" or "left". Broadcasting is left to Spark, which does it
     only below its measured size threshold.
     """
-    if hot is None or not hot.counts:
+    if hot is None or not (hot.counts or (hot.nulls and how == "left")):
         return fact.join(dim, key, how)
     partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    splits = _lookup(F.col(key), hot.splits(partitions))
+    # Missing keys match nothing, but a left join would still send them all to one partition.
+    splits = F.when(F.col(key).isNull(), hot.null_splits(partitions)).otherwise(_lookup(F.col(key), hot.splits(partitions)))
     # The partition id spreads identical rows; both parts are stable when a task is run again.
     salt = F.pmod(F.xxhash64(*fact.columns) + F.spark_partition_id(), splits)
     salted = fact.withColumn("_salt", F.when(splits > 1, salt).otherwise(F.lit(0)).cast("int"))
@@ -67,5 +75,7 @@ def attach(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", hot: H
 
 def _lookup(key: Column, values: dict[Any, int]) -> Column:
     """Number of parts of ``key``: the stated one for hot keys, otherwise 1."""
+    if not values:
+        return F.lit(1)
     pairs = [F.lit(x) for kv in values.items() for x in kv]
     return F.coalesce(F.create_map(*pairs)[key], F.lit(1))

@@ -19,12 +19,6 @@ def top_k_per_group(df: DataFrame, group: str, by: str, k: int, ties: Sequence[s
     return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k).drop("_rank")
 
 
-def most_frequent(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
-    """Most frequent ``value`` per group; ties go to the smaller value."""
-    counts = df.groupBy(*group, value).agg(F.count("*").alias("_n"))
-    return counts.groupBy(*group).agg(F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias(value))
-
-
 def over_rows(agg: Column, order: str, rows: int | None = None) -> Column:
     """``agg`` over the last ``rows`` rows, or over all rows so far. Reduced frames only."""
     start = Window.unboundedPreceding if rows is None else 1 - rows

@@ -9,6 +9,13 @@ from basketry.functions.numeric import half_up, ratio, sum_money, units
 from basketry.operators.joins import HotKeys, attach
 from basketry.sources.retail import Retail
 
+# Session activity kept as JSON text in the wide table.
+ACTIVITY = {
+    "viewed_products": "ARRAY<STRING>",
+    "page_views": "ARRAY<STRUCT<timestamp: STRING, page_type: STRING, product_id: STRING, category_id: STRING, view_duration: INT>>",
+    "cart_contents": "MAP<STRING, STRUCT<quantity: INT, price: DOUBLE>>",
+}
+
 LINE_COLUMNS = (
     "date", "user_id", "transaction_id", "product_id", "product_name", "category", "subcategory", "profit_margin",
     "quantity", "unit_price", "subtotal", "total", "discount", "payment_method", "status",
@@ -115,13 +122,18 @@ def document_sessions_flat(sessions: DataFrame) -> DataFrame:
         F.col(f"{device}.browser").alias("device_browser"), F.col(f"{geo}.city").alias("geo_city"),
         F.col(f"{geo}.state").alias("geo_state"), F.col(f"{geo}.country").alias("geo_country"),
         F.col(f"{geo}.ip_address").alias("geo_ip"),
-        *[F.to_json(c).alias(c) for c in ("viewed_products", "page_views", "cart_contents")],
+        *[F.to_json(c).alias(c) for c in ACTIVITY],
     )
 
 
+def parse_activity(flat: DataFrame) -> DataFrame:
+    """The JSON texts of a flat session row as lists and a map again; unreadable text becomes NULL."""
+    return flat.withColumns({c: F.from_json(c, ddl) for c, ddl in ACTIVITY.items()})
+
+
 def fill_activity(primary: DataFrame, fallback: DataFrame) -> DataFrame:
     """Empty or missing activity texts of ``primary`` taken from ``fallback`` by session."""
-    names = ("viewed_products", "page_views", "cart_contents")
+    names = tuple(ACTIVITY)
     other = fallback.select("session_id", *[F.col(c).alias(f"_{c}") for c in names])
 
     def present(c: str):

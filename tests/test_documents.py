@@ -73,6 +73,8 @@ def test_sessions_flat_and_lookup(documents, retail, rows):
     row = wide.filter("session_id = 'x2'").first()
     assert row["row_key"] == "u1_" + str(9999999999999 - 1705298400000)
     assert (row["viewed_products"], row["cart_contents"]) == ("[]", "{}")
+    again = etl.parse_activity(wide).select("session_id", *etl.ACTIVITY)
+    assert sorted(map(str, again.collect())) == sorted(map(str, documents["sessions"].select("session_id", *etl.ACTIVITY).collect()))
     by_key = rows(lookup.sessions_by_key(retail.sessions, 3), "session_id", "user_id")
     assert by_key == [("x2", "u1"), ("x1", "u1"), ("x6", "u2")]
     assert rows(lookup.user_sessions(retail.sessions, "u2", 2), "session_id") == [("x6",), ("x5",)]
