@@ -6,8 +6,6 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-
 # Key space of the descending time part of a session row key (fixed value).
 REVERSE_TIME_BASE = 9999999999999
 
@@ -16,8 +14,8 @@ MORNING, AFTERNOON, EVENING, NIGHT = 6, 12, 18, 22
 
 
 def parse_iso(col: str) -> Column:
-    """ISO text to a zone-free timestamp; unreadable text becomes NULL."""
-    return F.try_to_timestamp(F.col(col), F.lit(ISO_SECONDS)).cast("timestamp_ntz")
+    """ISO text ending in Z to a zone-free timestamp (UTC); unreadable text becomes NULL."""
+    return F.regexp_replace(F.col(col), "Z$", "").try_cast("timestamp_ntz")
 
 
 def year_month(ts: Column | str) -> Column:

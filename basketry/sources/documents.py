@@ -167,7 +167,7 @@ class DocumentRetail(Retail):
             "session_id", F.col("view_id").cast("bigint").alias("view_id"),
             F.coalesce("v.page_type", F.lit("unknown")).alias("page_type"),
             money("v.view_duration").alias("view_duration"),
-            F.try_to_timestamp("v.timestamp", F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")).cast("timestamp_ntz").alias("timestamp"),
+            parse_iso("v.timestamp").alias("timestamp"),
             F.col("v.product_id").alias("product_id"),
             F.substring("v.timestamp", 1, 10).cast("date").alias("date"),
         )
