@@ -54,7 +54,7 @@ def portable(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.DecimalType):
             return c.cast("double").alias(f.name)
         if isinstance(f.dataType, T.DateType):
-            return F.date_format(c, "yyyy-MM-dd").alias(f.name)
+            return c.cast("string").alias(f.name)
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(f.name)
         return c
@@ -118,7 +118,7 @@ def categories_flat(r: StarRetail) -> DataFrame:
 def enriched_flat(r: StarRetail) -> DataFrame:
     rows = etl.products_enriched(r.products, r.subcategories)
     return rows.select("product_id", "name", "base_price", "current_stock", "is_active", "category.category_id",
-                       "category.category_name", "category.subcategory_id", "category.subcategory_name", "category.profit_margin")
+                       F.col("category.name").alias("category_name"), "category.subcategory_id", "category.subcategory_name", "category.profit_margin")
 
 
 def filtered_lines(r: StarRetail) -> DataFrame:

@@ -24,7 +24,7 @@ LINE_COLUMNS = (
 
 def products_enriched(products: DataFrame, subcategories: DataFrame) -> DataFrame:
     """Products with an embedded ``category`` struct; its fields are null when the subcategory is unknown."""
-    fields = ["category_id", "category_name", "subcategory_id", "subcategory_name", "profit_margin"]
+    fields = ["category_id", F.col("category_name").alias("name"), "subcategory_id", "subcategory_name", "profit_margin"]
     embedded = subcategories.select(
         F.col("category_id"), F.col("subcategory_id"), F.struct(*fields).alias("category")
     )
@@ -71,6 +71,16 @@ def with_totals(users: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
+def totals_or_orders(profiles: DataFrame, orders: DataFrame) -> DataFrame:
+    """Profiles as they are when any of them shows spending; otherwise totals are taken from the orders."""
+    known = profiles.agg(F.coalesce(F.max("total_spent") > 0, F.lit(False)).alias("known")).scalar()
+    names = ("total_orders", "total_spent", "avg_order_value")
+    computed = order_totals(orders).select("user_id", *[F.col(c).alias(f"_{c}") for c in names])
+    return profiles.join(computed, "user_id", "left").withColumns(
+        {c: F.when(known, F.col(c)).otherwise(F.coalesce(F.col(f"_{c}"), F.col(c))) for c in names}
+    ).drop(*[f"_{c}" for c in names])
+
+
 def users_enriched(users: DataFrame, summary: DataFrame) -> DataFrame:
     return with_totals(users, summary)
 
@@ -193,6 +203,17 @@ def cart_lines(carts: DataFrame, sessions: DataFrame, product_dim: DataFrame, ho
     )
 
 
+def warehouse(r: Retail) -> dict[str, tuple[DataFrame, list[str]]]:
+    """The tables worth keeping, each with the key it is ordered by: what key reads and reports start from."""
+    return {
+        "products": (products_enriched(r.products, r.subcategories), ["product_id"]),
+        "users": (users_enriched(r.users, purchase_summary(r.orders)), ["user_id"]),
+        "transactions": (r.transactions(), ["date", "transaction_id"]),
+        "sessions": (sessions_flat(r.sessions), ["row_key"]),
+        "product_metrics": (product_daily_metrics(r.sales("date"), r.products), ["product_id", "date"]),
+    }
+
+
 def price_history(price_points: DataFrame, product_dim: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     names = product_dim.select("product_id", F.col("name").alias("product_name"))
     return attach(price_points, names, "product_id", "left", hot).select(

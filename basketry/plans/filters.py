@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -22,6 +23,16 @@ def by_category(lines: DataFrame, product_dim: DataFrame, categories: Sequence[s
     return attach(lines, chosen, "product_id", hot=hot_products)
 
 
+def apply_filters(lines: DataFrame, users: DataFrame, sessions: DataFrame, start: date | None = None, end: date | None = None,
+                  categories: Sequence[str] | None = None, provinces: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All report filters on denormalised lines, users and sessions: days narrow lines and sessions,
+    categories lines only, provinces users and sessions only. ``None`` keeps everything."""
+    lines = by_date(lines, start, end)
+    if categories is not None:
+        lines = lines.filter(F.col("category").isin(*categories))
+    return lines, by_province(users, provinces), by_province(by_date(sessions, start, end, "start_time"), provinces)
+
+
 def of_sessions(rows: DataFrame, sessions: DataFrame) -> DataFrame:
     """Page views or cart rows whose session is in ``sessions``."""
     return rows.join(sessions.select("session_id"), "session_id", "left_semi")

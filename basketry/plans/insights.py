@@ -19,6 +19,7 @@ from basketry.operators.joins import HotKeys, attach
 from basketry.operators.quantiles import summary_by
 from basketry.operators.ranking import over_rows, top_k
 
+# Order statuses shown in the share report (fixed values).
 STATUSES = ("completed", "shipped", "processing", "refunded")
 
 

@@ -125,7 +125,8 @@ class DocumentRetail(Retail):
     @cached_property
     def products(self) -> DataFrame:
         return self.entities["products"].select(
-            "product_id", "name", "category_id", "subcategory_id", money("base_price").alias("base_price"),
+            "product_id", "name", F.coalesce("category_id", "category.category_id").alias("category_id"),
+            F.coalesce("subcategory_id", "category.subcategory_id").alias("subcategory_id"), money("base_price").alias("base_price"),
             "current_stock", "is_active",
             F.coalesce(F.size("price_history") > 0, F.lit(False)).alias("has_price_history"),
         )
@@ -145,6 +146,16 @@ class DocumentRetail(Retail):
             F.coalesce("geo_data.province", F.lit("Unknown")).alias("province"), "registration_date",
         )
 
+    @property
+    def profiles(self) -> DataFrame:
+        """Users with the totals their documents carry, 0 where they carry none."""
+        totals = self.entities["users"].select(
+            "user_id", F.coalesce("purchase_summary.total_orders", F.lit(0).cast("bigint")).alias("total_orders"),
+            F.coalesce(money("purchase_summary.total_spent"), F.lit(0).cast("decimal(18,2)")).alias("total_spent"),
+            F.coalesce("purchase_summary.avg_order_value", F.lit(0.0)).alias("avg_order_value"),
+        )
+        return self.users.join(totals, "user_id")
+
     @cached_property
     def sessions(self) -> DataFrame:
         def length(col: str):

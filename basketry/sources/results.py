@@ -18,6 +18,12 @@ def load_results(spark: SparkSession, path: str, names: Iterable[str]) -> dict[s
     return {name: spark.read.parquet(posixpath.join(path, name)) for name in names}
 
 
+def write_warehouse(tables: Mapping[str, tuple[DataFrame, list[str]]], path: str) -> None:
+    """Replace every table of the store, ordered by its key."""
+    for name, (df, keys) in tables.items():
+        write_key_ordered(df, posixpath.join(path, name), keys)
+
+
 def write_key_ordered(df: DataFrame, path: str, keys: list[str]) -> None:
     """Range-partitioned and sorted by ``keys``, so that a filter on the leading
     key reads only the row groups whose statistics contain it."""

@@ -2,13 +2,16 @@
 
 Declared, never inferred: inference would turn ``cart_contents`` into a struct
 with one field per product and would cost an extra pass over the files.
+Enriched documents may also carry ``purchase_summary`` (users) and ``category``
+(products, instead of the two ids); plain ones read as NULL there.
 Timestamps arrive as ISO text and are parsed by the loader.
 """
 
 USERS = """
     user_id STRING, name STRING, email STRING, phone STRING,
     geo_data STRUCT<city: STRING, province: STRING, country: STRING>,
-    registration_date STRING, last_active STRING
+    registration_date STRING, last_active STRING,
+    purchase_summary STRUCT<total_orders: BIGINT, total_spent: DOUBLE, avg_order_value: DOUBLE>
 """
 
 CATEGORIES = """
@@ -19,7 +22,8 @@ CATEGORIES = """
 PRODUCTS = """
     product_id STRING, name STRING, category_id STRING, subcategory_id STRING,
     base_price DOUBLE, current_stock INT, is_active BOOLEAN,
-    price_history ARRAY<STRUCT<price: DOUBLE, date: STRING>>, creation_date STRING
+    price_history ARRAY<STRUCT<price: DOUBLE, date: STRING>>, creation_date STRING,
+    category STRUCT<category_id: STRING, name: STRING, subcategory_id: STRING, subcategory_name: STRING, profit_margin: DOUBLE>
 """
 
 SESSIONS = """

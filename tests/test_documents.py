@@ -32,7 +32,7 @@ def test_unreadable_timestamp_becomes_null(spark):
 
 
 def test_profile(documents, retail, rows):
-    assert rows(profiling.null_profile(documents["users"])) == [("geo_data", 1)]
+    assert rows(profiling.null_profile(documents["users"].drop("purchase_summary"))) == [("geo_data", 1)]
     assert rows(profiling.duplicate_key_check(retail.items, "transaction_id")) == [(10, 5, 5, "DUPLICATES")]
     keys = documents["users"].select(F.when(F.col("user_id") != "u1", F.col("user_id")).alias("k"))
     assert rows(profiling.duplicate_key_check(keys, "k")) == [(3, 3, 0, "OK")]
@@ -242,3 +242,37 @@ def test_results_round_trip(spark, retail, tmp_path, rows):
     assert sorted(rows(back["a"])) == sorted(rows(named["a"])) and back["b"].count() == 4
     results.write_key_ordered(retail.sessions, str(tmp_path / "ordered"), ["user_id", "start_time"])
     assert spark.read.parquet(str(tmp_path / "ordered")).count() == 6
+
+
+def test_enriched_documents(spark, documents, retail, rows):
+    """Products with an embedded category and users with an embedded summary."""
+    products = documents["products"].withColumns({
+        "category": F.struct("category_id", F.lit("x").alias("name"), "subcategory_id", F.lit("x").alias("subcategory_name"), F.lit(0.0).alias("profit_margin")),
+        "category_id": F.lit(None).cast("string"), "subcategory_id": F.lit(None).cast("string")})
+    other = docs.DocumentRetail({**documents, "products": products})
+    assert sorted(rows(other.product_dim(), "product_id", "category", "subcategory")) == sorted(rows(retail.product_dim(), "product_id", "category", "subcategory"))
+
+    plain = etl.totals_or_orders(retail.profiles, retail.orders).orderBy("user_id")
+    assert rows(plain, "user_id", "total_orders", "total_spent") == [("u1", 2, 440.0), ("u2", 3, 350.0), ("u3", 0, 0.0)]
+    summary = F.when(F.col("user_id") == "u1", F.struct(F.lit(9).cast("bigint").alias("total_orders"), F.lit(99.5).alias("total_spent"), F.lit(11.06).alias("avg_order_value")))
+    kept = docs.DocumentRetail({**documents, "users": documents["users"].withColumn("purchase_summary", summary)})
+    assert rows(etl.totals_or_orders(kept.profiles, kept.orders).orderBy("user_id"), "user_id", "total_orders", "total_spent") == [
+        ("u1", 9, 99.5), ("u2", 0, 0.0), ("u3", 0, 0.0)]
+
+
+def test_apply_filters(retail, rows):
+    lines, users, visits = filters.apply_filters(
+        etl.txn_lines(retail), retail.users, retail.sessions, dt.date(2024, 1, 1), dt.date(2024, 1, 16), ["Kitchen"], ["North"])
+    assert (lines.count(), users.count(), visits.count()) == (2, 1, 3)
+    everything = filters.apply_filters(etl.txn_lines(retail), retail.users, retail.sessions)
+    assert [df.count() for df in everything] == [10, 3, 6]
+
+
+def test_warehouse(spark, retail, tmp_path, rows):
+    for _ in range(2):
+        results.write_warehouse(etl.warehouse(retail), str(tmp_path))
+    stored = results.load_results(spark, str(tmp_path), ["products", "users", "transactions", "sessions", "product_metrics"])
+    assert {name: df.count() for name, df in stored.items()} == {
+        "products": 3, "users": 3, "transactions": 5, "sessions": 6, "product_metrics": 9}
+    assert rows(lookup.product_metrics_summary(stored["product_metrics"], "p1"), "days", "total_units") == [(4, 5)]
+    assert rows(lookup.product_metrics_for(stored["product_metrics"], "p1"), "total_quantity") == [(2,), (1,), (2,), (0,)]
