@@ -121,6 +121,11 @@ def enriched_flat(r: StarRetail) -> DataFrame:
                        F.col("category.name").alias("category_name"), "category.subcategory_id", "category.subcategory_name", "category.profit_margin")
 
 
+def price_timeline(r: StarRetail) -> DataFrame:
+    leaders = insights.leading_products(r.items)
+    return insights.price_timeline(r.price_points_of(leaders), leaders, r.product_dim())
+
+
 def filtered_lines(r: StarRetail) -> DataFrame:
     """Revenue per day and category-filtered product of the lines that pass the report filters."""
     orders = filters.by_date(r.orders, *DATES, column="timestamp").select("transaction_id", "date")
@@ -288,7 +293,7 @@ CATALOG: dict[str, Query] = {
     "subcategory_revenue": subcategories,
     "subcategory_totals": lambda r: insights.subcategory_totals(subcategories(r)),
     "top_subcategories": lambda r: insights.top_subcategories(subcategories(r)),
-    "price_timeline": lambda r: insights.price_timeline(r.price_points, r.items, r.product_dim()),
+    "price_timeline": price_timeline,
     "category_stats": lambda r: insights.category_stats(r.items, r.product_dim()),
     "status_counts": lambda r: sessions.status_counts(sessions.session_filter(r.sessions, ["mobile", "desktop"], ["direct", "email"])),
     "stage_counts": lambda r: sessions.stage_counts(r.sessions),

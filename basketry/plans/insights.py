@@ -214,9 +214,13 @@ def top_subcategories(subcategories: DataFrame, k: int = 20) -> DataFrame:
     return best.select("category", "subcategory", "profit_margin", "revenue", half_up(scaled, 2).alias("scaled_margin"))
 
 
-def price_timeline(price_points: DataFrame, items: DataFrame, product_dim: DataFrame, k: int = 10) -> DataFrame:
-    """Price history of the ``k`` products with the most revenue."""
-    leaders = top_k(product_revenue(items), "revenue", k, ["product_id"]).select("product_id")
+def leading_products(items: DataFrame, k: int = 10) -> DataFrame:
+    """Ids of the ``k`` products with the most revenue."""
+    return top_k(product_revenue(items), "revenue", k, ["product_id"]).select("product_id")
+
+
+def price_timeline(price_points: DataFrame, leaders: DataFrame, product_dim: DataFrame) -> DataFrame:
+    """Price history of the leading products."""
     names = product_dim.select("product_id", F.col("name").alias("product_name"))
     chosen = leaders.join(names, "product_id", "left")
     return price_points.join(chosen, "product_id").select("product_id", "product_name", units("price").alias("price"), "date").orderBy("product_id", "date")

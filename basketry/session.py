@@ -7,12 +7,28 @@ import os
 from pyspark.sql import SparkSession
 
 
+PARTITION_BYTES = 256 << 20
+MOST_PARTITIONS = 32000
+
+
+def sizing(shuffle_bytes: int) -> dict[str, str]:
+    """Settings for jobs that shuffle about ``shuffle_bytes``: partitions of 256 MB, larger only
+    where there would be more than the shuffle service handles well. Adaptive execution
+    merges what turns out small, so the number may be generous."""
+    partitions = min(MOST_PARTITIONS, max(200, -(-shuffle_bytes // PARTITION_BYTES)))
+    target = max(PARTITION_BYTES, -(-shuffle_bytes // partitions))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+    }
+
+
 def build_session(app_name: str = "basketry", master: str | None = None, **conf: str) -> SparkSession:
     """Session with UTC, ANSI arithmetic and adaptive execution.
 
-    The number of shuffle partitions and the broadcast threshold are left to
-    the cluster's defaults unless passed in ``conf``: adaptive execution merges
-    small partitions, and a broadcast happens only for sides Spark has measured.
+    For large data pass ``**sizing(bytes)``; without it the shuffle settings stay
+    those of the cluster. A broadcast happens only for sides Spark has measured.
     Only settings passed here or missing from the environment are set, so
     cluster-provided values such as ``spark.checkpoint.dir`` stay untouched.
     """

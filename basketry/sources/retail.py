@@ -62,9 +62,12 @@ class Retail:
 
         The status filter sits on the order side, so it reaches that scan.
         """
+        return self._with_orders(self.items, *order_columns, only=only)
+
+    def _with_orders(self, items: DataFrame, *order_columns: str, only: str | None = None) -> DataFrame:
         orders = self.orders if only is None else self.orders_with(only)
         header = orders.select("transaction_id", *(order_columns or ORDER_COLUMNS))
-        return attach(self.items, header, "transaction_id", hot=self.hot_keys("items", "transaction_id"))
+        return attach(items, header, "transaction_id", hot=self.hot_keys("items", "transaction_id"))
 
     def orders_with(self, status: str) -> DataFrame:
         return self.orders.filter(F.col("status") == status)
@@ -85,6 +88,10 @@ class Retail:
         header = [units("total").alias("total") if c == "total" else F.col(c) for c in order_columns]
         return self.order_amounts().join(self.orders.select("transaction_id", *header), "transaction_id")
 
+    def price_points_of(self, products: DataFrame) -> DataFrame:
+        """Price points of the few products in ``products``."""
+        return self.price_points.join(products.select("product_id"), "product_id", "left_semi")
+
     @property
     def cart_events(self) -> DataFrame:
         """What the carts are made of; frequent products and sessions are measured here, before any shuffle."""

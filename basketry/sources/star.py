@@ -215,5 +215,12 @@ class StarRetail(Retail):
 
     @cached_property
     def price_points(self) -> DataFrame:
+        return self._prices(self.items)
+
+    def price_points_of(self, products: DataFrame) -> DataFrame:
+        """Lines are cut to the products before they meet the orders."""
+        return self._prices(self.items.join(products.select("product_id"), "product_id", "left_semi"))
+
+    def _prices(self, items: DataFrame) -> DataFrame:
         """Highest unit price per product and day of sale."""
-        return self.sales("date").groupBy("product_id", "date").agg(F.max("unit_price").alias("price"))
+        return self._with_orders(items, "date").groupBy("product_id", "date").agg(F.max("unit_price").alias("price"))

@@ -125,3 +125,12 @@ def test_ranking_ties(spark):
     df = spark.createDataFrame([("a", "x", 1), ("a", "y", 1), ("a", "z", 2), ("b", "y", 1)], "g string, v string, n long")
     assert [r["v"] for r in top_k(df, "n", 2, ["g", "v"]).collect()] == ["z", "x"]
     assert sorted(r["v"] for r in top_k_per_group(df, "g", "n", 2, ["v"]).collect()) == ["x", "y", "z"]
+
+
+def test_sizing_follows_the_shuffle():
+    from basketry.session import sizing
+
+    assert sizing(1 << 30)["spark.sql.shuffle.partitions"] == "200"
+    assert sizing(1 << 40)["spark.sql.shuffle.partitions"] == "4096"
+    big = sizing(100 << 40)
+    assert big["spark.sql.shuffle.partitions"] == "32000" and int(big["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) > 3 << 30
