@@ -139,7 +139,8 @@ def filtered_sessions(r: StarRetail) -> DataFrame:
 
 
 def filtered_page_views(r: StarRetail) -> DataFrame:
-    kept = filters.of_sessions(r.page_views, filtered_sessions(r))
+    views = filters.by_date(r.page_views, *SESSION_DATES, column="timestamp")
+    kept = filters.of_sessions(views, filtered_sessions(r), r.hot_keys("page_views", "session_id"))
     return kept.groupBy("page_type").agg(F.count("*").alias("views"))
 
 

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
-from basketry.functions.calendar import by_date  # noqa: F401  (one of the report filters)
+from basketry.functions.calendar import by_date
 from basketry.operators.joins import HotKeys, attach
 
 
@@ -33,6 +33,6 @@ def apply_filters(lines: DataFrame, users: DataFrame, sessions: DataFrame, start
     return lines, by_province(users, provinces), by_province(by_date(sessions, start, end, "start_time"), provinces)
 
 
-def of_sessions(rows: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Page views or cart rows whose session is in ``sessions``."""
-    return rows.join(sessions.select("session_id"), "session_id", "left_semi")
+def of_sessions(rows: DataFrame, sessions: DataFrame, hot_sessions: HotKeys | None = None) -> DataFrame:
+    """Page views or cart rows whose session is in ``sessions`` (one row per session)."""
+    return attach(rows, sessions.select("session_id"), "session_id", hot=hot_sessions)

@@ -141,11 +141,8 @@ def page_transitions(page_views: DataFrame) -> DataFrame:
 
 def nested_page_transitions(sessions: DataFrame) -> DataFrame:
     """The same for session documents: pairs inside the row's own list, no shuffle before the count."""
-    views = F.col("page_views")
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.size(views) - 1),
-        lambda i: F.struct(F.get(views, i - 1)["page_type"].alias("source"), F.get(views, i)["page_type"].alias("target")),
-    )
-    return sessions.filter(F.size(views) > 1).select(F.explode(pairs).alias("p")).groupBy(
-        F.coalesce("p.source", F.lit("unknown")).alias("source"), F.coalesce("p.target", F.lit("unknown")).alias("target")
+    types, steps = F.col("page_views.page_type"), F.size("page_views") - 1
+    pairs = F.arrays_zip(F.slice(types, F.lit(1), steps), F.slice(types, F.lit(2), steps))
+    return sessions.filter(F.size("page_views") > 1).select(F.inline(pairs).alias("source", "target")).groupBy(
+        F.coalesce("source", F.lit("unknown")).alias("source"), F.coalesce("target", F.lit("unknown")).alias("target")
     ).agg(F.count("*").alias("count"))

@@ -23,8 +23,6 @@ amounts. Timestamps carry no zone.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.functions.numeric import sum_money, units
