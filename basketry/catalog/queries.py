@@ -13,6 +13,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from basketry.functions.calendar import iso_text, plain_text
 from basketry.functions.numeric import sum_money
 from basketry.operators import baskets, profiling
 from basketry.operators.joins import attach
@@ -24,6 +25,7 @@ from basketry.sources.star import StarRetail, SYSTEMS
 CLV_BOUNDS = (1200000, 900000, 600000)
 SPEND_BOUNDS = (0, 1, 1000000, 2000000, 3000000, 4000000)
 SEGMENT_BOUNDS = (2500000, 1500000)
+# Arguments of the key reads (one user, one product, first rows in key order): reading by key is what they do.
 ONE_USER, ONE_PRODUCT, SCAN_ROWS = 7, 42, 25
 SEARCH = "RING"
 DATES = (date(1996, 1, 1), date(1997, 12, 31))
@@ -55,8 +57,8 @@ def portable(df: DataFrame) -> DataFrame:
             return c.cast("double").alias(f.name)
         if isinstance(f.dataType, T.DateType):
             return c.cast("string").alias(f.name)
-        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(f.name)
+        if isinstance(f.dataType, T.TimestampNTZType):
+            return plain_text(c).alias(f.name)
         return c
 
     return df.select(*[plain(f) for f in df.schema.fields])
@@ -157,10 +159,9 @@ def _scratch(r: StarRetail, name: str) -> str:
 
 def users_from_json(r: StarRetail) -> DataFrame:
     """Users written as JSON documents in several files and loaded with the declared schema."""
-    iso = F.date_format("registration_date", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     path = _scratch(r, "users")
     documents.write_json(r.users.select(
-        F.col("user_id").cast("string").alias("user_id"), "name", F.struct("city", "province").alias("geo_data"), iso.alias("registration_date"),
+        F.col("user_id").cast("string").alias("user_id"), "name", F.struct("city", "province").alias("geo_data"), iso_text("registration_date").alias("registration_date"),
     ), posixpath.join(path, "users.json"), FILES)
     loaded = documents.read_entity(r.spark, path, "users", multi_line=False)
     return loaded.select("user_id", "name", "geo_data.city", "geo_data.province", "registration_date")

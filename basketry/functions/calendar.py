@@ -18,6 +18,16 @@ def parse_iso(col: str) -> Column:
     return F.regexp_replace(F.col(col), "Z$", "").try_cast("timestamp_ntz")
 
 
+def plain_text(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a zone-free timestamp; formatting it as an instant could shift it."""
+    return F.substring(ts.cast("string"), 1, 19)
+
+
+def iso_text(ts: str) -> Column:
+    """The text ``parse_iso`` reads."""
+    return F.concat(F.translate(plain_text(F.col(ts)), " ", "T"), F.lit("Z"))
+
+
 def year_month(ts: Column | str) -> Column:
     return F.date_format(ts, "yyyy-MM")
 

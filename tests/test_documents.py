@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from basketry.functions.calendar import iso_text
 from basketry.operators import baskets, profiling
 from basketry.plans import clv, cohort, commerce, etl, filters, funnel, insights, lookup, recommend, sessions
 from basketry.sources import documents as docs
@@ -19,7 +20,7 @@ def test_load_types_and_defaults(documents, rows):
 
 
 def test_json_lines_split_and_reload(spark, documents, tmp_path):
-    raw = documents["users"].withColumns({c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'") for c in ("registration_date", "last_active")})
+    raw = documents["users"].withColumns({c: iso_text(c) for c in ("registration_date", "last_active")})
     docs.write_json(raw, str(tmp_path / "users_out.json"), 3)
     again = docs.read_entity(spark, str(tmp_path), "users", multi_line=False)
     assert sorted(map(str, again.collect())) == sorted(map(str, documents["users"].collect()))
