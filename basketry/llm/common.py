@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketry.session import shared_dir
 
@@ -33,6 +33,16 @@ def texts(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+# A document: whether it lacks an id, its id, a digest of its text. Rows that agree in all three are one document.
+DOC = ["_none", "_id", "_text"]
+
+
+def doc_key(docs: DataFrame) -> list[Column]:
+    """The columns ``DOC``, none of them null; they sort by doc_id, rows without one last."""
+    return [docs["doc_id"].isNull().alias("_none"), F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias("_id"),
+            F.coalesce(F.xxhash64(docs["text"]), F.lit(0)).alias("_text")]
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not use."""
     while name.lower() in (c.lower() for c in df.columns):

@@ -33,20 +33,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from basketry.llm.common import fresh, texts, written
+from basketry.llm.common import DOC, doc_key, fresh, texts, written
 
 MIN_WORDS = 50
 
-# A document: whether it lacks an id, its id, a digest of its text. Earlier documents sort first.
-DOC = ["_none", "_id", "_text"]
-
-
-def doc_key(docs: DataFrame) -> list[Column]:
-    return [docs["doc_id"].isNull().alias("_none"), F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias("_id"),
-            F.coalesce(F.xxhash64(docs["text"]), F.lit(0)).alias("_text")]
-
 
 def split_lines(docs: DataFrame) -> DataFrame:
     """``DOC, place, line_no, until, words, digest`` of each line with a word.

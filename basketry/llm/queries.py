@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import bpe, lines, mixing, quality, simhash
+from basketry.llm import bpe, licenses, lines, mixing, quality, secret_scan, sharding, simhash, topk, toxicity
 from basketry.llm.common import table
 
 # Where the vocabulary lies; any other file of ranks can be named instead.
@@ -22,18 +22,40 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+def op4_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(table(spark, folder, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.report(table(spark, folder, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.fit_and_score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan(table(spark, folder, "documents"))
+
+
+def op9_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"))
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.measure(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_entropy_mix, op2_byte_bpe, op5_line_dedup, op7_simhash, op10_quality)}
-ORACLES: dict[str, str] = {}
+    f.__name__: f for f in (
+        op1_entropy_mix, op2_byte_bpe, op3_licenses, op4_minimax_shards, op5_line_dedup, op6_toxicity, op7_simhash, op8_secrets, op9_top_k,
+        op10_quality)}
+ORACLES: dict[str, str] = {"op3_licenses": licenses.SCAN_SQL, "op9_top_k": topk.TOP_K_SQL}
