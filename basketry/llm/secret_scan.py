@@ -116,7 +116,8 @@ def candidates(index: DataFrame, queries: dict[int, list[set[str]]]) -> DataFram
 # --- verification ------------------------------------------------------------------
 
 
-NONE = F.expr("cast(array() as array<struct<rule:int,n:int,gap:int,length:int,good:boolean>>)")
+def no_matches() -> Column:
+    return F.expr("cast(array() as array<struct<rule:int,n:int,gap:int,length:int,good:boolean>>)")
 
 
 def matches(text: Column, number: int, rule: Rule) -> Column:
@@ -125,7 +126,7 @@ def matches(text: Column, number: int, rule: Rule) -> Column:
     between, whole, group = F.split(text, rule.pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0)), F.regexp_extract_all(text, pattern, F.lit(rule.group))
     zipped = F.transform(F.arrays_zip(F.slice(between, 1, F.size(whole)).alias("b"), whole.alias("w"), group.alias("g")), lambda z, i: F.struct(
         F.lit(number).alias("rule"), i.alias("n"), F.length(z["b"]).alias("gap"), F.length(z["w"]).alias("length"), (F.length(z["g"]) >= rule.least).alias("good")))
-    return F.when(F.rlike(text, pattern), zipped).otherwise(NONE)
+    return F.when(F.rlike(text, pattern), zipped).otherwise(no_matches())
 
 
 def spans(found: DataFrame) -> DataFrame:
@@ -135,6 +136,10 @@ def spans(found: DataFrame) -> DataFrame:
     return ends.groupBy(*DOC).agg(F.sort_array(F.collect_list(F.struct((F.col("end") - F.col("length")).alias("start"), "rule", "end"))).alias("spans"))
 
 
+def _count(spans: str, rule: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["rule"] == rule)).cast("long")
+
+
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = len(BASE)) -> DataFrame:
     """``doc_id``, ``n_<kind>`` of the first ``base`` rules, ``base_sha256`` and ``spans`` per document."""
     queries = {i: trigram_query(r.pattern) for i, r in enumerate(rules)}
@@ -143,11 +148,11 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = len(BASE)
     key = doc_key(texts)
 
     everywhere = [matches(F.col("text"), i, rules[i]) for i in queries if i not in indexed]
-    chosen = [F.when(F.col("rules").bitwiseAND(F.lit(1 << i)) != 0, matches(F.col("text"), i, rules[i])).otherwise(NONE) for i in indexed]
-    full = written(texts.select(*key, F.col("doc_id").cast("long").alias("doc_id"), F.flatten(F.array(NONE, *everywhere)).alias("found")), "full-scans")
+    chosen = [F.when(F.col("rules").bitwiseAND(F.lit(1 << i)) != 0, matches(F.col("text"), i, rules[i])).otherwise(no_matches()) for i in indexed]
+    full = written(texts.select(*key, F.col("doc_id").cast("long").alias("doc_id"), F.flatten(F.array(no_matches(), *everywhere)).alias("found")), "full-scans")
     index = written(postings(texts, sorted({t for q in indexed.values() for s in q for t in s})), "postings")
     left = candidates(index, indexed)
-    checked = texts.select(*key, "text").join(left, DOC).select(*DOC, F.flatten(F.array(NONE, *chosen)).alias("found"))
+    checked = texts.select(*key, "text").join(left, DOC).select(*DOC, F.flatten(F.array(no_matches(), *chosen)).alias("found"))
     single = full.select(*DOC, F.explode("found").alias("m")).unionByName(checked.select(*DOC, F.explode("found").alias("m"))).select(*DOC, "m.*")
     kinds = F.array(*[F.lit(r.kind) for r in rules])
     text = lambda s: F.concat_ws(":", F.element_at(kinds, s["rule"] + 1), s["start"].cast("string"), s["end"].cast("string"))
@@ -155,5 +160,5 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = len(BASE)
     rows = full.select(*DOC, "doc_id").join(spans(single), DOC, "left").select("doc_id", listed.alias("spans"))
     first = F.filter("spans", lambda s: s["rule"] < base)
     return rows.select(
-        "doc_id", *[F.size(F.filter("spans", lambda s, i=i: s["rule"] == i)).cast("long").alias(f"n_{rules[i].kind}") for i in range(base)],
+        "doc_id", *[_count("spans", i).alias(f"n_{rules[i].kind}") for i in range(base)],
         F.sha2(F.array_join(F.transform(first, text), ",").cast("binary"), 256).alias("base_sha256"), F.array_join(F.transform("spans", text), ",").alias("spans"))

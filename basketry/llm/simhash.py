@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from basketry.llm.common import texts, written
+from basketry.llm.common import fresh, texts, written
 from basketry.llm.graph import components
 
 SHINGLE_WORDS = 3
@@ -89,12 +89,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component with all its columns: that with the smallest doc_id.
 
-    Rows without doc_id in a component that has ids are dropped with it; a
-    component without any id keeps one of its rows, the one with the smallest
-    text. Rows that repeat a kept doc_id within its component count as one.
+    Rows that repeat a kept doc_id count as one document. Rows without doc_id go
+    with the ids of their component; of components without any id one row stays.
     """
     found = near_duplicates(docs)
-    chosen = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_id"), F.col("fingerprint").alias("_fp")).distinct()
-    rows = docs.hint("shuffle_merge").join(chosen, F.col("_id").eqNullSafe(docs["doc_id"].cast("long")))
-    return rows.dropDuplicates(["_id"]).select(*[docs[c] for c in docs.columns])
+    key = fresh(docs, "_doc")
+    chosen = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key)).distinct()
+    rows = docs.join(chosen, docs["doc_id"].cast("long").eqNullSafe(F.col(key)))
+    return rows.dropDuplicates([key]).select(*[docs[c] for c in docs.columns])

@@ -11,7 +11,8 @@ Blocks and queries meet in cells of at most ``CELL_BLOCKS`` x ``CELL_QUERIES``,
 each a task; a query's best of each cell are ranked at the end.
 
 Scores are whole numbers and exact: products are summed in double precision only
-where every partial sum is below 2^53, otherwise as unbounded integers. Nulls:
+where every partial sum is below 2^53, otherwise as unbounded integers (those
+that leave 64 bits are held at their ends). Nulls:
 vectors that are null or hold a null or non-finite component, and rows without
 id, take no part. Only vectors of equal length meet. Repeated rows are candidates
 each; a row with the query's id is never its own result. Extra columns are ignored.
@@ -45,7 +46,8 @@ def products(matrix: np.ndarray, query: np.ndarray) -> np.ndarray:
         return np.zeros(len(matrix), np.int64)
     if float(np.abs(matrix).max()) * float(np.abs(query).max()) * len(query) < 2.0**53:
         return (matrix.astype(np.float64) @ query.astype(np.float64)).astype(np.int64)
-    return np.array((matrix.astype(object) @ query.astype(object)).tolist(), np.int64)
+    ends = np.iinfo(np.int64)
+    return np.array([min(max(x, ends.min), ends.max) for x in matrix.astype(object) @ query.astype(object)], np.int64)
 
 
 def best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
