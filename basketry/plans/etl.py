@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from basketry.functions.calendar import session_row_key
 from basketry.functions.numeric import half_up, ratio, sum_money, units
 from basketry.operators.joins import HotKeys, attach
-from basketry.sources.retail import Retail
+from basketry.sources.retail import ITEM_SPREAD, Retail
 
 # Session activity kept as JSON text in the wide table.
 ACTIVITY = {
@@ -122,6 +122,11 @@ def sessions_flat(sessions: DataFrame) -> DataFrame:
     )
 
 
+def keyed_sessions(sessions: DataFrame) -> DataFrame:
+    """Sessions under their descending-time row key with all attributes that key reads return."""
+    return sessions.withColumn("row_key", session_row_key("user_id", "start_time"))
+
+
 def document_sessions_flat(sessions: DataFrame) -> DataFrame:
     """The same for nested session documents: lists and the cart become JSON text."""
     device, geo = "device_profile", "geo_data"
@@ -163,7 +168,7 @@ def txn_lines(r: Retail) -> DataFrame:
     header = r.transactions().select("transaction_id", "user_id", "date", "total", "discount", "payment_method", "status")
     items = r.items.select("transaction_id", "product_id", "quantity", units("unit_price").alias("unit_price"),
                            units("subtotal").alias("subtotal"))
-    lines = attach(items, header, "transaction_id", hot=r.hot_keys("items", "transaction_id"))
+    lines = attach(items, header, "transaction_id", hot=r.hot_keys("items", "transaction_id"), by=ITEM_SPREAD["transaction_id"])
     return with_product(lines, r.product_dim(), r.hot_keys("items", "product_id")).select(*LINE_COLUMNS)
 
 
@@ -171,7 +176,7 @@ def with_product(lines: DataFrame, product_dim: DataFrame, hot: HotKeys | None =
     """Product name, category, subcategory and margin; unknown products keep their id as name."""
     dim = product_dim.select("product_id", F.col("name").alias("product_name"), "category", "subcategory", "profit_margin")
     unknown = F.lit("Unknown")
-    return attach(lines, dim, "product_id", "left", hot).withColumns(
+    return attach(lines, dim, "product_id", "left", hot, by=ITEM_SPREAD["product_id"]).withColumns(
         {
             "product_name": F.coalesce("product_name", F.col("product_id").cast("string")),
             "category": F.coalesce("category", unknown),
@@ -193,9 +198,9 @@ def cart_lines(carts: DataFrame, sessions: DataFrame, product_dim: DataFrame, ho
                hot_sessions: HotKeys | None = None) -> DataFrame:
     """One row per product in a cart, with the session's outcome."""
     outcome = sessions.select("session_id", "conversion_status")
-    joined = attach(carts, outcome, "session_id", hot=hot_sessions)
+    joined = attach(carts, outcome, "session_id", hot=hot_sessions, by=("product_id",))
     named = attach(joined, product_dim.select("product_id", F.col("name").alias("product_name"), "category"),
-                   "product_id", "left", hot_products)
+                   "product_id", "left", hot_products, by=("session_id",))
     return named.select(
         "session_id", "product_id", F.coalesce("product_name", F.col("product_id").cast("string")).alias("product_name"),
         F.coalesce("category", F.lit("Unknown")).alias("category"), "quantity", units("price").alias("price"),
@@ -209,7 +214,7 @@ def warehouse(r: Retail) -> dict[str, tuple[DataFrame, list[str]]]:
         "products": (products_enriched(r.products, r.subcategories), ["product_id"]),
         "users": (users_enriched(r.users, purchase_summary(r.orders)), ["user_id"]),
         "transactions": (r.transactions(), ["date", "transaction_id"]),
-        "sessions": (sessions_flat(r.sessions), ["row_key"]),
+        "sessions": (keyed_sessions(r.sessions), ["row_key", "session_id"]),
         "product_metrics": (product_daily_metrics(r.sales("date"), r.products), ["product_id", "date"]),
     }
 

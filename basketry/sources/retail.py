@@ -26,8 +26,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.functions.numeric import sum_money, units
-from basketry.operators.joins import HotKeys, attach, find_hot_keys
+from basketry.operators.joins import HotKeys, attach, measure_hot_keys
 
+# The keys by which rows of a large table are joined one by one.
+JOINED_BY = {"items": ("transaction_id", "product_id"), "cart_events": ("session_id", "product_id"), "page_views": ("session_id",), "orders": ("user_id",)}
+# What tells the items of one transaction apart, and of one product.
+ITEM_SPREAD = {"transaction_id": ("product_id", "subtotal"), "product_id": ("transaction_id",)}
 ORDER_COLUMNS = ("user_id", "timestamp", "date", "total", "payment_method", "status")
 
 
@@ -50,9 +54,10 @@ class Retail:
         self._hot: dict[tuple[str, str], HotKeys] = {}
 
     def hot_keys(self, table: str, key: str) -> HotKeys:
-        """Hot keys of a table, measured once per loaded data set."""
+        """Hot keys of a table; all its join keys are measured in one pass, once per loaded data set."""
         if (table, key) not in self._hot:
-            self._hot[table, key] = find_hot_keys(getattr(self, table), key)
+            found = measure_hot_keys(getattr(self, table), JOINED_BY[table])
+            self._hot |= {(table, k): hot for k, hot in found.items()}
         return self._hot[table, key]
 
     def sales(self, *order_columns: str, only: str | None = None) -> DataFrame:
@@ -65,7 +70,12 @@ class Retail:
     def _with_orders(self, items: DataFrame, *order_columns: str, only: str | None = None) -> DataFrame:
         orders = self.orders if only is None else self.orders_with(only)
         header = orders.select("transaction_id", *(order_columns or ORDER_COLUMNS))
-        return attach(items, header, "transaction_id", hot=self.hot_keys("items", "transaction_id"))
+        return attach(items, header, "transaction_id", hot=self.hot_keys("items", "transaction_id"), by=ITEM_SPREAD["transaction_id"])
+
+    def sales_of(self, product_id, *order_columns: str) -> DataFrame:
+        """``sales`` of one product: its items are read by key, so nothing is measured and no key can be hot."""
+        one = self.items.filter(F.col("product_id") == product_id)
+        return one.join(self.orders.select("transaction_id", *order_columns), "transaction_id")
 
     def orders_with(self, status: str) -> DataFrame:
         return self.orders.filter(F.col("status") == status)
@@ -100,10 +110,11 @@ class Retail:
         """``user_id, registration_date``"""
         return self.users.select("user_id", "registration_date")
 
-    def transactions(self) -> DataFrame:
-        """Orders with their amounts; orders without items have zero amounts."""
+    def transactions(self, only: str | None = None) -> DataFrame:
+        """Orders, or those with one status, with their amounts; orders without items have zero amounts."""
         zero = F.lit(0).cast("decimal(18,2)")
-        return self.orders.join(self.order_amounts().drop("lines"), "transaction_id", "left").withColumns(
+        orders = self.orders if only is None else self.orders_with(only)
+        return orders.join(self.order_amounts().drop("lines"), "transaction_id", "left").withColumns(
             {"total": units("total"), "subtotal": F.coalesce("subtotal", zero), "discount": F.coalesce("discount", zero)}
         )
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators.adjacency import transition_counts
 from basketry.operators.baskets import best_pairs, best_partners, pair_counts
-from basketry.operators.joins import HotKeys, attach, find_hot_keys
+from basketry.operators.joins import HotKeys, attach, find_hot_keys, measure_hot_keys
 from basketry.operators.quantiles import summary_by
 from basketry.operators.ranking import top_k, top_k_per_group
 
@@ -37,13 +37,28 @@ def test_salted_join_equals_plain_join(spark, how):
     assert sorted(map(str, salted.collect())) == sorted(map(str, attach(fact, dim, "k", how).collect()))
 
 
-def test_salt_spreads_one_key_and_its_copies(spark):
-    fact = spark.range(0, 4000, 1, 8).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
+def test_several_keys_are_measured_in_one_pass(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("a"), (F.col("id") % 2).cast("string").alias("b"))
+    before = jobs(spark)
+    found = measure_hot_keys(df, ["a", "b"])
+    assert jobs(spark) - before <= 2 and found["a"].counts == {-1: 1000} and found["b"].counts == {"0": 1500, "1": 1500}
+
+
+def jobs(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+def test_salt_spreads_one_key_and_lets_filters_and_pruning_through(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 8).select(F.lit(1).alias("k"), (F.col("id") % 100).alias("v"), F.lit("wide").alias("w"))
+    rows.write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
     dim = spark.createDataFrame([(1, "d")], "k int, d string")
-    joined = attach(fact, dim, "k", hot=HotKeys({1: 4000}, 4000))
+    joined = attach(fact, dim, "k", hot=HotKeys({1: 4000}, 4000), by=["v"])
     assert joined.count() == 4000
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan and "spark_partition_id" in plan.lower()
+    plan = joined.filter("v = 7").select("k", "d")._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan and "EqualTo(v,7)" in plan and "w:string" not in plan
+    salts = fact.select(F.pmod(F.xxhash64("v"), F.lit(16))).distinct().count()
+    assert salts == 16
 
 
 def brute_pairs(rows):

@@ -5,6 +5,8 @@ import pyarrow.parquet as pq
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from basketry.catalog.oracles import statements
+from basketry.catalog.queries import CATALOG
 from check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -16,7 +18,7 @@ def verify(spark, folder, name):
     assert compare(mine, theirs) == "ok"
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(CATALOG))
 def test_matches_sql(spark, name):
     verify(spark, FOLDER, name)
 
@@ -55,11 +57,42 @@ def test_hot_keys_are_found(spark, skewed):
     assert set(r.hot_keys("orders", "user_id").counts) == {7}
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(CATALOG))
 def test_matches_sql_on_skewed_tables(spark, skewed, name):
     verify(spark, skewed, name)
 
 
 def test_entry_and_registry(spark):
     assert entry(spark).count() > 0
-    assert set(oracle_sql()) == set(queries())
+    assert set(statements()) == set(CATALOG) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
+
+
+@pytest.mark.parametrize("name,text", [("product_popularity", "EqualTo(o_orderstatus,F)"), ("product_metrics_for", "EqualTo(l_partkey,42)"),
+                                       ("product_metrics_summary", "EqualTo(l_partkey,42)"), ("monthly_revenue", "EqualTo(o_orderstatus,F)"),
+                                       ("payment_methods", "EqualTo(o_orderstatus,F)"), ("filtered_lines", "GreaterThanOrEqual(o_orderdate")])
+def test_filters_reach_the_scan_of_skewed_tables(spark, skewed, name, text):
+    assert text in queries()[name](spark, skewed)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["product_popularity", "revenue_by_category", "product_daily_metrics", "weekly_category_revenue"])
+def test_only_needed_columns_of_skewed_tables_are_read(spark, skewed, name):
+    plan = queries()[name](spark, skewed)._jdf.queryExecution().executedPlan().toString()
+    assert "l_extendedprice" in plan and "l_discount" not in plan and "l_tax" not in plan
+
+
+def test_few_jobs_while_a_plan_is_built(spark, skewed):
+    from basketry.catalog.queries import CATALOG as catalog
+    from basketry.sources.star import StarRetail
+
+    def jobs_of(name):
+        r = StarRetail(spark, skewed)
+        for table in ("items", "orders", "products", "sessions", "carts"):
+            getattr(r, table)  # schemas are read
+        jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+        before = jobs()
+        catalog[name](r)
+        return jobs() - before
+
+    assert jobs_of("product_metrics_for") <= 1  # reads a schema at most
+    assert jobs_of("txn_lines") <= 4 and jobs_of("cart_lines") <= 4
