@@ -332,8 +332,8 @@ def _commerce() -> dict[str, str]:
     report = f"""{_dbl('SUM(total)')} AS total_revenue, COUNT(*) AS txn_count, {_mean('SUM(total)', 'COUNT(*)', 2)} AS avg_order_value,
         {_dbl('ROUND(SUM(discount), 2)')} AS total_discount, {_pct('SUM(discount)', 'SUM(subtotal)', 2)} AS discount_rate"""
 
-    def spread(total: str, squares: str) -> str:
-        return _round(f"sqrt(CAST(n * {squares} - {total} * {total} AS DOUBLE) / NULLIF(CAST(n * (n - 1) AS DOUBLE), 0))", 2)
+    def spread(total: str, squares: str, kind: str = "DECIMAL(18,2)") -> str:
+        return _round(f"sqrt(CAST(n * {squares} - CAST({total} AS {kind}) * {total} AS DOUBLE) / NULLIF(CAST(n * (n - 1) AS DOUBLE), 0))", 2)
 
     return {
         "materialised_daily_revenue": daily,
@@ -369,8 +369,8 @@ def _commerce() -> dict[str, str]:
             {_round('(units_stddev / mean_daily_units) / (price_stddev / NULLIF(mean_price, 0))', 3)} END AS price_variability_ratio
             FROM (SELECT s.product_id, name AS product_name, {_dbl('base_price')} AS base_price,
                 {_mean('p', 'n', 2)} AS mean_price, {spread('p', 'pp')} AS price_stddev, {_mean('u', 'n', 2)} AS mean_daily_units,
-                {spread('u', 'uu')} AS units_stddev, {_big('u')} AS total_units, n AS active_days
-                FROM (SELECT product_id, COUNT(*) AS n, SUM(u) AS u, SUM(u * u) AS uu, SUM(p) AS p, SUM(p * p) AS pp
+                {spread('u', 'uu', 'HUGEINT')} AS units_stddev, {_big('u')} AS total_units, n AS active_days
+                FROM (SELECT product_id, COUNT(*) AS n, SUM(u) AS u, SUM(CAST(u AS HUGEINT) * u) AS uu, SUM(p) AS p, SUM(p * p) AS pp
                       FROM (SELECT product_id, CAST(total_quantity AS BIGINT) AS u, CAST(avg_unit_price AS DECIMAL(18,2)) AS p FROM daily)
                       GROUP BY 1 HAVING COUNT(*) >= 3) s
                 JOIN prod ON prod.product_id = s.product_id) ORDER BY total_units DESC, product_id LIMIT 20"""),
@@ -382,8 +382,13 @@ def _lookup_and_recommend() -> dict[str, str]:
         "user_sessions": _with("sess", f"""SELECT session_id, user_id, {_sec('start_time')} AS start_time, {_sec('end_time')} AS end_time,
             duration_seconds, conversion_status, referrer, device_type, device_os, browser, city, province, country, viewed_products, cart_items
             FROM (SELECT * FROM sess WHERE user_id = 7 ORDER BY sess.start_time DESC, session_id LIMIT 10)"""),
+        "stored_user_sessions": _with("sess", f"""SELECT session_id, user_id, {_sec('start_time')} AS start_time, {_sec('end_time')} AS end_time,
+            duration_seconds, conversion_status, referrer, device_type, device_os, browser, city, province, country, viewed_products, cart_items
+            FROM (SELECT * FROM sess WHERE user_id = 7 ORDER BY sess.start_time DESC, session_id LIMIT 10)"""),
         "sessions_by_key": _with("sess", """SELECT user_id || '_' || (9999999999999 - epoch_us(start_time) // 1000) AS row_key, session_id,
             conversion_status, duration_seconds, CAST(user_id AS VARCHAR) AS user_id FROM sess ORDER BY 1, 2 LIMIT 25"""),
+        "stored_sessions_by_key": _with("sess", """SELECT user_id || '_' || (9999999999999 - epoch_us(start_time) // 1000) AS row_key, session_id,
+            conversion_status, duration_seconds, CAST(user_id AS VARCHAR) AS user_id FROM sess ORDER BY 1, 2 LIMIT 25"""),
         "recent_sessions": _with("sess", f"""SELECT session_id, user_id, {_sec('s.start_time')} AS start_time, conversion_status, duration_seconds
             FROM sess s ORDER BY s.start_time DESC, session_id LIMIT 25"""),
         "product_metrics_for": _with("metric", f"""SELECT product_id, {_day('date')} AS date, {_big('total_quantity')} AS total_quantity,
@@ -402,31 +407,32 @@ def _lookup_and_recommend() -> dict[str, str]:
 
 
 def _cohort() -> dict[str, str]:
-    def matrix(value: str) -> str:
-        cells = ", ".join(f"MAX(CASE WHEN months_since_reg = {i} THEN {value} END) AS m{i}" for i in range(12))
-        return f"SELECT cohort, {cells} FROM cell GROUP BY 1"
-
-    months = ", ".join(
-        f"COALESCE({_dbl(f'''SUM(CASE WHEN activity_month = '1995-{m:02d}' THEN revenue END)''')}, 0) AS \"1995-{m:02d}\""
-        for m in range(1, 13)
-    )
+    def matrix(table: str, key: str, period: str, value: str) -> str:
+        return _with(table, f"""SELECT {key}, CAST(COUNT(*) AS INTEGER) AS cells, string_agg(CAST({period} AS VARCHAR) || '='
+            || CAST(CAST({value} AS DECIMAL(18,2)) AS VARCHAR), ';' ORDER BY {period}) AS {value} FROM {table} GROUP BY 1""")
+
     return {
         "cohort_activity": _with("coh", f"SELECT * REPLACE ({_dbl('total')} AS total) FROM coh"),
         "cohort_spending": _with("cell", f"SELECT cohort, months_since_reg, {_dbl('revenue')} AS revenue FROM cell"),
-        "cohort_spending_matrix": _with("cell", matrix(_dbl("revenue"))),
+        "cohort_spending_matrix": matrix("cell", "cohort", "months_since_reg", "revenue"),
         "cohort_summary": _with("coh", f"""SELECT cohort, COUNT(DISTINCT user_id) AS active_users, COUNT(*) AS total_transactions,
             {_dbl('SUM(total)')} AS total_revenue, {_mean('SUM(total)', 'COUNT(*)', 2)} AS avg_order_value FROM coh GROUP BY 1"""),
         "cohort_retention": _with("cell", "SELECT cohort, months_since_reg, active_users FROM cell"),
-        "cohort_retention_matrix": _with("cell", matrix(_dbl("active_users"))),
+        "cohort_retention_matrix": matrix("cell", "cohort", "months_since_reg", "active_users"),
         "cohort_retention_pct": _with("cell reg", f"""SELECT cell.cohort, months_since_reg, cohort_size,
             {_pct('active_users', 'cohort_size')} AS retention_pct
             FROM cell JOIN (SELECT cohort, COUNT(*) AS cohort_size FROM reg GROUP BY 1) s ON s.cohort = cell.cohort"""),
         "cohort_spending_calendar": _with("cal", f"SELECT cohort_month, activity_month, {_dbl('revenue')} AS revenue FROM cal"),
-        "cohort_spending_calendar_matrix": _with("cal", f"SELECT cohort_month, {months} FROM cal GROUP BY 1"),
+        "cohort_spending_calendar_matrix": matrix("cal", "cohort_month", "activity_month", "revenue"),
     }
 
 
 def _lifetime() -> dict[str, str]:
+    def avg(figure: str, digits: int, factor: str = "1.0") -> str:
+        """Mean of values rounded to four decimals, summed as whole numbers."""
+        units = f"SUM(CAST(floor(CAST({figure} AS DOUBLE) * 10000.0 + 0.5) AS HUGEINT))"
+        return _round(f"CAST({units} AS DOUBLE) / (COUNT(*) * 10000.0) * {factor}", digits)
+
     return {
         "txn_metrics": _with("txf", f"""SELECT user_id, txn_count, {_dbl('txn_total_spent')} AS txn_total_spent, txn_avg_value,
             {_sec('first_txn_date')} AS first_txn_date, {_sec('last_txn_date')} AS last_txn_date, lifespan_days, purchase_frequency FROM txf"""),
@@ -435,18 +441,18 @@ def _lifetime() -> dict[str, str]:
         "clv": _with("clv", f"""SELECT * REPLACE ({_dbl('txn_total_spent')} AS txn_total_spent, {_dbl('total_spent')} AS total_spent,
             {_big('total_session_time')} AS total_session_time,
             {_sec('first_txn_date')} AS first_txn_date, {_sec('last_txn_date')} AS last_txn_date) FROM clv"""),
-        "clv_tier_summary": _with("clv", f"""SELECT clv_tier, COUNT(*) AS num_customers, {_round('AVG(estimated_clv)', 2)} AS avg_clv,
-            {_mean('SUM(total_spent)', 'COUNT(*)', 2)} AS avg_total_spent, {_round('AVG(session_count)', 1)} AS avg_sessions,
-            {_round('AVG(avg_session_duration)', 1)} AS avg_session_sec,
-            {_round('AVG(session_conversion_rate) * 100', 1)} AS avg_conv_rate_pct FROM clv GROUP BY 1"""),
+        "clv_tier_summary": _with("clv", f"""SELECT clv_tier, COUNT(*) AS num_customers, {avg('estimated_clv', 2)} AS avg_clv,
+            {_mean('SUM(total_spent)', 'COUNT(*)', 2)} AS avg_total_spent, {avg('session_count', 1)} AS avg_sessions,
+            {avg('avg_session_duration', 1)} AS avg_session_sec,
+            {avg('session_conversion_rate', 1, '100.0')} AS avg_conv_rate_pct FROM clv GROUP BY 1"""),
         "top_customers_by_clv": _with("clv", f"""SELECT user_id, name, province, {_round('c.estimated_clv', 2)} AS estimated_clv,
             {_dbl('total_spent')} AS total_spent, total_orders, session_count, {_round('avg_session_duration', 0)} AS avg_session_sec,
             {_round('session_conversion_rate', 3)} AS conv_rate FROM clv c ORDER BY c.estimated_clv DESC, user_id LIMIT 10"""),
-        "engagement_by_tier": _with("clv", f"""SELECT clv_tier, {_round('AVG(session_count)', 1)} AS avg_sessions,
-            {_round('AVG(total_session_time)', 0)} AS avg_total_time_sec, {_round('AVG(avg_session_duration)', 0)} AS avg_duration_sec,
-            {_round('AVG(session_conversion_rate) * 100', 1)} AS conv_rate_pct,
-            {_round('AVG(purchase_frequency)', 1)} AS annualized_freq FROM clv GROUP BY 1"""),
-        "clv_by_province": _with("clv", f"""SELECT province, COUNT(*) AS num_customers, {_round('AVG(estimated_clv)', 2)} AS avg_clv,
+        "engagement_by_tier": _with("clv", f"""SELECT clv_tier, {avg('session_count', 1)} AS avg_sessions,
+            {avg('total_session_time', 0)} AS avg_total_time_sec, {avg('avg_session_duration', 0)} AS avg_duration_sec,
+            {avg('session_conversion_rate', 1, '100.0')} AS conv_rate_pct,
+            {avg('purchase_frequency', 1)} AS annualized_freq FROM clv GROUP BY 1"""),
+        "clv_by_province": _with("clv", f"""SELECT province, COUNT(*) AS num_customers, {avg('estimated_clv', 2)} AS avg_clv,
             {_dbl('SUM(total_spent)')} AS total_revenue FROM clv GROUP BY 1"""),
     }
 
@@ -521,6 +527,9 @@ def _sessions() -> dict[str, str]:
             {_pct(VIEWED, 'COUNT(*)')} AS browse_rate_pct, {carted} AS added_to_cart, {_pct(carted, 'COUNT(*)')} AS cart_rate_pct,
             {CONV} AS converted, {_pct(CONV, 'COUNT(*)')} AS conversion_rate_pct, {_pct(CONV, carted)} AS cart_to_purchase_pct FROM sess"""),
         "status_counts": _with("sess", f"""SELECT COUNT(*) AS total, {CONV} AS converted, {_pct(CONV, 'COUNT(*)')} AS converted_pct,
+            {ABAND} AS abandoned, {_pct(ABAND, 'COUNT(*)')} AS abandoned_pct, {brows} AS browsing, {_pct(brows, 'COUNT(*)')} AS browsing_pct
+            FROM sess"""),
+        "filtered_status_counts": _with("sess", f"""SELECT COUNT(*) AS total, {CONV} AS converted, {_pct(CONV, 'COUNT(*)')} AS converted_pct,
             {ABAND} AS abandoned, {_pct(ABAND, 'COUNT(*)')} AS abandoned_pct, {brows} AS browsing, {_pct(brows, 'COUNT(*)')} AS browsing_pct
             FROM sess WHERE device_type IN ('mobile', 'desktop') AND referrer IN ('direct', 'email')"""),
         "stage_counts": _with("sess", f"""SELECT 'Total Sessions' AS stage, COUNT(*) AS count FROM sess
@@ -536,6 +545,10 @@ def _sessions() -> dict[str, str]:
         "device_os_matrix": _with("sess", "SELECT device_type, " + ", ".join(rate(s) for s in ("Windows", "macOS", "Android", "iOS"))
                                   + " FROM sess GROUP BY 1"),
         "page_view_kpis": _with("pv", f"""SELECT COUNT(*) AS total_views, {_mean('COUNT(*)', 'COUNT(DISTINCT session_id)', 2)} AS avg_views_per_session,
+            {_mean('SUM(view_duration)', 'COUNT(view_duration)', 2)} AS avg_duration,
+            (SELECT page_type FROM pv GROUP BY 1 ORDER BY COUNT(*) DESC, page_type LIMIT 1) AS top_page_type
+            FROM pv"""),
+        "filtered_page_view_kpis": _with("pv", f"""SELECT COUNT(*) AS total_views, {_mean('COUNT(*)', 'COUNT(DISTINCT session_id)', 2)} AS avg_views_per_session,
             {_mean('SUM(view_duration)', 'COUNT(view_duration)', 2)} AS avg_duration,
             (SELECT page_type FROM pv WHERE page_type IN ('view', 'click', 'purchase') GROUP BY 1 ORDER BY COUNT(*) DESC, page_type LIMIT 1) AS top_page_type
             FROM pv WHERE page_type IN ('view', 'click', 'purchase')"""),
@@ -616,6 +629,10 @@ def _insights() -> dict[str, str]:
                          COALESCE(SUM(revenue) FILTER (WHERE date >= last - 60 AND date < last - 30), 0) AS prior30
                   FROM day, (SELECT MAX(date) AS last FROM day))"""),
         "tier_summary": _with("tier", f"""SELECT tier, count, avg_spent, total_revenue, pct, count || ' (' || pct || '%)' AS label FROM (
+            SELECT tier, COUNT(*) AS count, {_round(_ratio('SUM(total_spent)', 'COUNT(*)'), 4)} AS avg_spent,
+            {_dbl('SUM(total_spent)')} AS total_revenue, {_pct('COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS pct
+            FROM tier GROUP BY 1)"""),
+        "filtered_tier_summary": _with("tier", f"""SELECT tier, count, avg_spent, total_revenue, pct, count || ' (' || pct || '%)' AS label FROM (
             SELECT tier, COUNT(*) AS count, {_round(_ratio('SUM(total_spent)', 'COUNT(*)'), 4)} AS avg_spent,
             {_dbl('SUM(total_spent)')} AS total_revenue, {_pct('COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS pct
             FROM tier WHERE tier IN ('VIP', 'Regular', 'Low') GROUP BY 1)"""),
@@ -666,10 +683,19 @@ def _filters_and_carts() -> dict[str, str]:
     }
 
 
+def _documents(found: dict[str, str]) -> dict[str, str]:
+    """The document adapter must agree with the star adapter."""
+    same = ("daily_revenue", "category_revenue", "funnel_stages", "page_transitions")
+    return {f"documents_{name}": found[name] for name in same} | {
+        "document_activity": _with("sess cart", f"""SELECT session_id, CAST(user_id AS VARCHAR) AS user_id, page_views, viewed_products,
+            COALESCE(n, 0) AS cart_contents, COALESCE({_big('q')}, 0) AS units FROM sess
+            LEFT JOIN (SELECT session_id AS s, COUNT(*) AS n, SUM(quantity) AS q FROM cart GROUP BY 1) ON s = session_id""")}
+
+
 def statements() -> dict[str, str]:
     """Query name to SQL text."""
     out: dict[str, str] = {}
     for part in (_load_and_profile, _denormalise, _commerce, _lookup_and_recommend, _cohort, _lifetime, _funnel, _sessions,
                  _insights, _filters_and_carts):
         out.update(part())
-    return out
+    return out | _documents(out)

@@ -20,6 +20,7 @@ from basketry.operators.joins import attach
 from basketry.plans import clv, cohort, commerce, etl, filters, funnel, insights, lookup, recommend, sessions
 from basketry.session import shared_dir
 from basketry.sources import documents, results
+from basketry.sources.retail import ITEM_SPREAD
 from basketry.sources.star import StarRetail, SYSTEMS
 
 CLV_BOUNDS = (1200000, 900000, 600000)
@@ -33,9 +34,6 @@ SESSION_DATES = (date(2024, 1, 5), date(2024, 1, 20))
 CATEGORIES = ("ECONOMY", "LARGE")
 PROVINCES = ("ASIA", "EUROPE")
 PAGE_TYPES = ("view", "click", "purchase")
-FILES = 5
-OFFSETS = tuple(range(12))
-MONTHS = tuple(f"1995-{m:02d}" for m in range(1, 13))
 
 Query = Callable[[StarRetail], DataFrame]
 _stores: dict[tuple[str, str], StarRetail] = {}
@@ -96,9 +94,8 @@ def metrics(r: StarRetail) -> DataFrame:
 
 
 def metrics_of(r: StarRetail, product_id: int) -> DataFrame:
-    """Metrics of one product: the key filter is applied to the lines, ahead of the join."""
-    lines = r.sales("date").filter(F.col("product_id") == product_id)
-    return etl.product_daily_metrics(lines, r.products)
+    """Metrics of one product: the key filter is applied to the lines, nothing is measured."""
+    return etl.product_daily_metrics(r.sales_of(product_id, "date"), r.products)
 
 
 def completed(r: StarRetail) -> DataFrame:
@@ -117,6 +114,13 @@ def categories_flat(r: StarRetail) -> DataFrame:
     return rows.withColumn("subcategories", text)
 
 
+def matrix_text(cells: DataFrame, key: str, period: str, value: str) -> DataFrame:
+    """A cohort matrix with each row's cells as text, in the order of the periods."""
+    rows = cohort.matrix(cells.withColumn(value, F.col(value).cast("decimal(18,2)")), key, period, value)
+    text = F.array_join(F.transform(F.map_entries(value), lambda e: F.concat_ws("=", e["key"].cast("string"), e["value"].cast("string"))), ";")
+    return rows.select(key, F.size(value).alias("cells"), text.alias(value))
+
+
 def enriched_flat(r: StarRetail) -> DataFrame:
     rows = etl.products_enriched(r.products, r.subcategories)
     return rows.select("product_id", "name", "base_price", "current_stock", "is_active", "category.category_id",
@@ -131,7 +135,7 @@ def price_timeline(r: StarRetail) -> DataFrame:
 def filtered_lines(r: StarRetail) -> DataFrame:
     """Revenue per day and category-filtered product of the lines that pass the report filters."""
     orders = filters.by_date(r.orders, *DATES, column="timestamp").select("transaction_id", "date")
-    lines = attach(r.items, orders, "transaction_id", hot=r.hot_keys("items", "transaction_id"))
+    lines = attach(r.items, orders, "transaction_id", hot=r.hot_keys("items", "transaction_id"), by=ITEM_SPREAD["transaction_id"])
     kept = filters.by_category(lines, r.product_dim(), CATEGORIES, r.hot_keys("items", "product_id"))
     return kept.groupBy("date", "product_id").agg(sum_money("subtotal").alias("revenue"), F.count("*").alias("lines"))
 
@@ -153,16 +157,41 @@ def materialised(r: StarRetail) -> DataFrame:
     return results.load_results(r.spark, path, ["daily_revenue"])["daily_revenue"]
 
 
+def stored_sessions(r: StarRetail) -> DataFrame:
+    """The session table of the warehouse, written in key order and read back."""
+    path = _scratch(r, "sessions")
+    df, keys = etl.warehouse(r)["sessions"]
+    results.write_key_ordered(df, path, keys)
+    return r.spark.read.parquet(path)
+
+
 def _scratch(r: StarRetail, name: str) -> str:
     return posixpath.join(shared_dir(r.spark), f"basketry-{name}-{uuid.uuid4().hex}")
 
 
+def as_documents(r: StarRetail, *entities: str) -> documents.DocumentRetail:
+    """The tables written as nested JSON documents and loaded through the other adapter."""
+    path = _scratch(r, "documents")
+    for name, df in documents.documents_of(r).items():
+        if name in entities:
+            documents.write_json(df, posixpath.join(path, f"{name}.json"))
+    return documents.DocumentRetail({name: documents.read_entity(r.spark, path, name, multi_line=False) for name in entities})
+
+
+def document_activity(r: StarRetail) -> DataFrame:
+    """Activity of session documents kept as JSON text in the wide table and decoded again, with what it holds."""
+    flat = etl.document_sessions_flat(as_documents(r, "sessions").entities["sessions"])
+    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint").alias(c)
+    units = F.coalesce(F.aggregate(F.map_values("cart_contents"), F.lit(0).cast("bigint"), lambda a, x: a + x["quantity"]), F.lit(0).cast("bigint"))
+    return etl.parse_activity(flat).select("session_id", "user_id", size("page_views"), size("viewed_products"), size("cart_contents"), units.alias("units"))
+
+
 def users_from_json(r: StarRetail) -> DataFrame:
     """Users written as JSON documents in several files and loaded with the declared schema."""
     path = _scratch(r, "users")
     documents.write_json(r.users.select(
         F.col("user_id").cast("string").alias("user_id"), "name", F.struct("city", "province").alias("geo_data"), iso_text("registration_date").alias("registration_date"),
-    ), posixpath.join(path, "users.json"), FILES)
+    ), posixpath.join(path, "users.json"))
     loaded = documents.read_entity(r.spark, path, "users", multi_line=False)
     return loaded.select("user_id", "name", "geo_data.city", "geo_data.province", "registration_date")
 
@@ -172,7 +201,7 @@ def subcategories_from_json(r: StarRetail) -> DataFrame:
     sub = F.struct("subcategory_id", F.col("subcategory_name").alias("name"), F.col("profit_margin").cast("double").alias("profit_margin"))
     path = _scratch(r, "categories")
     documents.write_json(r.subcategories.groupBy("category_id", F.col("category_name").alias("name")).agg(
-        F.collect_list(sub).alias("subcategories")), posixpath.join(path, "categories.json"), 1)
+        F.collect_list(sub).alias("subcategories")), posixpath.join(path, "categories.json"))
     return documents.explode_subcategories(documents.read_entity(r.spark, path, "categories", multi_line=False))
 
 
@@ -180,6 +209,11 @@ CATALOG: dict[str, Query] = {
     # load, clean, profile
     "users_from_json": users_from_json,
     "subcategories_from_json": subcategories_from_json,
+    "documents_daily_revenue": lambda r: commerce.daily_revenue(as_documents(r, "transactions").orders),
+    "documents_category_revenue": lambda r: (lambda d: insights.category_revenue(d.items, d.product_dim()))(as_documents(r, "transactions", "products", "categories")),
+    "documents_funnel_stages": lambda r: funnel.funnel_stages(funnel.funnel_flags(as_documents(r, "sessions").sessions)),
+    "documents_page_transitions": lambda r: sessions.nested_page_transitions(as_documents(r, "sessions").entities["sessions"]),
+    "document_activity": document_activity,
     "clean_products": lambda r: documents.clean_products(r.products).select("product_id", "name", "current_stock", "is_active"),
     "subcategories": lambda r: r.subcategories,
     "null_profile": lambda r: profiling.null_profile(r.page_views),
@@ -208,11 +242,13 @@ CATALOG: dict[str, Query] = {
     "revenue_by_subcategory": lambda r: commerce.revenue_by_subcategory(completed(r), r.product_dim()),
     "spending_tiers": lambda r: commerce.spending_tiers(user_totals(r), SPEND_BOUNDS),
     "spending_by_province": lambda r: commerce.spending_by_province(user_totals(r)),
-    "monthly_revenue": lambda r: commerce.monthly_revenue(r.transactions()),
-    "payment_methods": lambda r: commerce.payment_methods(r.transactions()),
+    "monthly_revenue": lambda r: commerce.monthly_revenue(r.transactions(only="completed")),
+    "payment_methods": lambda r: commerce.payment_methods(r.transactions(only="completed")),
     # key access
     "user_sessions": lambda r: lookup.user_sessions(r.sessions_of(ONE_USER), ONE_USER),
     "sessions_by_key": lambda r: lookup.sessions_by_key(r.sessions, SCAN_ROWS),
+    "stored_user_sessions": lambda r: lookup.stored_user_sessions(stored_sessions(r), ONE_USER),
+    "stored_sessions_by_key": lambda r: lookup.stored_sessions_by_key(stored_sessions(r), SCAN_ROWS),
     "recent_sessions": lambda r: lookup.recent_sessions(r.sessions, SCAN_ROWS),
     "product_metrics_for": lambda r: lookup.product_metrics_for(metrics_of(r, ONE_PRODUCT), ONE_PRODUCT),
     "product_metrics_summary": lambda r: lookup.product_metrics_summary(metrics_of(r, ONE_PRODUCT), ONE_PRODUCT),
@@ -224,15 +260,14 @@ CATALOG: dict[str, Query] = {
     # cohorts
     "cohort_activity": lambda r: cohort.cohort_activity(r.orders, r.registrations, r.hot_keys("orders", "user_id")),
     "cohort_spending": lambda r: cohort.cohort_spending(r.orders, r.registrations),
-    "cohort_spending_matrix": lambda r: cohort.pivot_offsets(cohort.cohort_cells(r.orders, r.registrations), "revenue", OFFSETS),
+    "cohort_spending_matrix": lambda r: matrix_text(cohort.cohort_cells(r.orders, r.registrations), "cohort", "months_since_reg", "revenue"),
     "cohort_summary": lambda r: cohort.cohort_summary(r.orders, r.registrations),
     "cohort_retention": lambda r: cohort.cohort_retention(r.orders, r.registrations),
-    "cohort_retention_matrix": lambda r: cohort.pivot_offsets(
-        cohort.cohort_cells(r.orders, r.registrations).withColumn("active_users", F.col("active_users").cast("double")), "active_users", OFFSETS),
+    "cohort_retention_matrix": lambda r: matrix_text(cohort.cohort_cells(r.orders, r.registrations), "cohort", "months_since_reg", "active_users"),
     "cohort_retention_pct": lambda r: cohort.cohort_retention_pct(r.orders, r.registrations),
     "cohort_spending_calendar": lambda r: cohort.cohort_spending_calendar(r.order_revenue("user_id", "date"), r.registrations),
-    "cohort_spending_calendar_matrix": lambda r: cohort.pivot_months(
-        cohort.cohort_spending_calendar(r.order_revenue("user_id", "date"), r.registrations), MONTHS),
+    "cohort_spending_calendar_matrix": lambda r: matrix_text(
+        cohort.cohort_spending_calendar(r.order_revenue("user_id", "date"), r.registrations), "cohort_month", "activity_month", "revenue"),
     # sales and session reports
     "top_products": lambda r: commerce.top_products(r.items, r.product_dim()),
     "device_behaviour": lambda r: sessions.device_behaviour(r.sessions),
@@ -283,7 +318,8 @@ CATALOG: dict[str, Query] = {
     "status_payment_revenue": lambda r: insights.status_payment_revenue(r.order_revenue("status", "payment_method")),
     "monthly_changes": lambda r: insights.monthly_changes(r.order_revenue("date")),
     "monthly_volume": lambda r: insights.monthly_volume(r.order_revenue("date")),
-    "tier_summary": lambda r: insights.tier_summary(tiered(r), ["VIP", "Regular", "Low"]),
+    "tier_summary": lambda r: insights.tier_summary(tiered(r)),
+    "filtered_tier_summary": lambda r: insights.tier_summary(tiered(r), ["VIP", "Regular", "Low"]),
     "registrations": lambda r: insights.registrations(r.users),
     "top_provinces": lambda r: insights.top_provinces(user_totals(r)),
     "top_customers": lambda r: insights.top_customers(tiered(r)),
@@ -297,7 +333,8 @@ CATALOG: dict[str, Query] = {
     "top_subcategories": lambda r: insights.top_subcategories(subcategories(r)),
     "price_timeline": price_timeline,
     "category_stats": lambda r: insights.category_stats(r.items, r.product_dim()),
-    "status_counts": lambda r: sessions.status_counts(sessions.session_filter(r.sessions, ["mobile", "desktop"], ["direct", "email"])),
+    "status_counts": lambda r: sessions.status_counts(r.sessions),
+    "filtered_status_counts": lambda r: sessions.status_counts(sessions.session_filter(r.sessions, ["mobile", "desktop"], ["direct", "email"])),
     "stage_counts": lambda r: sessions.stage_counts(r.sessions),
     "conversion_by_device_type": lambda r: sessions.conversion_by(r.sessions, "device_type"),
     "conversion_by_referrer": lambda r: sessions.conversion_by(r.sessions, "referrer", with_duration=True),
@@ -306,7 +343,8 @@ CATALOG: dict[str, Query] = {
     "session_flow": lambda r: sessions.session_flow(r.sessions),
     "session_flow_edges": lambda r: sessions.session_flow_edges(r.sessions),
     "device_os_matrix": lambda r: sessions.device_os_matrix(r.sessions, SYSTEMS),
-    "page_view_kpis": lambda r: sessions.page_view_kpis(sessions.page_type_filter(r.page_views, PAGE_TYPES)),
+    "page_view_kpis": lambda r: sessions.page_view_kpis(r.page_views),
+    "filtered_page_view_kpis": lambda r: sessions.page_view_kpis(sessions.page_type_filter(r.page_views, PAGE_TYPES)),
     "page_type_stats": lambda r: sessions.page_type_stats(r.page_views),
     "daily_page_views": lambda r: sessions.daily_page_views(r.page_views),
     "page_transitions": lambda r: sessions.page_transitions(r.page_views),

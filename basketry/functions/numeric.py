@@ -14,6 +14,7 @@ from decimal import Decimal
 from pyspark.sql import Column, functions as F
 
 MONEY = "decimal(18,2)"
+SUM_UNITS = 10000.0  # per 1, in ``exact_sum``
 
 
 def money(col: Column | str) -> Column:
@@ -37,6 +38,21 @@ def sum_money(cents_col: Column | str, digits: int = 2) -> Column:
     return units(F.sum(cents_col), digits)
 
 
+def whole(col: Column | str) -> Column:
+    """A BIGINT as a decimal, for products that do not fit a BIGINT."""
+    return _col(col).cast("decimal(19,0)")
+
+
+def sum_squares(col: Column | str) -> Column:
+    """Aggregate: exact sum of the squares of BIGINT values."""
+    return F.sum((whole(col) * whole(col)).cast("decimal(38,0)"))
+
+
+def exact_sum(col: Column | str) -> Column:
+    """Aggregate: sum of doubles, each rounded half up to four decimals, in that unit; the order of rows does not matter."""
+    return F.sum(F.floor(dbl(col) * SUM_UNITS + 0.5).cast("decimal(20,0)"))
+
+
 def dbl(col: Column | str) -> Column:
     return _col(col).cast("double")
 

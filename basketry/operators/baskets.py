@@ -119,8 +119,8 @@ def _partners_by_mask(masks: DataFrame, k: int) -> DataFrame:
     partners = members.select("_bit", F.col("product_id").alias("recommended_product"), F.col("_mask").alias("_mr"))
     met = sources.join(partners, "_bit").select(
         "_ms", "recommended_product", _shared("_ms", "_mr").alias("co_purchase_count")).distinct()
-    # At most 2**MASK_BITS * (k + 1) rows.
-    return F.broadcast(top_k_per_group(met, "_ms", "co_purchase_count", k + 1, ["recommended_product"]))
+    # At most 2**MASK_BITS * (k + 1) rows; whether that is small enough to broadcast is for Spark to measure.
+    return top_k_per_group(met, "_ms", "co_purchase_count", k + 1, ["recommended_product"])
 
 
 def _large(hot: HotKeys | None) -> list:

@@ -46,7 +46,13 @@ def summary_by(df: DataFrame, value: str, group: str | None = None, probs: Seque
     narrowed = sketch.select(*(["_g"] if group else []), F.struct(*kept, brackets.alias("brackets")).alias("_s"))
 
     frequencies = rows.filter("_v IS NOT NULL").groupBy("_g", "_v").agg(F.count("*").alias("_c"))
-    placed = frequencies.join(narrowed, "_g") if group else frequencies.withColumn("_s", narrowed.scalar())
+    if group:
+        # Groups may be very few: their single rows are repeated over salts of the value, so no task meets a whole group.
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        salted = frequencies.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(salts)).cast("int"))
+        placed = salted.join(narrowed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["_g", "_salt"])
+    else:
+        placed = frequencies.withColumn("_s", narrowed.scalar())
     wanted = placed.select("_g", "_v", "_c", *[F.col(f"_s.{c}").alias(c) for c in kept], F.explode("_s.brackets").alias("_b"))
     keys = ["_g", *kept, "q", "p"]
     folded = (
@@ -59,9 +65,12 @@ def summary_by(df: DataFrame, value: str, group: str | None = None, probs: Seque
     at = ranked.groupBy(*keys).agg(
         F.min(F.when(F.col("_upto") > F.floor(rank), F.col("_v"))).alias("_below"),
         F.min(F.when(F.col("_upto") > F.floor(rank) + 1, F.col("_v"))).alias("_above"),
+        # The wanted rank must lie between the bounds: not among the values folded below, nor above all that are left.
+        (F.bool_or(F.col("_v").isNull() & (F.col("_upto") > F.floor(rank))) | (F.max("_upto") <= F.floor(rank))
+         | ((F.max("_upto") <= F.floor(rank) + 1) & (F.floor(rank) + 1 < F.max("n")) & (rank > F.floor(rank)))).alias("_outside"),
     )
     below, above = F.col("_below"), F.coalesce("_above", "_below")
-    exact = at.withColumn("_x", half_up(below + (above - below) * (rank - F.floor(rank)), digits))
+    exact = at.withColumn("_x", F.when(F.col("_outside"), F.raise_error(F.lit("a quantile lies outside its bracket"))).otherwise(half_up(below + (above - below) * (rank - F.floor(rank)), digits)))
     result = exact.groupBy("_g", *kept).agg(
         *[F.max(F.when(F.col("q") == i, F.col("_x"))).alias(f"q{round(p * 100):02d}") for i, p in enumerate(probs)]
     )

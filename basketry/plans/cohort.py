@@ -76,13 +76,29 @@ def cohort_spending_calendar(order_revenue: DataFrame, users: DataFrame) -> Data
     ).orderBy("cohort_month", "activity_month")
 
 
-def pivot_offsets(cells: DataFrame, value: str, offsets: Sequence[int]) -> DataFrame:
-    """One column ``m<offset>`` per stated offset; empty cells stay NULL."""
+def matrix(cells: DataFrame, cohort: str, period: str, value: str) -> DataFrame:
+    """One row per cohort with a map from period to value over all its non-empty cells; the schema fits any data.
+
+    A cohort has as many entries as periods, so the map is as long as the history in months.
+    """
+    entries = F.map_from_entries(F.sort_array(F.collect_list(F.struct(period, value))))
+    return cells.groupBy(cohort).agg(entries.alias(value)).orderBy(cohort)
+
+
+def pivot_offsets(cells: DataFrame, value: str, offsets: Sequence[int] | None = None) -> DataFrame:
+    """One column ``m<offset>`` per offset that occurs, or per stated one; empty cells stay NULL."""
+    offsets = _occurring(cells, "months_since_reg") if offsets is None else offsets
     wide = cells.groupBy("cohort").pivot("months_since_reg", list(offsets)).agg(F.max(value))
     return wide.withColumnsRenamed({str(o): f"m{o}" for o in offsets}).orderBy("cohort")
 
 
-def pivot_months(calendar: DataFrame, months: Sequence[str]) -> DataFrame:
-    """One column per stated month; empty cells are 0."""
+def pivot_months(calendar: DataFrame, months: Sequence[str] | None = None) -> DataFrame:
+    """One column per month that occurs, or per stated one; empty cells are 0."""
+    months = _occurring(calendar, "activity_month") if months is None else months
     wide = calendar.groupBy("cohort_month").pivot("activity_month", list(months)).agg(F.sum("revenue"))
     return wide.na.fill(0, list(months)).orderBy("cohort_month")
+
+
+def _occurring(cells: DataFrame, column: str) -> list:
+    """The values of a column of months or offsets: as many as the history has months."""
+    return [r[0] for r in cells.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column).collect()]

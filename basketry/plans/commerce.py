@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.functions.calendar import year_month
-from basketry.functions.numeric import half_up, half_up_money, mean, pct, ratio, sample_stddev, sum_money
+from basketry.functions.numeric import half_up, half_up_money, mean, pct, ratio, sample_stddev, sum_money, sum_squares, whole
 from basketry.functions.segments import SPEND_BOUNDS, SPEND_LABELS, spend_bucket, spend_label
 from basketry.operators.ranking import over_rows, top_k
 
@@ -163,15 +163,14 @@ def price_variability(sales: DataFrame, product_dim: DataFrame, k: int = 20, min
     )
     n = F.col("active_days")
     stats = daily.groupBy("product_id").agg(
-        F.count("*").alias("active_days"), F.sum("_units").alias("total_units"),
-        F.sum(F.col("_units") * F.col("_units")).alias("_units_sq"), F.sum("_price").alias("_prices"),
+        F.count("*").alias("active_days"), F.sum("_units").alias("total_units"), sum_squares("_units").alias("_units_sq"), F.sum("_price").alias("_prices"),
         F.sum(F.col("_price") * F.col("_price")).alias("_prices_sq"),
     ).filter(n >= min_days).select(
         "product_id", "total_units", "active_days",
         mean("_prices", n, 2).alias("mean_price"),
         half_up(sample_stddev(n, F.col("_prices"), F.col("_prices_sq")), 2).alias("price_stddev"),
         mean("total_units", n, 2).alias("mean_daily_units"),
-        half_up(sample_stddev(n, F.col("total_units"), F.col("_units_sq")), 2).alias("units_stddev"),
+        half_up(sample_stddev(n, whole("total_units"), F.col("_units_sq")), 2).alias("units_stddev"),
     )
     priced = product_dim.filter("has_price_history").select("product_id", F.col("name").alias("product_name"), "base_price")
     spread = F.try_divide(F.try_divide("units_stddev", "mean_daily_units"), F.try_divide("price_stddev", "mean_price"))

@@ -1,6 +1,7 @@
 """Reads by key: a user's sessions, key-ordered scans, a product's days.
 
-On tables written with ``write_key_ordered`` the key filter prunes row groups.
+``stored_*`` read the session table of ``etl.warehouse``, which is ordered by the text of its row key: a user's rows
+share a prefix and stand together, newest first, so the prefix filter skips all other row groups.
 """
 
 from __future__ import annotations
@@ -29,6 +30,18 @@ def sessions_by_key(sessions: DataFrame, limit: int) -> DataFrame:
     return keyed.withColumn("user_id", row_key_user("row_key")).orderBy("row_key", "session_id").limit(limit)
 
 
+def stored_user_sessions(stored: DataFrame, user_id, limit: int = 10) -> DataFrame:
+    """Newest sessions of one user from the key-ordered table."""
+    mine = stored.filter(F.col("row_key").startswith(f"{user_id}_"))
+    return mine.select(*DETAIL).orderBy(F.desc("start_time"), "session_id").limit(limit)
+
+
+def stored_sessions_by_key(stored: DataFrame, limit: int) -> DataFrame:
+    """First rows of the key-ordered table."""
+    first = stored.select("row_key", "session_id", "conversion_status", "duration_seconds").orderBy("row_key", "session_id").limit(limit)
+    return first.withColumn("user_id", row_key_user("row_key"))
+
+
 def recent_sessions(sessions: DataFrame, limit: int) -> DataFrame:
     """Newest sessions of all users."""
     return sessions.select("session_id", "user_id", "start_time", "conversion_status", "duration_seconds").orderBy(

@@ -52,8 +52,12 @@ def build_session(app_name: str = "basketry", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for durable intermediate results.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (tests on one machine) a folder under the working directory is used.
+    The cluster names it in ``spark.checkpoint.dir``. Only on one machine (a local
+    master, as in tests) a folder under the working directory may stand in for it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or os.path.join(os.getcwd(), "spark-warehouse", "shared")
+    if configured:
+        return configured
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return os.path.join(os.getcwd(), "spark-warehouse", "shared")

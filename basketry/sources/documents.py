@@ -5,9 +5,9 @@ from __future__ import annotations
 import posixpath
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from basketry.functions.calendar import parse_iso
+from basketry.functions.calendar import iso_text, parse_iso, plain_text
 from basketry.functions.numeric import cents, money
 from basketry.sources.retail import ORDER_COLUMNS, Retail
 from basketry.sources.schemas import ENTITIES
@@ -57,9 +57,9 @@ def load(spark: SparkSession, path: str, multi_line: bool = True) -> dict[str, D
     return {entity: read_entity(spark, path, entity, multi_line) for entity in ENTITIES}
 
 
-def write_json(df: DataFrame, path: str, files: int) -> None:
-    """JSON lines split into ``files`` files."""
-    df.repartition(files).write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, files: int | None = None) -> None:
+    """JSON lines, one file per partition of ``df`` unless a number of files is asked for."""
+    (df if files is None else df.repartition(files)).write.mode("overwrite").json(path)
 
 
 def explode_subcategories(categories: DataFrame) -> DataFrame:
@@ -71,6 +71,44 @@ def explode_subcategories(categories: DataFrame) -> DataFrame:
     )
 
 
+def documents_of(r: Retail) -> dict[str, DataFrame]:
+    """The flat tables as nested documents: the way back. A document holds its lists, so each is one row."""
+    text = lambda c: F.col(c).cast("string").alias(c)
+    amount = lambda c, digits=2: (F.col(c) / 10**digits).cast("double").alias(c)
+    lines = r.items.groupBy("transaction_id").agg(
+        F.sort_array(F.collect_list(F.struct(text("product_id"), F.col("quantity").cast("int").alias("quantity"), amount("unit_price"), amount("subtotal")))).alias("items"),
+        amount_sum("subtotal"), amount_sum("line_discount", 4).alias("discount"))
+    views = r.page_views.groupBy("session_id").agg(F.sort_array(F.collect_list(F.struct(
+        F.col("timestamp").alias("ts"), "view_id", "page_type", text("product_id"), F.col("view_duration").cast("int").alias("view_duration")))).alias("v"))
+    seen = F.transform(F.filter("v", lambda x: x["page_type"] == "view"), lambda x: x["product_id"])
+    listed = F.transform("v", lambda x: F.struct(
+        F.concat(F.translate(plain_text(x["ts"]), " ", "T"), F.lit("Z")).alias("timestamp"), x["page_type"].alias("page_type"), x["product_id"].alias("product_id"),
+        F.lit(None).cast("string").alias("category_id"), x["view_duration"].alias("view_duration")))
+    carts = r.carts.groupBy("session_id").agg(F.map_from_entries(F.collect_list(F.struct(
+        F.col("product_id").cast("string"), F.struct(F.col("quantity").cast("int").alias("quantity"), amount("price"))))).alias("cart_contents"))
+    sessions = r.sessions.drop("page_views", "viewed_products", "cart_items").join(views, "session_id", "left").join(carts, "session_id", "left")
+    subs = r.subcategories.groupBy("category_id", F.col("category_name").alias("name")).agg(F.collect_list(F.struct(
+        "subcategory_id", F.col("subcategory_name").alias("name"), F.col("profit_margin").cast("double").alias("profit_margin"))).alias("subcategories"))
+    return {
+        "users": r.users.select(text("user_id"), "name", F.struct("city", "province").alias("geo_data"), iso_text("registration_date").alias("registration_date")),
+        "categories": subs,
+        "products": r.products.select(text("product_id"), "name", "category_id", "subcategory_id", F.col("base_price").cast("double").alias("base_price"),
+                                      F.col("current_stock").cast("int").alias("current_stock"), "is_active"),
+        "sessions": sessions.select(
+            "session_id", text("user_id"), iso_text("start_time").alias("start_time"), iso_text("end_time").alias("end_time"),
+            F.col("duration_seconds").cast("int").alias("duration_seconds"), F.struct("city", F.col("province").alias("state"), "country").alias("geo_data"),
+            F.struct(F.col("device_type").alias("type"), F.col("device_os").alias("os"), "browser").alias("device_profile"),
+            seen.alias("viewed_products"), listed.alias("page_views"), "cart_contents", "conversion_status", "referrer"),
+        "transactions": r.orders.join(lines, "transaction_id", "left").select(
+            text("transaction_id"), text("session_id"), text("user_id"), iso_text("timestamp").alias("timestamp"), "items", "subtotal", "discount",
+            amount("total"), "payment_method", "status"),
+    }
+
+
+def amount_sum(column: str, digits: int = 2) -> Column:
+    return (F.sum(column) / 10**digits).cast("double").alias(column)
+
+
 class DocumentRetail(Retail):
     """Flat tables from the nested entities; nesting is undone by explode, never by a join."""
 
@@ -109,9 +147,10 @@ class DocumentRetail(Retail):
         kept = order_columns or ORDER_COLUMNS
         return lines.drop(*[c for c in ORDER_COLUMNS if c not in kept])
 
-    def transactions(self) -> DataFrame:
+    def transactions(self, only: str | None = None) -> DataFrame:
         """The documents state their own amounts."""
-        return self.entities["transactions"].select(
+        documents = self.entities["transactions"]
+        return (documents if only is None else documents.filter(F.col("status") == only)).select(
             "transaction_id", "user_id", "session_id", "timestamp", F.to_date("timestamp").alias("date"),
             money("total").alias("total"), "payment_method", "status",
             money("subtotal").alias("subtotal"), money("discount").alias("discount"),
@@ -141,20 +180,21 @@ class DocumentRetail(Retail):
 
     @cached_property
     def users(self) -> DataFrame:
-        return self.entities["users"].select(
-            "user_id", "name", F.coalesce("geo_data.city", F.lit("Unknown")).alias("city"),
-            F.coalesce("geo_data.province", F.lit("Unknown")).alias("province"), "registration_date",
-        )
+        return self.entities["users"].select(*self._user_columns())
+
+    @staticmethod
+    def _user_columns() -> list:
+        return ["user_id", "name", F.coalesce("geo_data.city", F.lit("Unknown")).alias("city"),
+                F.coalesce("geo_data.province", F.lit("Unknown")).alias("province"), "registration_date"]
 
     @property
     def profiles(self) -> DataFrame:
         """Users with the totals their documents carry, 0 where they carry none."""
-        totals = self.entities["users"].select(
-            "user_id", F.coalesce("purchase_summary.total_orders", F.lit(0).cast("bigint")).alias("total_orders"),
+        return self.entities["users"].select(
+            *self._user_columns(), F.coalesce("purchase_summary.total_orders", F.lit(0).cast("bigint")).alias("total_orders"),
             F.coalesce(money("purchase_summary.total_spent"), F.lit(0).cast("decimal(18,2)")).alias("total_spent"),
             F.coalesce("purchase_summary.avg_order_value", F.lit(0.0)).alias("avg_order_value"),
         )
-        return self.users.join(totals, "user_id")
 
     @cached_property
     def sessions(self) -> DataFrame:

@@ -4,6 +4,7 @@ import re
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketry.catalog.queries import CATALOG, run, store
 from basketry.plans import cohort, funnel, insights, sessions
@@ -70,3 +71,47 @@ def test_invariants(spark):
     assert all(0 <= x["retention_pct"] <= 100 for x in cohort.cohort_retention_pct(r.orders, r.registrations).collect())
     steps = sessions.page_transitions(r.page_views).agg({"count": "sum"}).first()[0]
     assert steps == r.page_views.count() - r.sessions.count()
+
+
+def test_spread_of_products_with_very_many_units(spark):
+    """A billion units a day: squares and their sums leave the range of a BIGINT."""
+    from datetime import date
+
+    from basketry.plans import commerce
+    days = [(1, date(2024, 1, d + 1), 10**9 + d, 100 + d) for d in range(4)]
+    sales = spark.createDataFrame(days, "product_id long, date date, quantity long, unit_price long")
+    dim = spark.createDataFrame([(1, "p", True)], "product_id long, name string, has_price_history boolean").withColumn("base_price", F.lit(1).cast("decimal(18,2)"))
+    row = commerce.price_variability(sales, dim).first()
+    assert (row["total_units"], row["units_stddev"], row["active_days"]) == (4 * 10**9 + 6, 1.29, 4)
+
+
+@pytest.mark.parametrize("report", ["clv_tier_summary", "engagement_by_tier", "clv_by_province"])
+def test_reports_do_not_depend_on_the_order_of_rows(spark, no_broadcast, report):
+    from basketry.catalog.queries import clv_table
+    from basketry.plans import clv
+    users = clv_table(store(spark, FOLDER))
+    results = set()
+    for n in (1, 4, 64):
+        totals = clv.Totals(users.repartition(n, "user_id"), "clv_tier")
+        results.add(str(sorted(map(tuple, totals.rows.collect()))))
+        results.add(str(sorted(map(tuple, clv.Totals(users.repartition(n), "clv_tier").rows.collect()))))
+    assert len(results) == 1 and getattr(clv, report)(users).count() > 0
+
+
+def test_matrices_hold_every_cell(spark):
+    r = store(spark, FOLDER)
+    cells = cohort.cohort_cells(r.orders, r.registrations)
+    assert sum(len(x["revenue"]) for x in cohort.matrix(cells, "cohort", "months_since_reg", "revenue").collect()) == cells.count()
+    wide = cohort.pivot_offsets(cells, "revenue")
+    assert sum(v is not None for x in wide.collect() for v in x) - wide.count() == cells.count()
+
+
+def test_key_reads_skip_row_groups(spark):
+    text = run("stored_user_sessions", spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(row_key,7_)" in text
+
+
+def test_grouped_quantiles_meet_no_group_in_one_task(spark, no_broadcast):
+    for name in ("page_type_stats", "spend_distribution"):
+        text = run(name, spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+        assert "_salt" in text
