@@ -23,14 +23,13 @@ def top_pairs(items: DataFrame, product_dim: DataFrame, k: int = 20, hot: HotKey
 
 
 def also_bought(items: DataFrame, product_dim: DataFrame, k: int = 3, hot: HotKeys | None = None) -> DataFrame:
-    """The ``k`` products most often bought with each product, ranked before names are joined."""
+    """The ``k`` products most often bought with each product, ranked before names are joined; in no order."""
     best = best_partners(items, k, hot)
     named = _named(_named(best, product_dim, "source_product", "source_name"), product_dim, "recommended_product", "rec_name")
-    return named.select("source_product", "source_name", "recommended_product", "rec_name", "co_purchase_count").orderBy(
-        "source_product", F.desc("co_purchase_count"), "recommended_product"
-    )
+    return named.select("source_product", "source_name", "recommended_product", "rec_name", "co_purchase_count")
 
 
 def search_recommendations(recs: DataFrame, text: str) -> DataFrame:
-    """Recommendations whose product or recommended product contains ``text``."""
-    return recs.filter(contains_ignore_case("source_name", text) | contains_ignore_case("rec_name", text))
+    """Recommendations whose product or recommended product contains ``text``, most frequent first per product."""
+    found = recs.filter(contains_ignore_case("source_name", text) | contains_ignore_case("rec_name", text))
+    return found.orderBy("source_product", F.desc("co_purchase_count"), "recommended_product")
