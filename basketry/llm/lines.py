@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from basketry.llm.common import DOC, doc_key, fresh, texts, written
 
 MIN_WORDS = 50
+BATCH_LINES = 50000
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
@@ -47,15 +48,23 @@ def split_lines(docs: DataFrame) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows, columns = [], tuple([] for _ in fields.types[3:])
             for row, text in enumerate(texts(batch.column("text"))):
                 lines = text.split(b"\n")
                 counts = [len(line.split()) for line in lines]
                 real = [i for i, n in enumerate(counts) if n]
-                if real:
-                    keys = [pa.array([batch.column(c)[row].as_py()] * len(real), k) for c, k in zip(DOC, fields.types)]
-                    yield pa.RecordBatch.from_arrays([*keys, *(pa.array(c, k) for c, k in zip((
-                        range(len(real)), real, [*real[1:], len(lines)], [counts[i] for i in real],
-                        [hashlib.md5(lines[i]).digest() for i in real]), fields.types[3:]))], schema=fields)
+                rows += [row] * len(real)
+                for column, values in zip(columns, (range(len(real)), real, [*real[1:], len(lines)] if real else (), [counts[i] for i in real],
+                                                    [hashlib.md5(lines[i]).digest() for i in real])):
+                    column.extend(values)
+                if len(rows) > BATCH_LINES:
+                    yield packed(batch, rows, columns)
+                    rows, columns = [], tuple([] for _ in columns)
+            yield packed(batch, rows, columns)
+
+    def packed(batch: pa.RecordBatch, rows: list, columns: tuple) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(rows, pa.int64())) for c in DOC),
+                                           *(pa.array(c, k) for c, k in zip(columns, fields.types[3:]))], schema=fields)
 
     ints = ("place", "line_no", "until", "words")
     fields = pa.schema([("_none", pa.bool_()), ("_id", pa.int64()), ("_text", pa.int64()), *((c, pa.int32()) for c in ints), ("digest", pa.binary())])
@@ -91,21 +100,22 @@ def _ordered(distinct: DataFrame, keys: list[str], name: str) -> DataFrame:
     return distinct.orderBy(*keys).withColumn(name, F.monotonically_increasing_id())
 
 
-def windows(words: np.ndarray, min_words: int) -> list[tuple[int, int]]:
-    """(first, length) of the shortest parts with ``min_words`` words that begin, or end, at each line of a stretch."""
+def windows(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First lines and lengths of the shortest parts with ``min_words`` words that begin, or end, at each line of a stretch."""
     sums = np.concatenate([[0], np.cumsum(words)])
     n = len(words)
     ends = np.searchsorted(sums, sums[:-1] + min_words)  # exclusive; n + 1 if there are too few words
     begins = np.searchsorted(sums, sums[1:] - min_words, side="right") - 1  # -1 if there are too few words
-    found = {(i, int(e) - i) for i, e in enumerate(ends) if e <= n} | {(int(b), e + 1 - int(b)) for e, b in enumerate(begins) if b >= 0}
-    return sorted(found)
+    first, last = np.flatnonzero(ends <= n), np.flatnonzero(begins >= 0)
+    found = np.unique(np.concatenate([first << 32 | (ends[first] - first), begins[last] << 32 | (last + 1 - begins[last])]))
+    return found >> 32, found & 0xFFFFFFFF
 
 
 def _longest_window(active: DataFrame, min_words: int) -> int:
     """Most lines in any window: every line has a word, so at most ``min_words``, and usually far fewer."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            yield pd.DataFrame({"n": [max((k for _, k in windows(np.asarray(w), min_words)), default=0) for w in rows["words"]]})
+            yield pd.DataFrame({"n": [windows(np.asarray(w, np.int64), min_words)[1].max(initial=0) for w in rows["words"]]})
 
     stretches = active.groupBy(*DOC, "stretch").agg(F.sort_array(F.collect_list(F.struct("place", "words"))).alias("l")).select(F.col("l.words").alias("words"))
     return stretches.mapInPandas(run, "n int").agg(F.max("n")).first()[0] or 0
@@ -119,19 +129,25 @@ def later_copies(active: DataFrame, steps: int, min_words: int = MIN_WORDS) -> D
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            for none, key, text, place, words, *ranks in rows.itertuples(index=False, name=None):
-                out = []
-                for i, length in windows(np.asarray(words), min_words):
-                    k = length.bit_length() - 1
-                    out.append((none, key, text, length, ranks[k][i], ranks[k][i + length - (1 << k)], place[i]))
-                yield pd.DataFrame(out, columns=[*DOC, "length", "head", "tail", "place"])
-
+            parts: list[list[np.ndarray]] = [[] for _ in found]
+            for row, (place, words, *ranks) in enumerate(zip(*(rows[c] for c in ("place", "words", *names)))):
+                first, length = windows(np.asarray(words, np.int64), min_words)
+                level = np.frexp(length)[1] - 1  # 2^level <= length
+                table = np.stack(ranks)
+                for part, values in zip(parts, (np.full(len(first), row), length, table[level, first], table[level, first + length - (1 << level)], np.asarray(place)[first])):
+                    part.append(values)
+            row, *columns = (np.concatenate([np.zeros(0, np.int64), *part]) for part in parts)
+            yield pd.DataFrame({**{c: rows[c].to_numpy()[row] for c in DOC}, **dict(zip(found[1:], columns))})
+
+    found = ("row", "length", "head", "tail", "place")
     # An interval: the suffixes whose first `length` lines are equal, named by the ranks of two overlapping parts.
     interval = ["length", "head", "tail"]
-    found = written(stretches.select(*DOC, *columns).mapInPandas(
+    starts = written(stretches.select(*DOC, *columns).mapInPandas(
         run, "_none boolean, _id long, _text long, length int, head long, tail long, place int"), "windows")
-    first = found.groupBy(*interval).agg(F.count("*").alias("n"), F.min(F.struct(*DOC, "place")).alias("first")).filter("n > 1").drop("n")
-    return found.join(first, interval).filter(F.struct(*DOC, "place") > F.col("first")).select(*DOC, "place", "length")
+    first = starts.groupBy(*interval).agg(F.count("*").alias("n"), F.min(F.struct(*DOC, "place")).alias("first")).filter("n > 1").drop("n")
+    # As a table of its own it lets Spark split the join where one interval has very many copies.
+    first = written(first, "first-copies")
+    return starts.join(first, interval).filter(F.struct(*DOC, "place") > F.col("first")).select(*DOC, "place", "length")
 
 
 def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
