@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 import re
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 
 import pyarrow as pa
@@ -29,7 +31,7 @@ from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 from basketry.llm.common import texts
 
 PART = 1 << 15
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 # Characters whose classes no version of Unicode has changed; other texts are cut by the tokenizer's own pattern engine.
 SETTLED = re.compile("[\x00-\u024f\u0410-\u044f\u2010-\u2027\u3041-\u3096\u30a1-\u30fa\u3001-\u3003\u4e00-\u9fa5\uac00-\ud7a3]*")
 # The pattern never crosses the end of a run of letters.
@@ -73,7 +75,8 @@ class Codec:
     """A tokenizer with its byte table. Pieces of text met before are not encoded again; at most ``REMEMBERED`` are kept."""
 
     def __init__(self, json: str, pattern: str) -> None:
-        self.tokenizer, self.whole = Tokenizer.from_str(json), Tokenizer.from_str(json)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core; threads of its own only get in the way
+        self.json, self.tokenizer = json, Tokenizer.from_str(json)
         self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.pieces, self.known = regex.compile(pattern).findall, {}
         back = {c: b for b, c in enumerate(byte_chars())}
@@ -81,6 +84,12 @@ class Codec:
         self.bytes = [b""] * (max(vocab.values(), default=-1) + 1)
         for token, key in vocab.items():
             self.bytes[key] = bytes(back[c] for c in token)
+        self.shared = list(range(len(self.bytes)))  # one number object per id, whatever is remembered
+
+    @cached_property
+    def whole(self) -> Tokenizer:
+        """The tokenizer with its own pattern; most workers never need it."""
+        return Tokenizer.from_str(self.json)
 
     def ids(self, text: str) -> list[int]:
         found: list[int] = []
@@ -92,8 +101,8 @@ class Codec:
             new = list({p for p in pieces if p not in self.known})
             if len(self.known) > REMEMBERED:
                 self.known, new = {}, list(set(pieces))
-            for piece, code in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self.known[piece] = code.ids
+            for piece, code in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else ()):
+                self.known[piece] = tuple(map(self.shared.__getitem__, code.ids))
             found.extend(chain.from_iterable(map(self.known.__getitem__, pieces)))
         return found
 
