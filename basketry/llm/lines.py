@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from basketry.llm.common import DOC, doc_key, fresh, texts, written
 
 MIN_WORDS = 50
-BATCH_LINES = 50000
+BATCH_LINES, SLICE_ROWS = 50000, 500
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
@@ -185,8 +185,10 @@ def _with_gone(docs: DataFrame, min_words: int, work: Callable, schema: T.Struct
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = [None if a is None else list(zip(a, b)) for a, b in zip(batch.column(n).to_pylist(), batch.column(n + 1).to_pylist())]
-            yield work(pa.RecordBatch.from_arrays(batch.columns[:n], names=batch.schema.names[:n]), spans)
+            for start in range(0, len(batch), SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                spans = [None if a is None else list(zip(a, b)) for a, b in zip(part.column(n).to_pylist(), part.column(n + 1).to_pylist())]
+                yield work(pa.RecordBatch.from_arrays(part.columns[:n], names=part.schema.names[:n]), spans)
 
     return joined.mapInArrow(run, schema)
 

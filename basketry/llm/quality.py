@@ -24,6 +24,7 @@ from basketry.llm.common import texts
 # room for a short text that carries one boilerplate line twice.
 LENGTHS = (5, 6, 7, 8, 9, 10)
 CHAR_LIMIT = 0.30
+SLICE_ROWS = 500
 MIN_WORDS = 50
 REPEAT_WINDOW, REPEAT_PERCENT = 3, 50
 
@@ -130,6 +131,8 @@ def keep(docs: DataFrame) -> DataFrame:
     """The documents that pass, with all their columns as they are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([assess(t)[6] for t in texts(batch.column("text"))], pa.bool_()))
+            for start in range(0, len(batch), SLICE_ROWS):  # small copies
+                part = batch.slice(start, SLICE_ROWS)
+                yield part.filter(pa.array([assess(t)[6] for t in texts(part.column("text"))], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
