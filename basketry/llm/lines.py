@@ -80,7 +80,9 @@ def suffix_ranks(lines: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFram
     again = lines.groupBy("digest").count().filter("count > 1").select("digest")
     first = written(_ordered(again, ["digest"], "r0"), "line-ranks")
     here = Window.partitionBy(*DOC).orderBy("place")
-    active = lines.join(first, "digest").drop("digest").withColumn("stretch", F.col("place") - F.row_number().over(here))
+    # Rows that repeat a document count once: each place has one line.
+    active = lines.join(first, "digest").drop("digest").dropDuplicates([*DOC, "place"])
+    active = active.withColumn("stretch", F.col("place") - F.row_number().over(here))
     stretch = Window.partitionBy(*DOC, "stretch")
     active = active.withColumn("_all", F.sum("words").over(stretch)).filter(F.col("_all") >= min_words).drop("_all")
     active = written(active, "suffixes")

@@ -64,6 +64,16 @@ def test_copies_overlaps_and_a_common_line(docs):
     assert out[6]["text"] == "rest" and list(out[1].asDict()) == ["doc_id", "text", "lang", "source", "n_chars", "gone", "_id"]
 
 
+def test_repeated_rows_are_one_document(docs):
+    short, long = "\n".join(prose(i, 12) for i in range(6)), "\n".join(prose(20 + i, 60) for i in range(3))
+    rows = [(1, f"{short}\nfirst tail\n{long}", "en", "s", 0), (2, f"own head\n{short}\nown tail", "en", "s", 0), (3, f"{long}\nunique line\nand one more", "en", "s", 0),
+            (4, f"{prose(60, 60)}\n{prose(61, 9)}", "en", "s", 0)]
+    rows += [rows[1], rows[2], rows[2], rows[3]]
+    check(docs, rows, 50)
+    out = sorted((r["doc_id"], r["text"]) for r in lines.without_repeats(docs(rows)).collect())
+    assert out == sorted([(1, rows[0][1]), *[(2, "own head\nown tail")] * 2, *[(3, "unique line\nand one more")] * 3, *[(4, rows[3][1])] * 2])
+
+
 def test_awkward_rows(awkward, empty):
     assert sorted(map(str, lines.without_repeats(awkward).collect())) == sorted(map(str, awkward.collect()))
     assert lines.report(awkward).count() == len(AWKWARD)
