@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from basketry.llm.common import fresh, texts, written
+from basketry.llm.common import DOC, doc_key, fresh, texts, written
 from basketry.llm.graph import components
 
 SHINGLE_WORDS = 3
@@ -89,11 +89,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component with all its columns: that with the smallest doc_id.
 
-    Rows that repeat a kept doc_id count as one document. Rows without doc_id go
-    with the ids of their component; of components without any id one row stays.
+    Documents without doc_id come last, equal ids by a digest of the text. Rows that agree
+    in doc_id and text are one document.
     """
-    found = near_duplicates(docs)
-    key = fresh(docs, "_doc")
-    chosen = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key)).distinct()
-    rows = docs.join(chosen, docs["doc_id"].cast("long").eqNullSafe(F.col(key)))
-    return rows.dropDuplicates([key]).select(*[docs[c] for c in docs.columns])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = pa.array([fingerprint(t) for t in texts(batch.column("text"))], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in DOC), fps], names=[*DOC, "fp"])
+
+    rows = written(docs.select(*doc_key(docs), "text").mapInArrow(run, "_none boolean, _id long, _text long, fp long").distinct(), "fingerprints")
+    return one_of_each(docs, rows, "fp", components(links(rows.select("fp").distinct())))
+
+
+def one_of_each(docs: DataFrame, rows: DataFrame, name: str, roots: DataFrame) -> DataFrame:
+    """The first document, by ``DOC``, of each component; ``rows`` has ``DOC`` and the node ``name``, ``roots`` the nodes that are linked."""
+    labelled = rows.join(roots.withColumnRenamed("node", name), name, "left").withColumn("root", F.coalesce("root", name))
+    key = [fresh(docs, c) for c in DOC]
+    # As a table of its own it lets Spark measure the join with the texts.
+    chosen = written(labelled.groupBy("root").agg(F.min(F.struct(*DOC)).alias("d")).select(*(F.col(f"d.{c}").alias(k) for c, k in zip(DOC, key))), "chosen")
+    named = docs.select("*", *(c.alias(k) for c, k in zip(doc_key(docs), key)))
+    return named.join(chosen, key, "left_semi").dropDuplicates(key).select(*docs.columns)

@@ -71,3 +71,10 @@ def test_one_row_of_each_group_stays(docs, awkward, empty):
     kept = simhash.keep_one(awkward).collect()
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [1, 4, 5, 6, 8, 9]
     assert simhash.keep_one(empty).count() == simhash.near_duplicates(empty).count() == 0
+
+
+def test_rows_without_id_and_repeated_ids_stay_apart(docs):
+    rows = [(None, prose(1, 80), "en", "s", 0), (None, prose(2, 80), "en", "s", 0), (7, prose(3, 80), "en", "s", 0), (7, prose(4, 80), "en", "s", 0),
+            (5, prose(6, 80), "en", "s", 0), (None, prose(6, 80), "de", "s", 0), (None, prose(2, 80), "en", "s", 0)]
+    out = simhash.keep_one(docs(rows, ("_none", "fp", "root"))).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in out) == sorted((str(r[0]), r[1]) for r in rows[:5])
