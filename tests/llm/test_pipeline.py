@@ -34,7 +34,7 @@ def test_stages_match_brute_force(spark, small):
 
 def test_all_queries_are_registered():
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
