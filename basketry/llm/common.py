@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import posixpath
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -48,3 +49,14 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in (c.lower() for c in df.columns):
         name = f"_{name}"
     return name
+
+
+def with_any_names(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Let a function that returns the columns of its input work where names hold dots or back quotes."""
+    @wraps(stage)
+    def run(docs: DataFrame, *args, **named) -> DataFrame:
+        names = docs.columns
+        plain = docs.toDF(*(f"_column{i}" if "." in c or "`" in c else c for i, c in enumerate(names)))
+        return stage(plain, *args, **named).toDF(*names)
+
+    return run

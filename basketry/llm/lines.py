@@ -35,7 +35,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from basketry.llm.common import DOC, doc_key, fresh, texts, written
+from basketry.llm.common import DOC, doc_key, fresh, texts, with_any_names, written
 
 MIN_WORDS = 50
 BATCH_LINES, SLICE_ROWS = 50000, 500
@@ -169,6 +169,7 @@ def report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return _with_gone(docs, min_words, summary, "doc_id long, n_lines long, n_deleted long, deleted string, kept_sha256 string")
 
 
+@with_any_names
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents without later copies of runs, all columns kept; a document that loses its last line is dropped.
 

@@ -15,20 +15,24 @@ nothing depends on the order in which partitions are merged, and reruns agree.
 
 Nulls: a null text has size 0, a null source is a source of its own, a document
 without doc_id takes part. Documents of size 0 are taken once. Rows that repeat
-doc_id, source and size share one decision. Extra columns are ignored by ``mix``
-and passed through by ``mixed``.
+doc_id, source and size share one rate, and so many of them are rounded up as come
+nearest to it. Documents of equal size are ordered by a hash of their id. A text of
+any length is one number here. Extra columns are ignored by ``mix`` and passed through
+by ``mixed``. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from basketry.llm.common import WORD, fresh, written
+from basketry.llm.common import WORD, fresh, with_any_names, written
 
 WEIGHTS, BUDGET, MOST = (3, 1, 2), 1.5, 2.0
-CHUNK_ROWS = 1000
+CHUNK_ROWS, ROWS_AT_ONCE = 1000, 1000
 TOLERANCE, MOST_STEPS = 1e-6, 100
 UNITS = 1 << 20  # of a word, in sums
 
@@ -94,14 +98,17 @@ def tilts(counts: DataFrame, wanted: DataFrame, most: float = MOST) -> DataFrame
         state = written(now.withColumn("tilt", new).select(state.columns), "tilts")
         if (state.agg(F.max("miss")).first()[0] or 0.0) <= TOLERANCE:
             break
+    else:
+        raise RuntimeError(f"a source still misses its target by more than {TOLERANCE} of it after {MOST_STEPS} steps")
     return state.select("source", "full", "scale", "tilt")
 
 
 def _copies(rows: pd.DataFrame, most: float) -> pd.DataFrame:
-    """Whole copies for one chunk, largest documents first.
+    """Whole copies for one chunk, largest documents first: ``low`` for each row of a group, one more for ``ups`` of them.
 
     Each rate is rounded to the side that keeps the words owed near zero, as long as
-    the smaller documents that follow can still make up for them.
+    the smaller documents that follow can still make up for them. Of a group of equal rows
+    as many are rounded up as come nearest.
     """
     rows = rows.sort_values(["size", "_h", "doc_id"], ascending=[False, True, True], kind="stable")
     words, rate = (rows["size"] * rows["n"]).to_numpy(), rows["rate"].to_numpy()
@@ -110,16 +117,16 @@ def _copies(rows: pd.DataFrame, most: float) -> pd.DataFrame:
     can_raise = np.append(np.cumsum(over[::-1])[::-1][1:], 0.0)
     can_lower = np.append(np.cumsum(under[::-1])[::-1][1:], 0.0)
     owed, ups = 0.0, []
-    for down, up, lower, higher in zip(over.tolist(), under.tolist(), can_lower.tolist(), can_raise.tolist()):
-        choices = sorted((max(o - lower, -o - higher, 0.0), abs(o), o, taken) for o, taken in ((owed + down, 0), (owed - up, 1)))
+    for size, n, down, up, lower, higher in zip(rows["size"].tolist(), rows["n"].tolist(), over.tolist(), under.tolist(), can_lower.tolist(), can_raise.tolist()):
+        near = min(n, max(0, round((owed + down) / size))) if size and n > 1 else 0
+        choices = sorted((max(o - lower, -o - higher, 0.0), abs(o), o, taken) for o, taken in ((owed + down - size * u, u) for u in {0, near, n}))
         owed = choices[0][2]
         ups.append(choices[0][3])
-    copies = np.where(words > 0, low + ups, 1).astype(int)
-    return rows.assign(copies=copies)[["doc_id", "source", "size", "n", "rate", "copies"]]
+    return rows.assign(low=np.where(words > 0, low, 1).astype(int), ups=np.where(words > 0, ups, 0))[["doc_id", "source", "size", "n", "rate", "low", "ups"]]
 
 
 def decisions(sizes: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, most: float = MOST) -> tuple[DataFrame, DataFrame]:
-    """Copies per distinct ``doc_id, source, size`` (with the number ``n`` of such rows), and the targets per source."""
+    """Copies per distinct ``doc_id, source, size`` (``n`` such rows, see ``_copies``), and the targets per source."""
     rows = written(sizes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n")), "sizes")
     counts = written(rows.groupBy("source", "size").agg(F.sum("n").alias("n")), "size-counts")
     wanted = targets(counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).cast("long").alias("source_size")), weights, budget, most)
@@ -131,7 +138,7 @@ def decisions(sizes: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET
         "doc_id", "source", "size", "n", F.coalesce(_rate(most), F.lit(1.0)).alias("rate"),
         F.xxhash64("doc_id", "size").alias("_h"), F.pmod(F.xxhash64("doc_id", "size", "source"), "_chunks").alias("_chunk"))
     taken = rated.groupBy("source", "_chunk").applyInPandas(
-        lambda rows: _copies(rows, most), "doc_id long, source string, size long, n long, rate double, copies int")
+        lambda rows: _copies(rows, most), "doc_id long, source string, size long, n long, rate double, low int, ups long")
     return taken, wanted
 
 
@@ -140,16 +147,40 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, most:
     sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size_of(F.col("text")).alias("size"))
     taken, wanted = decisions(sizes, weights, budget, most)
     wanted = wanted.withColumnRenamed("source", "_s")
-    rows = taken.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    # Equal rows return as so many rows, in two steps: no row ever holds an array as long as a group.
+    parts = F.array(F.struct((F.col("low") + 1).alias("copies"), F.col("ups").alias("m")), F.struct(F.col("low").alias("copies"), (F.col("n") - F.col("ups")).alias("m")))
+    rows = taken.select("*", F.inline(parts)).filter("m > 0").withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(m - 1) div {ROWS_AT_ONCE}"))))
+    rows = rows.withColumn("_j", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(ROWS_AT_ONCE).cast("long"), F.col("m") - F.col("_i") * ROWS_AT_ONCE))))
     return rows.join(wanted, F.col("source").eqNullSafe(F.col("_s"))).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate")
 
 
+@with_any_names
 def mixed(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, most: float = MOST) -> DataFrame:
     """The mix itself: every document as often as it is taken, with all its columns."""
     size, again = fresh(docs, "_size"), fresh(docs, "_again")
     sized = docs.withColumn(size, size_of(F.col("text")))
     taken, _ = decisions(sized.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.col(size).alias("size")), weights, budget, most)
-    taken = taken.filter("copies > 0").select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"), F.col("copies").alias(again))
-    same = sized["doc_id"].eqNullSafe(taken["_d"]) & sized["source"].eqNullSafe(taken["_s"]) & (sized[size] == taken["_z"])
-    return sized.join(taken, same).withColumn(again, F.explode(F.sequence(F.lit(1), F.col(again)))).select(*[sized[c] for c in docs.columns])
+    own = {c: fresh(sized, f"_{c}") for c in ("doc_id", "source", "size", "n", "low", "ups")}
+    taken = written(taken.filter("low > 0 OR ups > 0").select(*(F.col(c).alias(name) for c, name in own.items())), "taken")
+    same = F.col("doc_id").eqNullSafe(F.col(own["doc_id"])) & F.col("source").eqNullSafe(F.col(own["source"])) & (F.col(size) == F.col(own["size"]))
+    n, low, ups = (F.col(own[c]) for c in ("n", "low", "ups"))
+    alike = (ups == 0) | (ups == n)  # all rows of a group are taken equally often
+    parts = [sized.join(taken.filter(alike), same).withColumn(again, low + (ups > 0).cast("int"))]
+    if taken.filter(~alike).limit(1).count():
+        numbered = _numbered(sized.join(taken.filter(~alike), same), [own[c] for c in ("doc_id", "source", "size")], again)
+        parts.append(numbered.withColumn(again, low + (F.col(again) <= ups).cast("int")))
+    out = reduce(DataFrame.unionAll, (part.select(*docs.columns, again) for part in parts)).filter(F.col(again) > 0)
+    return out.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(again)))).drop(again)
+
+
+def _numbered(rows: DataFrame, key: list[str], name: str) -> DataFrame:
+    """Rows numbered from 1 within their ``key``, in any order; counted over salts, for a key may have very many rows."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at, salt, here, start = (fresh(rows, f"_{c}") for c in ("at", "salt", "here", "start"))
+    rows = written(rows.withColumn(at, F.monotonically_increasing_id()), "equal-rows").withColumn(salt, F.pmod(F.xxhash64(at), F.lit(parts)))
+    counts = rows.groupBy(*key, salt).agg(F.count("*").alias(here))
+    starts = counts.withColumn(start, F.sum(here).over(Window.partitionBy(*key).orderBy(salt)) - F.col(here))
+    starts = starts.select(*(F.col(c).alias(f"{c}2") for c in key), F.col(salt).alias(f"{salt}2"), start)
+    numbered = rows.withColumn(name, F.row_number().over(Window.partitionBy(*key, salt).orderBy(at)))
+    return numbered.join(starts, reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"{c}2")) for c in [*key, salt]))).withColumn(name, F.col(name) + F.col(start))

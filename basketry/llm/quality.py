@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from basketry.llm.common import texts
+from basketry.llm.common import texts, with_any_names
 
 # A text is rejected if more of its characters lie in n-grams, or in lines, that it held before. The limit leaves
 # room for a short text that carries one boilerplate line twice.
@@ -127,6 +127,7 @@ def measure(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
 
 
+@with_any_names
 def keep(docs: DataFrame) -> DataFrame:
     """The documents that pass, with all their columns as they are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

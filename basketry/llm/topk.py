@@ -15,7 +15,8 @@ where every partial sum is below 2^53, otherwise as unbounded integers (those
 that leave 64 bits are held at their ends). Nulls:
 vectors that are null or hold a null or non-finite component, and rows without
 id, take no part. Only vectors of equal length meet. Repeated rows are candidates
-each; a row with the query's id is never its own result. Extra columns are ignored.
+each, and a query that stands several times is asked once; a row with the query's id is never its own result. An empty
+table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -117,7 +118,9 @@ def top_k(rows: DataFrame, step: int = QUERY_STEP, k: int = K, scale: int = SCAL
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     part = lambda n: F.pmod(F.xxhash64("ids", "matrix"), F.lit(n)).cast("int")
     blocks = index.filter(~F.col("query")).select("dim", "ids", "matrix", "high", "low", part(across).alias("a"), spread(down).alias("d"))
-    queries = index.filter("query").select("dim", "ids", "matrix", "seed", F.xxhash64("matrix").alias("digest"), part(down).alias("d")).distinct()
+    queries = index.filter("query").select("dim", "ids", "matrix", "seed", F.xxhash64("matrix").alias("digest"), part(down).alias("d"))
+    # A query that stands several times is asked once, from the best of its first scores.
+    queries = queries.groupBy("dim", "ids", "matrix", "digest", "d").agg(F.max("seed").alias("seed"))
     queries = queries.withColumn("a", spread(across))
     cell = ["dim", "a", "d"]
     found = blocks.groupBy(*cell).cogroup(queries.groupBy(*cell)).applyInPandas(

@@ -142,12 +142,14 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, score, predicted`` per document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: a broadcast names the classes of its objects, and executors need not have this library.
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.prior))
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(*shared.value)
         for batch in batches:
-            scores = pa.array([shared.value.score(t) for t in texts(batch.column("text"))], pa.float64())
+            scores = pa.array([own.score(t) for t in texts(batch.column("text"))], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), scores], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")

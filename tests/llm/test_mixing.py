@@ -70,3 +70,24 @@ def test_mixed_repeats_rows(docs, awkward, empty):
     assert out.columns == awkward.columns and out.filter(F.col("text").isNull()).count() == 2
     assert mixing.mix(awkward).count() == len(AWKWARD)
     assert mixing.mix(empty).count() == mixing.mixed(empty).count() == 0
+
+
+@pytest.mark.parametrize("ids", [None, 3])
+def test_many_equal_rows_meet_the_target(docs, ids):
+    rows = [(ids, prose(1, 40), "en", "b", 0)] * 2500 + [(i, prose(i, 30), "en", "a", 0) for i in range(300)]
+    table = docs(rows)
+    found = mixing.mix(table).collect()
+    assert len(found) == len(rows)
+    taken, target = {}, {}
+    for r in found:
+        taken[r["source_size"]] = taken.get(r["source_size"], 0) + r["taken"]
+        target[r["source_size"]] = r["target"]
+    assert all(abs(taken[s] - target[s]) <= 40 for s in taken) and all(0 <= r["copies"] <= 2 for r in found)
+    copies = sum(r["copies"] for r in found if r["size"] == 40)
+    assert mixing.mixed(table).filter("source = 'b'").count() == copies and 0 < copies % 2500
+
+
+def test_targets_that_are_not_met_are_an_error(docs, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_STEPS", 1)
+    with pytest.raises(RuntimeError):
+        mixing.mix(many(docs))

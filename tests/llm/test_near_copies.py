@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from basketry.llm import near_copies, simhash
 
 
@@ -42,6 +44,39 @@ def test_one_of_each_component_by_brute_force(docs):
     assert simhash.keep_one(docs(rows)).count() > len(first)
 
 
+def families(seed, common, own, changed, count):
+    """Texts that share a template, each with a copy that has a few words changed."""
+    rnd, out = random.Random(seed), []
+    template = [f"t{i}" for i in range(common)]
+    for f in range(count):
+        base = template + [f"f{f}x{rnd.randrange(10**6)}" for _ in range(own)]
+        copy = base[:]
+        for at in rnd.sample(range(len(copy)), changed):
+            copy[at] = f"y{rnd.randrange(10**6)}"
+        out += [" ".join(base), " ".join(copy)]
+    return out
+
+
+@pytest.mark.parametrize("common, own, changed, block", [(170, 30, 2, 512), (170, 30, 2, 4), (150, 50, 3, 16), (170, 30, 5, 16)])
+def test_links_between_components_that_share_all_buckets(docs, monkeypatch, common, own, changed, block):
+    """Families of a template meet in the same buckets, and none is like another."""
+    monkeypatch.setattr(near_copies.other_candidates, "__defaults__", (block,))
+    texts = families(7, common, own, changed, 40)
+    group, first = brute(texts), {}
+    for i, g in enumerate(group):
+        first.setdefault(g, i)
+    kept = near_copies.keep_one(docs([(i, t, "en", "s", 0) for i, t in enumerate(texts)], ("a", "b", "low"))).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(first.values())
+
+
+def test_names_with_dots(docs):
+    from basketry.llm import lines, mixing, quality
+    table = docs([(i, t, "en", "s", 0) for i, t in enumerate(pool(9, 1))], ("a.b", "x`y", "n", "low", "_n"))
+    for stage in (quality.keep, lines.without_repeats, near_copies.keep_one, mixing.mixed):
+        out = stage(table)
+        assert out.columns == table.columns and out.first()["a.b"] == 0 and out.first()["_n"] == 4
+
+
 def test_awkward_rows(docs, awkward, empty):
     kept = near_copies.keep_one(awkward).collect()
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [1, 4, 5, 6, 8, 9]

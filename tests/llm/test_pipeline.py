@@ -7,7 +7,7 @@ import public_tokenizers
 import __spark_entry__
 import corpus_pipeline
 from basketry.llm import bpe, mixing, queries
-from tests.llm import test_lines, test_quality, test_simhash
+from tests.llm import test_lines, test_near_copies, test_quality
 
 
 def test_stages_match_brute_force(spark, small):
@@ -20,7 +20,11 @@ def test_stages_match_brute_force(spark, small):
     shorter = {d: text for (d, _), (text, _) in test_lines.brute(list(kept.items()), 50).items() if text.encode().split()}
     deduped = corpus_pipeline.written(stage["line_dedup"](spark, passed, small), "t")
     assert deduped.columns == columns and {r["doc_id"]: (r["text"], r["n_chars"]) for r in deduped.collect()} == {d: (t, len(t)) for d, t in shorter.items()}
-    groups = {d for d, _, c in test_simhash.brute(list(shorter.items())) if d == c}
+    ids = sorted(shorter)
+    groups = {}
+    for d, g in zip(ids, test_near_copies.brute([shorter[d] for d in ids])):
+        groups.setdefault(g, d)
+    groups = set(groups.values())
     single = corpus_pipeline.written(stage["near_dedup"](spark, deduped, small), "t")
     assert single.columns == columns and sorted(r["doc_id"] for r in single.collect()) == sorted(groups)
     taken = {r["doc_id"]: r["copies"] for r in mixing.mix(single).collect()}

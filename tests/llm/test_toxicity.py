@@ -62,3 +62,12 @@ def test_long_texts_are_scored_whole(monkeypatch):
     whole = model.score(text)
     monkeypatch.setattr(toxicity, "CHUNK", 16 * 7)
     assert abs(model.score(text) - whole) < 1e-6
+
+
+def test_executors_need_no_library(spark, docs, monkeypatch):
+    """What is broadcast names none of the library's classes."""
+    import pickle
+    sent, broadcast = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(pickle.dumps(value)) or broadcast(self, value))
+    toxicity.score(docs([(1, "a text", "en", "s", 0)]), toxicity.train([(b"bad word", 1), (b"good word", 0)])).collect()
+    assert sent and not any(b"basketry" in value for value in sent)
