@@ -60,7 +60,7 @@ def families(seed, common, own, changed, count):
 @pytest.mark.parametrize("common, own, changed, block", [(170, 30, 2, 512), (170, 30, 2, 4), (150, 50, 3, 16), (170, 30, 5, 16)])
 def test_links_between_components_that_share_all_buckets(docs, monkeypatch, common, own, changed, block):
     """Families of a template meet in the same buckets, and none is like another."""
-    monkeypatch.setattr(near_copies.other_candidates, "__defaults__", (block,))
+    monkeypatch.setattr(near_copies.other_links, "__defaults__", (block,))
     texts = families(7, common, own, changed, 40)
     group, first = brute(texts), {}
     for i, g in enumerate(group):
