@@ -162,13 +162,14 @@ def mixed(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, mos
     sized = docs.withColumn(size, size_of(F.col("text")))
     taken, _ = decisions(sized.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.col(size).alias("size")), weights, budget, most)
     own = {c: fresh(sized, f"_{c}") for c in ("doc_id", "source", "size", "n", "low", "ups")}
-    taken = written(taken.filter("low > 0 OR ups > 0").select(*(F.col(c).alias(name) for c, name in own.items())), "taken")
+    taken = taken.filter("low > 0 OR ups > 0").select(*(F.col(c).alias(name) for c, name in own.items()))
     same = F.col("doc_id").eqNullSafe(F.col(own["doc_id"])) & F.col("source").eqNullSafe(F.col(own["source"])) & (F.col(size) == F.col(own["size"]))
     n, low, ups = (F.col(own[c]) for c in ("n", "low", "ups"))
     alike = (ups == 0) | (ups == n)  # all rows of a group are taken equally often
     parts = [sized.join(taken.filter(alike), same).withColumn(again, low + (ups > 0).cast("int"))]
-    if taken.filter(~alike).limit(1).count():
-        numbered = _numbered(sized.join(taken.filter(~alike), same), [own[c] for c in ("doc_id", "source", "size")], again)
+    split = written(taken.filter(~alike), "split-groups")  # groups of equal rows that are not all taken equally often
+    if split.limit(1).count():
+        numbered = _numbered(sized.join(split, same), [own[c] for c in ("doc_id", "source", "size")], again)
         parts.append(numbered.withColumn(again, low + (F.col(again) <= ups).cast("int")))
     out = reduce(DataFrame.unionAll, (part.select(*docs.columns, again) for part in parts)).filter(F.col(again) > 0)
     return out.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(again)))).drop(again)
