@@ -686,10 +686,19 @@ def _filters_and_carts() -> dict[str, str]:
 def _documents(found: dict[str, str]) -> dict[str, str]:
     """The document adapter must agree with the star adapter."""
     same = ("daily_revenue", "category_revenue", "funnel_stages", "page_transitions")
-    return {f"documents_{name}": found[name] for name in same} | {
-        "document_activity": _with("sess cart", f"""SELECT session_id, CAST(user_id AS VARCHAR) AS user_id, page_views, viewed_products,
-            COALESCE(n, 0) AS cart_contents, COALESCE({_big('q')}, 0) AS units FROM sess
-            LEFT JOIN (SELECT session_id AS s, COUNT(*) AS n, SUM(quantity) AS q FROM cart GROUP BY 1) ON s = session_id""")}
+    # Other ways to the same rows have the same SQL.
+    ways = {"arrays_users": "users_from_json", "arrays_subcategories": "subcategories_from_json", "arrays_products": "clean_products",
+            "arrays_daily_revenue": "daily_revenue", "arrays_funnel_stages": "funnel_stages", "document_cart_lines": "cart_lines"}
+    activity = _activity()
+    return {f"documents_{name}": found[name] for name in same} | {name: found[of] for name, of in ways.items()} | {
+        "document_activity": activity, "document_activity_filled": activity}
+
+
+def _activity() -> str:
+    """What the activity of a session holds."""
+    return _with("sess cart", f"""SELECT session_id, CAST(user_id AS VARCHAR) AS user_id, page_views, viewed_products,
+        COALESCE(n, 0) AS cart_contents, COALESCE({_big('q')}, 0) AS units FROM sess
+        LEFT JOIN (SELECT session_id AS s, COUNT(*) AS n, SUM(quantity) AS q FROM cart GROUP BY 1) ON s = session_id""")
 
 
 def statements() -> dict[str, str]:

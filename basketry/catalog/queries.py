@@ -178,9 +178,46 @@ def as_documents(r: StarRetail, *entities: str) -> documents.DocumentRetail:
     return documents.DocumentRetail({name: documents.read_entity(r.spark, path, name, multi_line=False) for name in entities})
 
 
+ARRAY_FILES = 3
+
+
+def as_arrays(r: StarRetail, *entities: str) -> documents.DocumentRetail:
+    """The same, as a few files that hold one pretty-printed array each."""
+    path = _scratch(r, "arrays")
+    for name, df in documents.documents_of(r).items():
+        if name in entities:
+            documents.write_array(df, posixpath.join(path, f"{name}.json"), df.columns[0], ARRAY_FILES)
+    return documents.DocumentRetail({name: documents.read_entity(r.spark, path, name) for name in entities})
+
+
+def users_of(loaded: DataFrame) -> DataFrame:
+    return loaded.select("user_id", "name", "geo_data.city", "geo_data.province", "registration_date")
+
+
+def document_cart_lines(r: StarRetail) -> DataFrame:
+    """Cart lines exploded from the carts of session documents, products by their text ids."""
+    d = as_documents(r, "sessions")
+    names = r.product_dim().withColumn("product_id", F.col("product_id").cast("string"))
+    return etl.cart_lines(d.carts, d.sessions, names).withColumn("product_id", F.col("product_id").cast("bigint"))
+
+
+def document_activity_filled(r: StarRetail) -> DataFrame:
+    """Activity from two sources: the first has none for some sessions, no carts for others, the second has all."""
+    full = etl.document_sessions_flat(as_documents(r, "sessions").entities["sessions"])
+    kind = F.pmod(F.xxhash64("session_id"), F.lit(4))
+    first = full.withColumns({
+        "page_views": F.when(kind == 0, "[]").when(kind == 1, F.lit(None)).otherwise(F.col("page_views")),
+        "viewed_products": F.when(kind == 0, "").otherwise(F.col("viewed_products")),
+        "cart_contents": F.when(kind.isin(0, 2), "{}").otherwise(F.col("cart_contents"))})
+    return held_activity(etl.fill_activity(first, full))
+
+
 def document_activity(r: StarRetail) -> DataFrame:
     """Activity of session documents kept as JSON text in the wide table and decoded again, with what it holds."""
-    flat = etl.document_sessions_flat(as_documents(r, "sessions").entities["sessions"])
+    return held_activity(etl.document_sessions_flat(as_documents(r, "sessions").entities["sessions"]))
+
+
+def held_activity(flat: DataFrame) -> DataFrame:
     size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint").alias(c)
     units = F.coalesce(F.aggregate(F.map_values("cart_contents"), F.lit(0).cast("bigint"), lambda a, x: a + x["quantity"]), F.lit(0).cast("bigint"))
     return etl.parse_activity(flat).select("session_id", "user_id", size("page_views"), size("viewed_products"), size("cart_contents"), units.alias("units"))
@@ -192,8 +229,7 @@ def users_from_json(r: StarRetail) -> DataFrame:
     documents.write_json(r.users.select(
         F.col("user_id").cast("string").alias("user_id"), "name", F.struct("city", "province").alias("geo_data"), iso_text("registration_date").alias("registration_date"),
     ), posixpath.join(path, "users.json"))
-    loaded = documents.read_entity(r.spark, path, "users", multi_line=False)
-    return loaded.select("user_id", "name", "geo_data.city", "geo_data.province", "registration_date")
+    return users_of(documents.read_entity(r.spark, path, "users", multi_line=False))
 
 
 def subcategories_from_json(r: StarRetail) -> DataFrame:
@@ -214,6 +250,13 @@ CATALOG: dict[str, Query] = {
     "documents_funnel_stages": lambda r: funnel.funnel_stages(funnel.funnel_flags(as_documents(r, "sessions").sessions)),
     "documents_page_transitions": lambda r: sessions.nested_page_transitions(as_documents(r, "sessions").entities["sessions"]),
     "document_activity": document_activity,
+    "document_activity_filled": document_activity_filled,
+    "document_cart_lines": document_cart_lines,
+    "arrays_users": lambda r: users_of(as_arrays(r, "users").entities["users"]),
+    "arrays_subcategories": lambda r: as_arrays(r, "categories").subcategories,
+    "arrays_products": lambda r: as_arrays(r, "products").entities["products"].select(F.col("product_id").cast("bigint").alias("product_id"), "name", "current_stock", "is_active"),
+    "arrays_daily_revenue": lambda r: commerce.daily_revenue(as_arrays(r, "transactions").orders),
+    "arrays_funnel_stages": lambda r: funnel.funnel_stages(funnel.funnel_flags(as_arrays(r, "sessions").sessions)),
     "clean_products": lambda r: documents.clean_products(r.products).select("product_id", "name", "current_stock", "is_active"),
     "subcategories": lambda r: r.subcategories,
     "null_profile": lambda r: profiling.null_profile(r.page_views),

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import posixpath
+import re
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from basketry.functions.calendar import iso_text, parse_iso, plain_text
 from basketry.functions.numeric import cents, money
@@ -25,11 +26,45 @@ DEFAULT_STOCK, DEFAULT_ACTIVE = 0, True
 def read_entity(spark: SparkSession, path: str, entity: str, multi_line: bool = True) -> DataFrame:
     """One entity from ``entity*.json`` files with its declared schema.
 
-    Files holding one JSON array each need ``multi_line`` and cannot be split;
-    for large data write JSON lines (or Parquet) and pass ``False``.
+    ``multi_line`` files hold one JSON array each. Pretty-printed ones are cut at their records
+    (``read_array``); an array on one line cannot be split and is read whole by one task.
+    ``False`` reads JSON lines.
     """
     files = posixpath.join(path, f"{entity}*.json")
-    return clean(spark.read.schema(ENTITIES[entity]).option("multiLine", multi_line).json(files), entity)
+    found = read_array(spark, files, ENTITIES[entity]) if multi_line else spark.read.schema(ENTITIES[entity]).json(files)
+    return clean(found, entity)
+
+
+def read_array(spark: SparkSession, files: str, schema: str) -> DataFrame:
+    """Records of files that each hold one JSON array; a large pretty-printed file feeds many tasks.
+
+    Inside a pretty-printed array a line that starts with the indentation of the records and a brace can
+    only begin or end a record: nested lines stand deeper, and a string never holds a raw line break. So
+    "end of a record, comma, begin of the next" is the separator of a plain text scan, which Spark splits
+    at any size. Line breaks and indentation are taken from the head of the first file. A record with a
+    line that is not indented deeper is an error, never lost: its file is printed in another way.
+    """
+    head = spark.read.option("lineSep", "{").text(files).filter(F.col("value").rlike(r"^\s*\[")).first()
+    layout = re.fullmatch(r"\s*\[[ \t]*(\r?\n)([ \t]+)", head["value"]) if head else None
+    if layout is None:  # an empty array, or one on a single line
+        return spark.read.schema(schema).option("multiLine", True).json(files)
+    line, pad = layout.groups()
+    parts = spark.read.option("lineSep", f"{line}{pad}}},{line}{pad}{{").text(files).filter(~F.col("value").rlike(r"^\s*(\[\s*\]\s*)?$"))
+    inner = F.regexp_replace(F.regexp_replace("value", r"^\s*\[\s*\{", ""), rf"\n{pad}\}}\s*\n\]\s*$", "\n")
+    whole = inner.rlike(r"^[ \t]*\r?\n") & ~inner.rlike(rf"\n[ \t]{{0,{len(pad)}}}[^ \t\r\n]")
+    text = F.when(whole, F.concat(F.lit("{"), inner, F.lit("}"))).otherwise(F.raise_error(F.lit("a JSON array is not printed like the first file")))
+    return parts.select(F.from_json(text, schema).alias("r")).select("r.*")
+
+
+def write_array(df: DataFrame, path: str, key: str, files: int = 1) -> None:
+    """Pretty-printed JSON arrays, as many files as asked for, records in the order of ``key``."""
+    record = F.concat(F.lit("  "), F.regexp_replace(F.to_json(F.struct(*df.columns), {"pretty": "true"}), "\n", "\n  "))
+    rows = df.select(F.pmod(F.xxhash64(key), F.lit(files)).alias("file"), F.col(key).alias("key"), record.alias("value"))
+    order = Window.partitionBy("file").orderBy("key")
+    first, last = F.row_number().over(order) == 1, F.lead("key").over(order).isNull()
+    text = F.concat(F.when(first, "[\n").otherwise(""), F.col("value"), F.when(last, "\n]").otherwise(","))
+    rows.select("file", "key", text.alias("value")).sortWithinPartitions("file", "key").select("file", "value").write.mode(
+        "overwrite").partitionBy("file").text(path)
 
 
 def clean(df: DataFrame, entity: str) -> DataFrame:
