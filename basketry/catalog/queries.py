@@ -7,7 +7,6 @@ all tiers occur; the defaults of the functions are the retail ones.
 from __future__ import annotations
 
 import posixpath
-import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -18,7 +17,7 @@ from basketry.functions.numeric import sum_money
 from basketry.operators import baskets, profiling
 from basketry.operators.joins import attach
 from basketry.plans import clv, cohort, commerce, etl, filters, funnel, insights, lookup, recommend, sessions
-from basketry.session import shared_dir
+from basketry.session import scratch_path
 from basketry.sources import documents, results
 from basketry.sources.retail import ITEM_SPREAD
 from basketry.sources.star import StarRetail, SYSTEMS
@@ -166,7 +165,7 @@ def stored_sessions(r: StarRetail) -> DataFrame:
 
 
 def _scratch(r: StarRetail, name: str) -> str:
-    return posixpath.join(shared_dir(r.spark), f"basketry-{name}-{uuid.uuid4().hex}")
+    return scratch_path(r.spark, name)
 
 
 def as_documents(r: StarRetail, *entities: str) -> documents.DocumentRetail:

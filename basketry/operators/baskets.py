@@ -1,13 +1,18 @@
 """Pairs of products bought together.
 
-``pair_counts`` lists every pair, as asked. The ``best_*`` functions want only
-the most frequent ones, so they do not list the pairs of a few very large
-transactions at all. Such a transaction adds 1 to each pair of its products;
-which of them a product is in fits in a bit mask, and the number of large
-transactions two products share is the number of common bits. Products with the
-same mask are interchangeable up to the tie-break by id, so the first few ids of
-every mask contain all pairs that can be among the best without also sharing a
-small transaction. The result is exact.
+``pair_counts`` lists every pair, as asked. The ``best_*`` functions want only the most frequent ones, and use
+bounds to leave out what cannot be among them:
+
+- A pair is never more frequent than its rarer product. The pairs of the ``PROBE`` most frequent products give a
+  first bound for the k-th best; products below it drop out before the pairs are listed.
+- The pairs of a transaction with more than ``LARGE_BASKET`` distinct products are not listed, whatever the number
+  of such transactions. A product keeps the sorted list of those it is in. A pair listed elsewhere has its large
+  transactions in common counted from the two lists, if the shorter one could lift it to the k-th best.
+- A pair listed nowhere else is found by prefixes: two lists with ``n`` entries in common share one within their
+  first ``length - n + 1`` entries. Products with equal lists are interchangeable up to the tie-break by id, so the
+  first few ids of each stand for all.
+
+The result is exact.
 """
 
 from __future__ import annotations
@@ -18,10 +23,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.operators.joins import HotKeys, _lookup
 from basketry.operators.ranking import top_k, top_k_per_group
+from basketry.session import durable
 
-# Large transactions kept as mask bits; it bounds the masks by 2**8. Further
-# frequent transactions are listed like the others, in blocks.
-MASK_BITS = 8
+LARGE_BASKET = 1000
+PROBE = 128
 
 
 def distinct_baskets(items: DataFrame) -> DataFrame:
@@ -38,7 +43,11 @@ def pair_counts(items: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     transaction are produced by many tasks and each pair exactly once.
     Counts are combined before the shuffle.
     """
-    baskets = distinct_baskets(items)
+    return basket_pairs(distinct_baskets(items), hot)
+
+
+def basket_pairs(baskets: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """The same from baskets that hold a product once."""
     if hot is None or not hot.counts:
         left = baskets.select("transaction_id", F.col("product_id").alias("product_a"))
         right = baskets.select("transaction_id", F.col("product_id").alias("product_b"))
@@ -69,91 +78,104 @@ def _blocked_pairs(baskets: DataFrame, hot: HotKeys) -> DataFrame:
     return met.select(F.least("_l", "_r").alias("product_a"), F.greatest("_l", "_r").alias("product_b"))
 
 
-def best_pairs(items: DataFrame, k: int, hot: HotKeys | None = None) -> DataFrame:
+def best_pairs(items: DataFrame, k: int, hot: HotKeys | None = None, large: int = LARGE_BASKET) -> DataFrame:
     """The ``k`` most frequent pairs; ties by product ids."""
-    large = _large(hot)
-    if not large:
-        return top_k(pair_counts(items, hot), "co_purchase_count", k, ["product_a", "product_b"])
-    masks, listed = _masks(items, large), _listed_pairs(items, hot, large)
-    a, b = masks.select(F.col("product_id").alias("product_a"), F.col("_mask").alias("_ma")), masks.select(
-        F.col("product_id").alias("product_b"), F.col("_mask").alias("_mb"))
-    counted = listed.join(a, "product_a", "left").join(b, "product_b", "left").select(
-        "product_a", "product_b", (F.col("co_purchase_count") + _shared("_ma", "_mb")).alias("co_purchase_count"))
-    # A pair is preceded by every pair of the same masks with smaller ids: 2k members per mask are enough.
-    members = _by_bit(top_k_per_group(masks.withColumn("_one", F.lit(1)), "_mask", "_one", 2 * k, ["product_id"]))
-    left = members.select("_bit", F.col("product_id").alias("product_a"), F.col("_mask").alias("_ma"))
-    right = members.select("_bit", F.col("product_id").alias("product_b"), F.col("_mask").alias("_mb"))
-    unlisted = left.join(right, "_bit").filter("product_a < product_b").select(
-        "product_a", "product_b", _shared("_ma", "_mb").alias("co_purchase_count"))
-    return top_k(_larger(counted, unlisted, ["product_a", "product_b"]), "co_purchase_count", k, ["product_a", "product_b"])
-
-
-def best_partners(items: DataFrame, k: int, hot: HotKeys | None = None) -> DataFrame:
+    baskets = distinct_baskets(items)
+    products = ["product_a", "product_b"]
+    supports, least = first_bound(baskets, k, hot)
+    if least > 1:
+        baskets = baskets.join(supports.filter(F.col("support") >= least).select("product_id"), "product_id", "left_semi")
+    heavy, number = _large(baskets, large)
+    if not number:
+        return top_k(basket_pairs(baskets, hot), "co_purchase_count", k, products)
+    lists = _large_lists(baskets, heavy)
+    listed = durable(_with_lists(basket_pairs(baskets.join(heavy, "transaction_id", "left_anti"), hot), lists, products), "listed-pairs")
+    longest, shortest = F.greatest(F.size("_l0"), F.size("_l1")), F.least(F.size("_l0"), F.size("_l1"))
+    sure = listed.select((F.col("co_purchase_count") + F.greatest(longest + shortest - number, F.lit(0))).alias("n"))
+    bounds = [r["n"] for r in sure.orderBy(F.desc("n")).limit(k).collect()]  # k numbers
+    least = max(1, least, bounds[-1] if len(bounds) == k else 0)
+    counted = listed.filter(F.col("co_purchase_count") + shortest >= least).select(*products, (F.col("co_purchase_count") + _common("_l0", "_l1")).alias("co_purchase_count"))
+    if least <= number:
+        counted = _larger(counted, _unlisted(lists, k, least), products)
+    return top_k(counted, "co_purchase_count", k, products)
+
+
+def first_bound(baskets: DataFrame, k: int, hot: HotKeys | None = None) -> tuple[DataFrame, int]:
+    """``product_id, support``, and how often the k-th best pair of the most frequent products occurs (0 if there is none)."""
+    supports = baskets.groupBy("product_id").agg(F.count("*").alias("support"))
+    probe = top_k(supports, "support", PROBE, ["product_id"]).select("product_id")
+    counts = basket_pairs(baskets.join(probe, "product_id", "left_semi"), hot)
+    best = counts.select("co_purchase_count").orderBy(F.desc("co_purchase_count")).limit(k).collect()  # k numbers
+    return supports, best[-1][0] if len(best) == k else 0
+
+
+def best_partners(items: DataFrame, k: int, hot: HotKeys | None = None, large: int = LARGE_BASKET) -> DataFrame:
     """``source_product, recommended_product, co_purchase_count``: the ``k`` most frequent partners
     of every product; ties by id. Each task keeps ``k`` rows per product before the shuffle."""
-    large = _large(hot)
-    listed = _listed_pairs(items, hot, large)
+    baskets = distinct_baskets(items)
+    heavy, number = _large(baskets, large)
+    listed = basket_pairs(baskets.join(heavy, "transaction_id", "left_anti") if number else baskets, hot)
     a, b = F.col("product_a"), F.col("product_b")
     both = F.array(
         F.struct(a.alias("source_product"), b.alias("recommended_product")),
         F.struct(b.alias("source_product"), a.alias("recommended_product")),
     )
+    ends = ["source_product", "recommended_product"]
     counted = listed.select(F.explode(both).alias("p"), "co_purchase_count").select("p.*", "co_purchase_count")
-    if large:
-        masks = _masks(items, large)
-        of = {key: masks.select(F.col("product_id").alias(key), F.col("_mask").alias(m))
-              for key, m in (("source_product", "_ms"), ("recommended_product", "_mr"))}
-        counted = counted.join(of["source_product"], "source_product", "left").join(
-            of["recommended_product"], "recommended_product", "left"
-        ).select("source_product", "recommended_product", (F.col("co_purchase_count") + _shared("_ms", "_mr")).alias("co_purchase_count"))
-        unlisted = of["source_product"].join(_partners_by_mask(masks, k), "_ms").filter(
-            "source_product <> recommended_product").select("source_product", "recommended_product", "co_purchase_count")
-        counted = _larger(counted, unlisted, ["source_product", "recommended_product"])
+    if number:
+        lists = _large_lists(baskets, heavy)
+        counted = _with_lists(counted, lists, ends).select(*ends, (F.col("co_purchase_count") + _common("_l0", "_l1")).alias("co_purchase_count"))
+        sources = lists.select(F.col("product_id").alias("source_product"), F.col("_list").alias("_s"))
+        unlisted = sources.join(_partners_by_list(lists, k), "_s").filter("source_product <> recommended_product").select(*ends, "co_purchase_count")
+        counted = _larger(counted, unlisted, ends)
     return top_k_per_group(counted, "source_product", "co_purchase_count", k, ["recommended_product"])
 
 
-def _partners_by_mask(masks: DataFrame, k: int) -> DataFrame:
-    """Best ``k + 1`` partners shared by all products of a mask (one of them may be the product itself)."""
-    members = _by_bit(top_k_per_group(masks.withColumn("_one", F.lit(1)), "_mask", "_one", k + 1, ["product_id"]))
-    sources = members.select("_bit", F.col("_mask").alias("_ms")).distinct()
-    partners = members.select("_bit", F.col("product_id").alias("recommended_product"), F.col("_mask").alias("_mr"))
-    met = sources.join(partners, "_bit").select(
-        "_ms", "recommended_product", _shared("_ms", "_mr").alias("co_purchase_count")).distinct()
-    # At most 2**MASK_BITS * (k + 1) rows; whether that is small enough to broadcast is for Spark to measure.
-    return top_k_per_group(met, "_ms", "co_purchase_count", k + 1, ["recommended_product"])
-
-
-def _large(hot: HotKeys | None) -> list:
-    """The heaviest transactions, at most ``MASK_BITS``."""
-    return sorted(hot.counts, key=hot.counts.get, reverse=True)[:MASK_BITS] if hot else []
-
-
-def _listed_pairs(items: DataFrame, hot: HotKeys | None, large: list) -> DataFrame:
-    """Pair counts over all but the large transactions."""
-    if not large:
-        return pair_counts(items, hot)
-    rest = HotKeys({k: n for k, n in hot.counts.items() if k not in large}, hot.total)
-    return pair_counts(items.filter(~F.col("transaction_id").isin(large)), rest)
+def _large(baskets: DataFrame, large: int) -> tuple[DataFrame, int]:
+    """The transactions with more than ``large`` distinct products, and their number."""
+    heavy = baskets.groupBy("transaction_id").agg(F.count("*").alias("_products")).filter(F.col("_products") > large).select("transaction_id")
+    heavy = durable(heavy, "large-baskets")
+    return heavy, heavy.count()
 
 
-def _masks(items: DataFrame, large: list) -> DataFrame:
-    """Which large transactions a product is in, one bit each."""
-    bit = F.lit(0).cast("bigint")
-    for i, key in enumerate(large):
-        bit = F.when(F.col("transaction_id") == key, F.lit(1 << i).cast("bigint")).otherwise(bit)
-    inside = items.filter(F.col("transaction_id").isin(large))
-    return inside.groupBy("product_id").agg(F.bit_or(bit).alias("_mask"))
+def _large_lists(baskets: DataFrame, heavy: DataFrame) -> DataFrame:
+    """``product_id, _list``: the large transactions each product is in, in order."""
+    inside = baskets.join(heavy, "transaction_id", "left_semi")
+    return durable(inside.groupBy("product_id").agg(F.sort_array(F.collect_list("transaction_id")).alias("_list")), "large-lists")
 
 
-def _by_bit(members: DataFrame) -> DataFrame:
-    """One row per set bit: two masks overlap when they meet on a bit."""
-    bits = F.filter(F.sequence(F.lit(0), F.lit(MASK_BITS - 1)), lambda i: F.getbit(F.col("_mask"), i) == 1)
-    return members.select("product_id", "_mask", F.explode(bits).alias("_bit"))
+def _with_lists(pairs: DataFrame, lists: DataFrame, products: list[str]) -> DataFrame:
+    """Pairs with the lists ``_l0, _l1`` of both products, empty for products in no large transaction."""
+    for i, name in enumerate(products):
+        pairs = pairs.join(lists.select(F.col("product_id").alias(name), F.col("_list").alias(f"_l{i}")), name, "left")
+    none = F.array().cast(lists.schema["_list"].dataType)
+    return pairs.withColumns({f"_l{i}": F.coalesce(f"_l{i}", none) for i in range(2)})
 
 
-def _shared(left: str, right: str) -> Column:
+def _common(left: str, right: str) -> Column:
     """Number of large transactions two products share."""
-    return F.coalesce(F.bit_count(F.col(left).bitwiseAND(F.col(right))), F.lit(0)).cast("bigint")
+    return F.size(F.array_intersect(left, right)).cast("bigint")
+
+
+def _unlisted(lists: DataFrame, k: int, least: int) -> DataFrame:
+    """Pairs that share ``least`` or more large transactions, among products that can be of the best."""
+    # A pair is preceded by every pair of the same lists with smaller ids: 2k members of a list are enough.
+    members = top_k_per_group(lists.filter(F.size("_list") >= least).withColumn("_one", F.lit(1)), "_list", "_one", 2 * k, ["product_id"])
+    prefix = members.select("product_id", "_list", F.explode(F.slice("_list", F.lit(1), F.size("_list") - F.lit(least) + 1)).alias("_in"))
+    left = prefix.select("_in", F.col("product_id").alias("product_a"), F.col("_list").alias("_l0"))
+    right = prefix.select("_in", F.col("product_id").alias("product_b"), F.col("_list").alias("_l1"))
+    met = left.join(right, "_in").filter("product_a < product_b").select("product_a", "product_b", _common("_l0", "_l1").alias("co_purchase_count"))
+    return met.filter(F.col("co_purchase_count") >= least).distinct()
+
+
+def _partners_by_list(lists: DataFrame, k: int) -> DataFrame:
+    """Best ``k + 1`` partners shared by all products of a list (one of them may be the product itself)."""
+    members = top_k_per_group(lists.withColumn("_one", F.lit(1)), "_list", "_one", k + 1, ["product_id"])
+    members = members.withColumn("_in", F.explode("_list"))
+    sources = members.select("_in", F.col("_list").alias("_s")).distinct()
+    partners = members.select("_in", F.col("product_id").alias("recommended_product"), F.col("_list").alias("_r"))
+    met = sources.join(partners, "_in").select("_s", "recommended_product", _common("_s", "_r").alias("co_purchase_count")).distinct()
+    return top_k_per_group(met, "_s", "co_purchase_count", k + 1, ["recommended_product"])
 
 
 def _larger(counted: DataFrame, unlisted: DataFrame, keys: list[str]) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import posixpath
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 PARTITION_BYTES = 256 << 20
@@ -61,3 +63,20 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     return os.path.join(os.getcwd(), "spark-warehouse", "shared")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder for a table of this application in the shared folder; it goes when the application ends."""
+    path = posixpath.join(shared_dir(spark), f"basketry-{name}-{uuid.uuid4().hex}")
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(target)
+    return path
+
+
+def durable(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once and read back: a lost executor loses none of it, and nothing is computed twice."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.operators.adjacency import transition_counts
-from basketry.operators.baskets import best_pairs, best_partners, pair_counts
+from basketry.operators import baskets
+from basketry.operators.baskets import pair_counts
 from basketry.operators.joins import HotKeys, attach, find_hot_keys, measure_hot_keys
 from basketry.operators.quantiles import summary_by
 from basketry.operators.ranking import top_k, top_k_per_group
@@ -78,26 +79,49 @@ def test_pair_counts(spark, hot):
     assert got == dict(brute_pairs(rows))
 
 
-@pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("heavy", [0, 1, 3, 10])
-def test_best_pairs_with_large_transactions(spark, seed, heavy):
-    """Large transactions are never listed, yet the best pairs and partners are the brute-force ones."""
-    rnd = random.Random(seed)
-    rows = [(t, p) for t in range(heavy) for p in range(30) if rnd.random() < 0.6]
-    rows += [(100 + rnd.randrange(60), rnd.randrange(30)) for _ in range(150)]
-    df = spark.createDataFrame(rows, "transaction_id long, product_id long")
-    hot = HotKeys({t: 30 for t in range(heavy)}, len(rows)) if heavy else None
+def best_by_brute_force(rows, k):
     want = brute_pairs(rows)
-    ordered = sorted(want, key=lambda p: (-want[p], p))
-    for k in (1, 5):
-        got = [(r[0], r[1], r[2]) for r in best_pairs(df, k, hot).select("product_a", "product_b", "co_purchase_count").collect()]
-        assert got == [(*p, want[p]) for p in ordered[:k]]
     partners = {}
     for (a, b), n in want.items():
         partners.setdefault(a, []).append((-n, b))
         partners.setdefault(b, []).append((-n, a))
-    expected = {(s, p, -n) for s, found in partners.items() for n, p in sorted(found)[:3]}
-    assert {tuple(r) for r in best_partners(df, 3, hot).select("source_product", "recommended_product", "co_purchase_count").collect()} == expected
+    return [(*p, want[p]) for p in sorted(want, key=lambda p: (-want[p], p))[:k]], {(s, p, -n) for s, found in partners.items() for n, p in sorted(found)[:k]}
+
+
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("heavy, share", [(0, 0.6), (1, 0.6), (3, 0.9), (12, 0.6), (12, 1.0), (25, 0.5)])
+def test_best_pairs_with_large_transactions(spark, monkeypatch, seed, heavy, share):
+    """Large transactions are never listed, yet the best pairs and partners are the brute-force ones."""
+    rnd = random.Random(seed)
+    rows = [(t, p) for t in range(heavy) for p in range(40) if rnd.random() < share]
+    rows += [(100 + rnd.randrange(60), rnd.randrange(40)) for _ in range(150 + 50 * seed)]
+    df = spark.createDataFrame(rows, "transaction_id long, product_id long")
+    listed = []
+    listing = baskets.basket_pairs
+    monkeypatch.setattr(baskets, "basket_pairs", lambda items, hot=None: listed.append(items) or listing(items, hot))
+    for k in (1, 5):
+        pairs, partners = best_by_brute_force(rows, k)
+        got = baskets.best_pairs(df, k, large=15).select("product_a", "product_b", "co_purchase_count").collect()
+        assert [tuple(r) for r in got] == pairs
+        assert not listed[-1].groupBy("transaction_id").count().filter("count > 15").count()
+        got = baskets.best_partners(df, k, large=15).select("source_product", "recommended_product", "co_purchase_count")
+        assert {tuple(r) for r in got.collect()} == partners
+        assert not listed[-1].groupBy("transaction_id").count().filter("count > 15").count()
+        assert share < 1 or not listed[-1].filter(F.col("transaction_id") < 100).count()
+
+
+def test_rare_products_drop_out_before_pairs_are_listed(spark, monkeypatch):
+    rnd = random.Random(3)
+    rows = [(t, int(rnd.paretovariate(0.7))) for t in range(300) for _ in range(12)]
+    df = spark.createDataFrame([r for r in rows if r[1] < 5000], "transaction_id long, product_id long")
+    rows = [tuple(r) for r in df.collect()]
+    listed = []
+    listing = baskets.basket_pairs
+    monkeypatch.setattr(baskets, "basket_pairs", lambda items, hot=None: listed.append(items) or listing(items, hot))
+    got = baskets.best_pairs(df, 5)
+    assert [tuple(r) for r in got.select("product_a", "product_b", "co_purchase_count").collect()] == best_by_brute_force(rows, 5)[0]
+    size = lambda items: items.groupBy("transaction_id").count().selectExpr("sum(count * (count - 1) / 2)").first()[0]
+    assert size(listed[-1]) < size(df.distinct()) / 2
 
 
 def test_transitions_across_chunks(spark):
