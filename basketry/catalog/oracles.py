@@ -688,7 +688,9 @@ def _documents(found: dict[str, str]) -> dict[str, str]:
     same = ("daily_revenue", "category_revenue", "funnel_stages", "page_transitions")
     # Other ways to the same rows have the same SQL.
     ways = {"arrays_users": "users_from_json", "arrays_subcategories": "subcategories_from_json", "arrays_products": "clean_products",
-            "arrays_daily_revenue": "daily_revenue", "arrays_funnel_stages": "funnel_stages", "document_cart_lines": "cart_lines"}
+            "arrays_daily_revenue": "daily_revenue", "arrays_funnel_stages": "funnel_stages", "document_cart_lines": "cart_lines",
+            "store_user_sessions": "user_sessions", "store_product_metrics_for": "product_metrics_for", "store_txn_lines": "txn_lines",
+            "store_monthly_revenue": "monthly_revenue", "store_products": "products_enriched", "store_users": "users_enriched"}
     activity = _activity()
     return {f"documents_{name}": found[name] for name in same} | {name: found[of] for name, of in ways.items()} | {
         "document_activity": activity, "document_activity_filled": activity}

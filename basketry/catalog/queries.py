@@ -21,6 +21,7 @@ from basketry.session import scratch_path
 from basketry.sources import documents, results
 from basketry.sources.retail import ITEM_SPREAD
 from basketry.sources.star import StarRetail, SYSTEMS
+from basketry.sources.store import Store
 
 CLV_BOUNDS = (1200000, 900000, 600000)
 SPEND_BOUNDS = (0, 1, 1000000, 2000000, 3000000, 4000000)
@@ -121,7 +122,10 @@ def matrix_text(cells: DataFrame, key: str, period: str, value: str) -> DataFram
 
 
 def enriched_flat(r: StarRetail) -> DataFrame:
-    rows = etl.products_enriched(r.products, r.subcategories)
+    return _flat_products(etl.products_enriched(r.products, r.subcategories))
+
+
+def _flat_products(rows: DataFrame) -> DataFrame:
     return rows.select("product_id", "name", "base_price", "current_stock", "is_active", "category.category_id",
                        F.col("category.name").alias("category_name"), "category.subcategory_id", "category.subcategory_name", "category.profit_margin")
 
@@ -156,6 +160,25 @@ def materialised(r: StarRetail) -> DataFrame:
     return results.load_results(r.spark, path, ["daily_revenue"])["daily_revenue"]
 
 
+STORE_BUCKETS = 8
+
+
+def bucketed(r: StarRetail, *names: str) -> Store:
+    """The named tables of the bucketed store, written to the shared folder."""
+    store = Store(r.spark, _scratch(r, "store"), etl.store_layouts(r), STORE_BUCKETS)
+    tables = etl.store_tables(r)
+    store.write({name: tables[name] for name in names})
+    return store
+
+
+def store_txn_lines(r: StarRetail) -> DataFrame:
+    return etl.stored_txn_lines(bucketed(r, "lines", "transactions"), r.product_dim(), r.hot_keys("items", "product_id"))
+
+
+def store_products(r: StarRetail) -> DataFrame:
+    return _flat_products(bucketed(r, "products").read("products"))
+
+
 def stored_sessions(r: StarRetail) -> DataFrame:
     """The session table of the warehouse, written in key order and read back."""
     path = _scratch(r, "sessions")
@@ -291,6 +314,12 @@ CATALOG: dict[str, Query] = {
     "sessions_by_key": lambda r: lookup.sessions_by_key(r.sessions, SCAN_ROWS),
     "stored_user_sessions": lambda r: lookup.stored_user_sessions(stored_sessions(r), ONE_USER),
     "stored_sessions_by_key": lambda r: lookup.stored_sessions_by_key(stored_sessions(r), SCAN_ROWS),
+    "store_user_sessions": lambda r: lookup.bucketed_user_sessions(bucketed(r, "sessions").read("sessions"), ONE_USER),
+    "store_product_metrics_for": lambda r: lookup.product_metrics_for(bucketed(r, "product_metrics").read("product_metrics"), ONE_PRODUCT),
+    "store_txn_lines": store_txn_lines,
+    "store_monthly_revenue": lambda r: commerce.monthly_revenue(bucketed(r, "transactions").read("transactions").filter("status = 'completed'")),
+    "store_products": store_products,
+    "store_users": lambda r: bucketed(r, "users").read("users").drop("registration_date"),
     "recent_sessions": lambda r: lookup.recent_sessions(r.sessions, SCAN_ROWS),
     "product_metrics_for": lambda r: lookup.product_metrics_for(metrics_of(r, ONE_PRODUCT), ONE_PRODUCT),
     "product_metrics_summary": lambda r: lookup.product_metrics_summary(metrics_of(r, ONE_PRODUCT), ONE_PRODUCT),

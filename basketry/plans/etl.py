@@ -8,6 +8,7 @@ from basketry.functions.calendar import session_row_key
 from basketry.functions.numeric import half_up, ratio, sum_money, units
 from basketry.operators.joins import HotKeys, attach
 from basketry.sources.retail import ITEM_SPREAD, Retail
+from basketry.sources.store import Layout, Store, hot_join
 
 # Session activity kept as JSON text in the wide table.
 ACTIVITY = {
@@ -219,6 +220,28 @@ def warehouse(r: Retail) -> dict[str, tuple[DataFrame, list[str]]]:
     }
 
 
+def store_tables(r: Retail) -> dict[str, DataFrame]:
+    """The tables of the bucketed store: those of the warehouse, and the lines of transactions."""
+    lines = r.items.select("transaction_id", "product_id", "quantity", units("unit_price").alias("unit_price"), units("subtotal").alias("subtotal"))
+    return {name: df for name, (df, _) in warehouse(r).items()} | {"lines": lines}
+
+
+def store_layouts(r: Retail) -> dict[str, Layout]:
+    """Transactions and their lines share their buckets, and so do users and their sessions."""
+    return {
+        "products": Layout("product_id"), "users": Layout("user_id"), "product_metrics": Layout("product_id", ("date",)),
+        "sessions": Layout("user_id", ("row_key",)), "transactions": Layout("transaction_id"),
+        "lines": Layout("transaction_id", hot=r.hot_keys("items", "transaction_id")),
+    }
+
+
+def stored_txn_lines(store: Store, product_dim: DataFrame, hot_products: HotKeys | None = None) -> DataFrame:
+    """``txn_lines`` from the store: lines are scanned once and meet their transaction, whose amounts are kept, without a shuffle."""
+    header = store.read("transactions").select("transaction_id", "user_id", "date", "total", "discount", "payment_method", "status")
+    lines = hot_join(store.read("lines"), header, "transaction_id", store.layouts["lines"].hot)
+    return with_product(lines, product_dim, hot_products).select(*LINE_COLUMNS)
+
+
 def price_history(price_points: DataFrame, product_dim: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     names = product_dim.select("product_id", F.col("name").alias("product_name"))
     return attach(price_points, names, "product_id", "left", hot).select(

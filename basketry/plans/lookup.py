@@ -36,6 +36,11 @@ def stored_user_sessions(stored: DataFrame, user_id, limit: int = 10) -> DataFra
     return mine.select(*DETAIL).orderBy(F.desc("start_time"), "session_id").limit(limit)
 
 
+def bucketed_user_sessions(stored: DataFrame, user_id, limit: int = 10) -> DataFrame:
+    """Newest sessions of one user from the table bucketed by user: only the files of one bucket are opened."""
+    return user_sessions(stored, user_id, limit)
+
+
 def stored_sessions_by_key(stored: DataFrame, limit: int) -> DataFrame:
     """First rows of the key-ordered table."""
     first = stored.select("row_key", "session_id", "conversion_status", "duration_seconds").orderBy("row_key", "session_id").limit(limit)

@@ -68,13 +68,32 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder for a table of this application in the shared folder; it goes when the application ends."""
     path = posixpath.join(shared_dir(spark), f"basketry-{name}-{uuid.uuid4().hex}")
-    jvm = getattr(spark, "_jvm", None)
-    if jvm is not None:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(target)
+    files, target = _files(spark, path)
+    files.deleteOnExit(target)
     return path
 
 
+def _files(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, which may be any that Spark reads, and the path in it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _files(spark, path)
+    return files.exists(target)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    files, target = _files(spark, path)
+    return [f.getPath().toString() for f in files.listStatus(target) if f.isDirectory()] if files.exists(target) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, target = _files(spark, path)
+    files.delete(target, True)
+
+
 def durable(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once and read back: a lost executor loses none of it, and nothing is computed twice."""
     path = scratch_path(df.sparkSession, name)
