@@ -689,11 +689,18 @@ def _documents(found: dict[str, str]) -> dict[str, str]:
     # Other ways to the same rows have the same SQL.
     ways = {"arrays_users": "users_from_json", "arrays_subcategories": "subcategories_from_json", "arrays_products": "clean_products",
             "arrays_daily_revenue": "daily_revenue", "arrays_funnel_stages": "funnel_stages", "document_cart_lines": "cart_lines",
+            "rollup_product_daily_metrics": "product_daily_metrics", "rollup_purchase_summary": "purchase_summary",
             "store_user_sessions": "user_sessions", "store_product_metrics_for": "product_metrics_for", "store_txn_lines": "txn_lines",
             "store_monthly_revenue": "monthly_revenue", "store_products": "products_enriched", "store_users": "users_enriched"}
     activity = _activity()
     return {f"documents_{name}": found[name] for name in same} | {name: found[of] for name, of in ways.items()} | {
-        "document_activity": activity, "document_activity_filled": activity}
+        "document_activity": activity, "document_activity_filled": activity, "rollup_buyers": _buyers()}
+
+
+def _buyers() -> str:
+    """Distinct users with orders, by period and by payment method, each counted from the orders."""
+    labels = {"month": "strftime(date, '%Y-%m')", "quarter": "year(date) || '-Q' || quarter(date)", "all": "'all'", "method": "payment_method"}
+    return _with("ord", " UNION ALL ".join(f"SELECT '{p}' AS period, {label} AS label, COUNT(DISTINCT user_id) AS buyers FROM ord GROUP BY 2" for p, label in labels.items()))
 
 
 def _activity() -> str:

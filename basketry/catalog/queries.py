@@ -9,6 +9,7 @@ from __future__ import annotations
 import posixpath
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -16,7 +17,7 @@ from basketry.functions.calendar import iso_text, plain_text
 from basketry.functions.numeric import sum_money
 from basketry.operators import baskets, profiling
 from basketry.operators.joins import attach
-from basketry.plans import clv, cohort, commerce, etl, filters, funnel, insights, lookup, recommend, sessions
+from basketry.plans import clv, cohort, commerce, etl, filters, funnel, insights, lookup, recommend, rollups, sessions
 from basketry.session import scratch_path
 from basketry.sources import documents, results
 from basketry.sources.retail import ITEM_SPREAD
@@ -160,6 +161,30 @@ def materialised(r: StarRetail) -> DataFrame:
     return results.load_results(r.spark, path, ["daily_revenue"])["daily_revenue"]
 
 
+def rolled_up(r: StarRetail, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A state built from two batches of orders, the second of which brings late orders for the days of the first."""
+    path = _scratch(r, name)
+    late = F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == 0
+    for batch, part in (("first", ~late), ("late", late)):
+        rollups.add(build(r.orders.filter(part)), path, batch)
+    return rollups.read(r.spark, path, build(r.orders).schema)
+
+
+def rollup_metrics(r: StarRetail) -> DataFrame:
+    hot = r.hot_keys("items", "transaction_id")
+    build = lambda orders: rollups.product_days(attach(
+        r.items, orders.select("transaction_id", "date"), "transaction_id", hot=hot, by=ITEM_SPREAD["transaction_id"]))
+    return rollups.product_daily_metrics(rolled_up(r, "product-days", build), r.products)
+
+
+def rollup_buyers(r: StarRetail) -> DataFrame:
+    numbers = rollups.numbered(r.orders, "user_id")
+    state = rolled_up(r, "buyer-days", lambda orders: rollups.buyer_days(orders, numbers))
+    periods = {"month": F.date_format("date", "yyyy-MM"), "quarter": F.concat_ws("-Q", F.year("date"), F.quarter("date")), "all": F.lit("all"),
+               "method": F.col("payment_method")}
+    return reduce(DataFrame.unionByName, (rollups.buyers(state, label).select(F.lit(period).alias("period"), "label", "buyers") for period, label in periods.items()))
+
+
 STORE_BUCKETS = 8
 
 
@@ -301,6 +326,10 @@ CATALOG: dict[str, Query] = {
         r.carts, r.sessions, r.product_dim(), r.hot_keys("cart_events", "product_id"), r.hot_keys("cart_events", "session_id")),
     "price_history": lambda r: etl.price_history(r.price_points, r.product_dim()),
     "materialised_daily_revenue": materialised,
+    # the same from mergeable states
+    "rollup_product_daily_metrics": rollup_metrics,
+    "rollup_purchase_summary": lambda r: rollups.purchase_summary(rolled_up(r, "purchases", rollups.purchase_days)),
+    "rollup_buyers": rollup_buyers,
     # document-store style reports
     "product_popularity": lambda r: commerce.product_popularity(completed(r), r.product_dim()),
     "revenue_by_category": categories_flat,

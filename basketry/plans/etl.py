@@ -38,10 +38,14 @@ def purchase_summary(orders: DataFrame) -> DataFrame:
     Combined per (user, method) first: the second step sees a handful of rows
     per user, and the most frequent method needs no extra pass.
     """
-    per_method = orders.groupBy("user_id", "payment_method").agg(
+    return summary_of_methods(orders.groupBy("user_id", "payment_method").agg(
         F.count("*").alias("n"), sum_money("total").alias("spent"),
         F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
-    )
+    ))
+
+
+def summary_of_methods(per_method: DataFrame) -> DataFrame:
+    """The purchase summary from one row per user and payment method."""
     per_user = per_method.groupBy("user_id").agg(
         F.sum("n").alias("total_orders"), F.sum("spent").alias("total_spent"),
         F.min("first").alias("first_purchase"), F.max("last").alias("last_purchase"),
@@ -102,6 +106,11 @@ def product_daily_metrics(sales: DataFrame, products: DataFrame) -> DataFrame:
         F.sum("quantity").alias("total_quantity"), sum_money("subtotal").alias("total_revenue"),
         F.count("*").alias("num_transactions"), sum_money("unit_price").alias("_prices"),
     )
+    return metrics_of_days(daily, products)
+
+
+def metrics_of_days(daily: DataFrame, products: DataFrame) -> DataFrame:
+    """Daily sums with the mean price and the shelf data of the product."""
     shelf = products.select("product_id", "current_stock", "base_price", "is_active")
     return daily.join(shelf, "product_id", "left").select(
         "product_id", "date", "total_quantity", "total_revenue", "num_transactions",
