@@ -62,9 +62,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def links(distinct: DataFrame) -> DataFrame:
     """``a, b``: links between distinct fingerprints ``fp`` that connect all at ``RADIUS`` or fewer differing bits."""
     bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i)
-    # Each row becomes 65: they are dealt to as many tasks as a shuffle has before they grow.
+    # Each row becomes 65: they are dealt to as many tasks as a shuffle has before they grow. The planner knows rows
+    # grouped by fp to be dealt by it already and would drop a deal by fp itself.
     parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    variants = distinct.repartition(parts, "fp").select("fp", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("i")).select(
+    variants = distinct.repartition(parts, F.xxhash64("fp")).select("fp", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("i")).select(
         F.when(F.col("i") == 64, F.col("fp")).otherwise(F.col("fp").bitwiseXOR(bit(F.col("i")))).alias("variant"),
         F.when(F.col("i") == 64, F.lit(0)).otherwise(bit(F.col("i"))).cast("long").alias("bit"), (F.col("i") == 64).alias("itself"))
     buckets = variants.groupBy("variant").agg(F.bit_or("bit").alias("mask"), F.max("itself").alias("itself"))
