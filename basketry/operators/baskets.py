@@ -80,7 +80,7 @@ def _blocked_pairs(baskets: DataFrame, hot: HotKeys) -> DataFrame:
 
 def best_pairs(items: DataFrame, k: int, hot: HotKeys | None = None, large: int = LARGE_BASKET) -> DataFrame:
     """The ``k`` most frequent pairs; ties by product ids."""
-    baskets = distinct_baskets(items)
+    baskets = durable(distinct_baskets(items), "baskets")  # read several times below
     products = ["product_a", "product_b"]
     supports, least = first_bound(baskets, k, hot)
     if least > 1:
@@ -112,8 +112,8 @@ def first_bound(baskets: DataFrame, k: int, hot: HotKeys | None = None) -> tuple
 def best_partners(items: DataFrame, k: int, hot: HotKeys | None = None, large: int = LARGE_BASKET) -> DataFrame:
     """``source_product, recommended_product, co_purchase_count``: the ``k`` most frequent partners
     of every product; ties by id. Each task keeps ``k`` rows per product before the shuffle."""
+    heavy, number = _large(items, large)
     baskets = distinct_baskets(items)
-    heavy, number = _large(baskets, large)
     listed = basket_pairs(baskets.join(heavy, "transaction_id", "left_anti") if number else baskets, hot)
     a, b = F.col("product_a"), F.col("product_b")
     both = F.array(
@@ -132,8 +132,11 @@ def best_partners(items: DataFrame, k: int, hot: HotKeys | None = None, large: i
 
 
 def _large(baskets: DataFrame, large: int) -> tuple[DataFrame, int]:
-    """The transactions with more than ``large`` distinct products, and their number."""
-    heavy = baskets.groupBy("transaction_id").agg(F.count("*").alias("_products")).filter(F.col("_products") > large).select("transaction_id")
+    """The transactions with more than ``large`` distinct products, and their number; ``baskets`` may repeat a product."""
+    lines = baskets.groupBy("transaction_id").agg(F.count("*").alias("_products")).filter(F.col("_products") > large)
+    if not lines.limit(1).count():  # fewer lines, fewer products: nothing needs to be made distinct
+        return lines.select("transaction_id"), 0
+    heavy = distinct_baskets(baskets).groupBy("transaction_id").agg(F.count("*").alias("_products")).filter(F.col("_products") > large).select("transaction_id")
     heavy = durable(heavy, "large-baskets")
     return heavy, heavy.count()
 
