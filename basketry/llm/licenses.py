@@ -191,6 +191,7 @@ EDGE_WORDS = 12  # first and last words of a known text that tell where it may s
 # A line that names the holder, or the marker of a list item. Prose that wraps before "copyright holders" is neither.
 DROPPED = (r"(^|\n)[ \t/*#;-]*(copyright[ \t]*(\(c\)|©|:|[\[<{]|by )[^\n]*|copyright[^\n]*[0-9]{4}[^\n]*|\(c\)[^\n]*[0-9]{4}[^\n]*|©[^\n]*"
            r"|all rights reserved\.?[ \t]*|\(?([0-9]{1,2}|[a-z])[.)][ \t]+)")
+UNITS = "array<struct<scope:string,line_no:int,digest:string>>"
 NO_WORD = r"[^\p{L}\p{N}\n]+"
 
 
@@ -266,7 +267,7 @@ def scan(docs: DataFrame, known: dict[str, tuple[str, ...]] = KNOWN, titles: dic
     forms = forms.select("doc_id", "form", words_of(F.col("form")).alias("words"))
     lines = F.transform(F.split("form", "\n", -1), lambda l, i: unit("line", i, digest(words_of(l))))
     found = F.flatten(F.array(F.array().cast("array<string>"), *[passages(F.col("words"), *s) for s in sorted(stretches)]))
-    units = F.concat(F.array(unit("text", F.lit(-1), digest(F.col("words")))), F.when(F.size(lines) > 1, lines).otherwise(F.slice(lines, 1, 0)),
+    units = F.concat(F.array(unit("text", F.lit(-1), digest(F.col("words")))), F.when(F.contains("form", F.lit("\n")), lines).otherwise(F.array().cast(UNITS)),
                      F.transform(found, lambda d: unit("passage", F.lit(-1), d)))
     return forms.select("doc_id", F.inline(units)).filter("digest IS NOT NULL").join(digests, "digest").select("doc_id", "scope", "line_no", "license")
 
