@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.operators.adjacency import transition_counts
-from basketry.operators import baskets
+from basketry.operators import adjacency, baskets
+from basketry.operators.adjacency import chunk_records, transition_counts
 from basketry.operators.baskets import pair_counts
 from basketry.operators.joins import HotKeys, attach, find_hot_keys, measure_hot_keys
 from basketry.operators.quantiles import summary_by
@@ -140,6 +140,28 @@ def test_transitions_across_chunks(spark):
     assert got == dict(want)
 
 
+def test_transitions_leave_two_rows_a_chunk(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, *(f"s{i}" for i in range(900))]), i, rnd.choice(["a", "b", None])) for i in range(4000)]
+    df = spark.createDataFrame(rows, "session string, pos long, page string")
+    by_session = {}
+    for s, _, p in rows:
+        by_session.setdefault(s, []).append(p)
+    want = Counter(pair for pages in by_session.values() for pair in zip(pages, pages[1:]))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ends = chunk_records(df, "session", ["pos"], "page").filter(F.col("side") != adjacency.STEP).collect()
+        got = {(r[0], r[1]): r[2] for r in transition_counts(df, "session", ["pos"], "page").collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    chunks = {r["chunk"] for r in ends}
+    assert 1 < len(chunks) <= 4 and len(ends) == 2 * len(chunks) and all(r["n"] == 1 for r in ends)
+    assert got == dict(want)
+    assert transition_counts(df.filter("false"), "session", ["pos"], "page").count() == 0
+    one = df.filter("pos = 5")
+    assert transition_counts(one, "session", ["pos"], "page").count() == 0
+
+
 @pytest.mark.parametrize("n", [1, 2, 7, 30000])
 def test_quantiles(spark, n):
     rnd = np.random.default_rng(n)
