@@ -694,7 +694,9 @@ def _documents(found: dict[str, str]) -> dict[str, str]:
             "store_monthly_revenue": "monthly_revenue", "store_products": "products_enriched", "store_users": "users_enriched"}
     activity = _activity()
     return {f"documents_{name}": found[name] for name in same} | {name: found[of] for name, of in ways.items()} | {
-        "document_activity": activity, "document_activity_filled": activity, "rollup_buyers": _buyers()}
+        "document_activity": activity, "document_activity_filled": activity, "rollup_buyers": _buyers(),
+        "rollup_view_durations": _with("pv", f"""SELECT page_type, COUNT(*) AS n, {_dbl('MIN(view_duration)')} AS min, {_dbl('MAX(view_duration)')} AS max,
+            {_quartiles('view_duration')} FROM pv p WHERE view_duration IS NOT NULL AND CAST(p.date AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY 1""")}
 
 
 def _buyers() -> str:

@@ -161,13 +161,22 @@ def materialised(r: StarRetail) -> DataFrame:
     return results.load_results(r.spark, path, ["daily_revenue"])["daily_revenue"]
 
 
-def rolled_up(r: StarRetail, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """A state built from two batches of orders, the second of which brings late orders for the days of the first."""
-    path = _scratch(r, name)
-    late = F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == 0
+def rolled_up(r: StarRetail, name: str, build: Callable[[DataFrame], DataFrame], rows: DataFrame | None = None, key: str = "transaction_id") -> DataFrame:
+    """A state built from two batches of rows (the orders), the second of which brings late ones for the days of the first."""
+    path, rows = _scratch(r, name), r.orders if rows is None else rows
+    late = F.pmod(F.xxhash64(key), F.lit(3)) == 0
     for batch, part in (("first", ~late), ("late", late)):
-        rollups.add(build(r.orders.filter(part)), path, batch)
-    return rollups.read(r.spark, path, build(r.orders).schema)
+        rollups.add(build(rows.filter(part)), path, batch)
+    return rollups.read(r.spark, path, build(rows).schema)
+
+
+VIEW_DAYS = (date(2024, 1, 5), date(2024, 1, 20))
+
+
+def rollup_view_durations(r: StarRetail) -> DataFrame:
+    state = rolled_up(r, "view-days", lambda views: rollups.value_days(views, "view_duration", "page_type"), r.page_views, "view_id")
+    views = r.page_views.filter(F.col("date").between(*VIEW_DAYS))
+    return rollups.value_summary(rollups.between(state, *VIEW_DAYS), views, "view_duration", "page_type")
 
 
 def rollup_metrics(r: StarRetail) -> DataFrame:
@@ -330,6 +339,7 @@ CATALOG: dict[str, Query] = {
     "rollup_product_daily_metrics": rollup_metrics,
     "rollup_purchase_summary": lambda r: rollups.purchase_summary(rolled_up(r, "purchases", rollups.purchase_days)),
     "rollup_buyers": rollup_buyers,
+    "rollup_view_durations": rollup_view_durations,
     # document-store style reports
     "product_popularity": lambda r: commerce.product_popularity(completed(r), r.product_dim()),
     "revenue_by_category": categories_flat,

@@ -34,21 +34,29 @@ def summary_by(df: DataFrame, value: str, group: str | None = None, probs: Seque
         *[c.alias(name) for name, c in (extra or {}).items()],
     )
     # Below ACCURACY rows the sketch margin is less than a row: use the whole range.
-    small = F.col("n") < ACCURACY
+    narrowed = bracketed(sketch, kept, probs, F.col("n") < ACCURACY, [F.col("_lo")[i] for i in range(len(probs))], [F.col("_hi")[i] for i in range(len(probs))],
+                         grouped=group is not None)
+    result = between_brackets(rows, narrowed, kept, probs, digits, grouped=group is not None)
+    return result.withColumnRenamed("_g", group) if group else result
+
+
+def bracketed(sketch: DataFrame, kept: Sequence[str], probs: Sequence[float], small: Column, lows: Sequence[Column], highs: Sequence[Column],
+              grouped: bool) -> DataFrame:
+    """Per group a struct ``_s`` of ``kept`` and of two values around each probability's rank: the whole range where ``small``."""
     brackets = F.array(*[
-        F.struct(
-            F.lit(i).alias("q"), F.lit(p).alias("p"),
-            F.when(small, F.col("min")).otherwise(F.col("_lo")[i]).alias("lo"),
-            F.when(small, F.col("max")).otherwise(F.col("_hi")[i]).alias("hi"),
-        )
-        for i, p in enumerate(probs)
+        F.struct(F.lit(i).alias("q"), F.lit(p).alias("p"), F.when(small, F.col("min")).otherwise(low).alias("lo"),
+                 F.when(small, F.col("max")).otherwise(high).alias("hi"))
+        for i, (p, low, high) in enumerate(zip(probs, lows, highs))
     ])
-    narrowed = sketch.select(*(["_g"] if group else []), F.struct(*kept, brackets.alias("brackets")).alias("_s"))
+    return sketch.select(*(["_g"] if grouped else []), F.struct(*kept, brackets.alias("brackets")).alias("_s"))
+
 
+def between_brackets(rows: DataFrame, narrowed: DataFrame, kept: Sequence[str], probs: Sequence[float], digits: int, grouped: bool) -> DataFrame:
+    """``kept`` and the exact quantiles of ``rows`` (``_g, _v``), of which only the values inside the brackets are ordered."""
     frequencies = rows.filter("_v IS NOT NULL").groupBy("_g", "_v").agg(F.count("*").alias("_c"))
-    if group:
+    if grouped:
         # Groups may be very few: their single rows are repeated over salts of the value, so no task meets a whole group.
-        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
         salted = frequencies.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(salts)).cast("int"))
         placed = salted.join(narrowed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["_g", "_salt"])
     else:
@@ -74,4 +82,4 @@ def summary_by(df: DataFrame, value: str, group: str | None = None, probs: Seque
     result = exact.groupBy("_g", *kept).agg(
         *[F.max(F.when(F.col("q") == i, F.col("_x"))).alias(f"q{round(p * 100):02d}") for i, p in enumerate(probs)]
     )
-    return result.withColumnRenamed("_g", group) if group else result.drop("_g")
+    return result if grouped else result.drop("_g")

@@ -6,6 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from basketry.operators.quantiles import summary_by
 from basketry.plans import etl, rollups
 
 SCHEMA = "transaction_id long, user_id long, timestamp timestamp_ntz, date date, total long, payment_method string"
@@ -64,3 +65,25 @@ def test_distinct_users_of_any_period(spark, orders, tmp_path):
 def test_empty_keys(spark, orders):
     none = rollups.numbered(orders.filter("false"), "user_id")
     assert none.count() == 0 and rollups.numbered(orders, "user_id", none).count() == 40
+
+
+def test_exact_quartiles_of_any_days(spark, tmp_path):
+    values = spark.range(60000).select(
+        F.expr("date_add(DATE '2024-01-25', cast(id % 14 AS int))").alias("date"), F.when(F.col("id") % 3 > 0, "a").when(F.col("id") % 1000 > 0, "b").otherwise("c").alias("kind"),
+        F.when(F.col("id") % 17 > 0, F.round(F.log(F.lit(1.5) + F.pmod(F.xxhash64("id"), F.lit(10**6))) * 10, 2)).alias("v"), "id")
+    for batch, part in (("one", "id % 4 > 0"), ("two", "id % 4 = 0")):
+        rollups.add(rollups.value_days(values.filter(part), "v", "kind"), str(tmp_path), batch)
+    state = rollups.read(spark, str(tmp_path), rollups.value_days(values, "v", "kind").schema)
+    for days in ((date(2024, 1, 25), date(2024, 2, 7)), (date(2024, 1, 30), date(2024, 2, 2)), (date(2024, 2, 3), date(2024, 2, 3)), (date(2025, 1, 1), date(2025, 1, 2))):
+        rows = values.filter(F.col("date").between(*days))
+        want = sorted(map(tuple, summary_by(rows, "v", "kind").collect()))
+        assert sorted(map(tuple, rollups.value_summary(rollups.between(state, *days), rows, "v", "kind").collect())) == want and (len(want) >= 2) == (days[0].year == 2024)
+
+
+def test_sketches_narrow_what_is_ordered(spark):
+    values = spark.range(100000).select(F.lit(date(2024, 1, 1)).alias("date"), F.lit("a").alias("kind"), F.pmod(F.xxhash64("id"), F.lit(10**9)).alias("v"))
+    (s,) = rollups.value_days(values, "v", "kind").collect()
+    assert s["n"] == 100000 and len(s["sketch"]) < 200_000
+    low, high = spark.createDataFrame([(s["sketch"],)], "s binary").select(*[F.kll_sketch_get_quantile_double("s", F.lit(0.5 + m)) for m in (-rollups.MARGIN, rollups.MARGIN)]).first()
+    inside = values.filter(F.col("v").between(low, high)).count()
+    assert 0 < inside < 3 * rollups.MARGIN * 100000 and values.filter(F.col("v") < low).count() < 50000 < values.filter(F.col("v") <= high).count()
