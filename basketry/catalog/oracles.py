@@ -403,6 +403,8 @@ def _lookup_and_recommend() -> dict[str, str]:
         "also_bought": _with("rec", "SELECT * FROM rec"),
         "search_recommendations": _with("rec", """SELECT * FROM rec
             WHERE contains(lower(source_name), 'ring') OR contains(lower(rec_name), 'ring')"""),
+        "product_search": """SELECT needle, p_partkey AS product_id
+            FROM (VALUES (''), ('g'), ('RI'), ('ing'), ('d Bolt'), ('small widget'), ('ringring')) v(needle) JOIN part ON contains(lower(p_name), lower(needle))""",
     }
 
 
@@ -687,7 +689,7 @@ def _documents(found: dict[str, str]) -> dict[str, str]:
     """The document adapter must agree with the star adapter."""
     same = ("daily_revenue", "category_revenue", "funnel_stages", "page_transitions")
     # Other ways to the same rows have the same SQL.
-    ways = {"arrays_users": "users_from_json", "arrays_subcategories": "subcategories_from_json", "arrays_products": "clean_products",
+    ways = {"indexed_search_recommendations": "search_recommendations", "arrays_users": "users_from_json", "arrays_subcategories": "subcategories_from_json", "arrays_products": "clean_products",
             "arrays_daily_revenue": "daily_revenue", "arrays_funnel_stages": "funnel_stages", "document_cart_lines": "cart_lines",
             "rollup_product_daily_metrics": "product_daily_metrics", "rollup_purchase_summary": "purchase_summary",
             "store_user_sessions": "user_sessions", "store_product_metrics_for": "product_metrics_for", "store_txn_lines": "txn_lines",

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from basketry.functions.calendar import iso_text, plain_text
 from basketry.functions.numeric import sum_money
-from basketry.operators import baskets, profiling
+from basketry.operators import baskets, name_index, profiling
 from basketry.operators.joins import attach
 from basketry.plans import clv, cohort, commerce, etl, filters, funnel, insights, lookup, recommend, rollups, sessions
 from basketry.session import scratch_path
@@ -30,6 +30,7 @@ SEGMENT_BOUNDS = (2500000, 1500000)
 # Arguments of the key reads (one user, one product, first rows in key order): reading by key is what they do.
 ONE_USER, ONE_PRODUCT, SCAN_ROWS = 7, 42, 25
 SEARCH = "RING"
+NEEDLES = ("", "g", "RI", "ing", "d Bolt", "small widget", "ringring")
 DATES = (date(1996, 1, 1), date(1997, 12, 31))
 SESSION_DATES = (date(2024, 1, 5), date(2024, 1, 20))
 CATEGORIES = ("ECONOMY", "LARGE")
@@ -90,6 +91,18 @@ def recommendations(r: StarRetail) -> DataFrame:
     return recommend.also_bought(r.items, r.product_dim(), hot=r.hot_keys("items", "transaction_id"))
 
 
+def name_postings(r: StarRetail) -> DataFrame:
+    """The index of product names, written in the order of its grams and read back."""
+    path = _scratch(r, "name-index")
+    results.write_key_ordered(name_index.postings(r.products, "product_id", "name"), path, ["gram", "product_id"])
+    return r.spark.read.parquet(path)
+
+
+def indexed_search(r: StarRetail) -> DataFrame:
+    best = baskets.best_partners(r.items, 3, r.hot_keys("items", "transaction_id"))
+    return recommend.search_by_index(best, r.product_dim(), name_postings(r), SEARCH)
+
+
 def metrics(r: StarRetail) -> DataFrame:
     return etl.product_daily_metrics(r.sales("date"), r.products)
 
@@ -367,6 +380,8 @@ CATALOG: dict[str, Query] = {
     "top_pairs": lambda r: recommend.top_pairs(r.items, r.product_dim(), hot=r.hot_keys("items", "transaction_id")),
     "also_bought": recommendations,
     "search_recommendations": lambda r: recommend.search_recommendations(recommendations(r), SEARCH),
+    "indexed_search_recommendations": indexed_search,
+    "product_search": lambda r: name_index.find(name_postings(r), "product_id", NEEDLES),
     # cohorts
     "cohort_activity": lambda r: cohort.cohort_activity(r.orders, r.registrations, r.hot_keys("orders", "user_id")),
     "cohort_spending": lambda r: cohort.cohort_spending(r.orders, r.registrations),
