@@ -9,8 +9,9 @@ becomes U+FFFD.
 
 Texts of any length are encoded in parts that end where the pattern must cut,
 so memory is bounded by ``PART`` characters unless a text has no such place.
-Nulls: a null text is an empty one and has no tokens. Repeated rows are encoded
-each; extra columns are ignored.
+Nulls: a null text is an empty one and has no tokens. Bytes that are no UTF-8 count
+as U+FFFD. Repeated rows are encoded each; an empty table gives no rows; extra
+columns are ignored. Ties do not occur: no two tokens have the same rank.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 from basketry.llm.common import texts
 
 PART = 1 << 15
-REMEMBERED = 1 << 17
+REMEMBERED, REMEMBERED_CHARS = 1 << 17, 1 << 22
 # Characters whose classes no version of Unicode has changed; other texts are cut by the tokenizer's own pattern engine.
 SETTLED = re.compile("[\x00-\u024f\u0410-\u044f\u2010-\u2027\u3041-\u3096\u30a1-\u30fa\u3001-\u3003\u4e00-\u9fa5\uac00-\ud7a3]*")
 # The pattern never crosses the end of a run of letters.
@@ -72,13 +73,13 @@ def parts(text: str, size: int = PART) -> Iterator[str]:
 
 
 class Codec:
-    """A tokenizer with its byte table. Pieces of text met before are not encoded again; at most ``REMEMBERED`` are kept."""
+    """A tokenizer with its byte table. Pieces of text met before are not encoded again; the bounds of what is kept are ``REMEMBERED`` pieces and ``REMEMBERED_CHARS`` characters, and one part."""
 
     def __init__(self, json: str, pattern: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core; threads of its own only get in the way
         self.json, self.tokenizer = json, Tokenizer.from_str(json)
         self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.pieces, self.known = regex.compile(pattern).findall, {}
+        self.pieces, self.known, self.held = regex.compile(pattern).findall, {}, 0
         back = {c: b for b, c in enumerate(byte_chars())}
         vocab = self.tokenizer.get_vocab()
         self.bytes = [b""] * (max(vocab.values(), default=-1) + 1)
@@ -99,8 +100,9 @@ class Codec:
                 continue
             pieces = self.pieces(part)
             new = list({p for p in pieces if p not in self.known})
-            if len(self.known) > REMEMBERED:
-                self.known, new = {}, list(set(pieces))
+            if len(self.known) > REMEMBERED or self.held > REMEMBERED_CHARS:
+                self.known, self.held, new = {}, 0, list(set(pieces))
+            self.held += sum(map(len, new))
             for piece, code in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else ()):
                 self.known[piece] = tuple(map(self.shared.__getitem__, code.ids))
             found.extend(chain.from_iterable(map(self.known.__getitem__, pieces)))
@@ -135,9 +137,10 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         codec = Codec(json.value, pattern)
         for batch in batches:
             for row, text in enumerate(texts(batch.column("text"))):
-                spans = codec.offsets(text.decode())
+                text = text.decode(errors="replace")
+                spans = codec.offsets(text)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, 1), *(
-                    pa.array([v], pa.list_(pa.int32())) for v in (codec.ids(text.decode()), [a for a, _ in spans], [b for _, b in spans]))], schema=schema)
+                    pa.array([v], pa.list_(pa.int32())) for v in (codec.ids(text), [a for a, _ in spans], [b for _, b in spans]))], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>, starts array<int>, ends array<int>")
 
@@ -166,7 +169,7 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in batches:
             rows = []
             for text in texts(batch.column("text")):
-                ids = codec.ids(text.decode())
+                ids = codec.ids(text.decode(errors="replace"))
                 listed = ",".join(map(decimal.__getitem__, ids)).encode()
                 rows.append((len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(codec.joined(ids)).hexdigest()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(

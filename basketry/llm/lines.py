@@ -19,7 +19,9 @@ of ranks are counted before they are sorted; a very common line is one row
 there. Each step is a table in the shared folder.
 
 Lines without a word take no part and go with the line before them. A null or
-empty text has no lines. Rows that repeat a doc_id with the same text are one
+empty text has no lines; a text is split on its own, so a very long one takes
+memory in proportion to its lines. Bytes that are no UTF-8 stay as they
+are. An empty table gives no rows. Rows that repeat a doc_id with the same text are one
 document and get the same result; the same doc_id with another text is another
 document. Rows without doc_id come last. Extra columns are ignored by
 ``report`` and passed through by ``without_repeats``.
@@ -201,14 +203,16 @@ def shorten(batch: pa.RecordBatch, spans: list) -> pa.RecordBatch:
     if not any(spans):
         return batch
     columns = dict(zip(batch.schema.names, batch.columns))
-    short = {i: cut(t, gone).decode() for i, (t, gone) in enumerate(zip(texts(columns["text"]), spans)) if gone}
-    for name, of in (("text", str), ("n_chars", len)):
+    short = {i: cut(t, gone) for i, (t, gone) in enumerate(zip(texts(columns["text"]), spans)) if gone}
+    # Texts as bytes: those that are no UTF-8 pass as they are.
+    raw = pa.large_binary() if pa.types.is_large_string(columns["text"].type) else pa.binary()
+    for name, kind, of in (("text", raw, bytes), ("n_chars", None, lambda t: len(t.decode(errors="replace")))):
         if name in columns:
-            values = columns[name].to_pylist()
+            values = columns[name].cast(kind or columns[name].type).to_pylist()
             for i, text in short.items():
                 values[i] = of(text)
-            columns[name] = pa.array(values, columns[name].type)
-    keep = pa.array([i not in short or bool(short[i].encode().split()) for i in range(len(spans))])
+            columns[name] = pa.array(values, kind or columns[name].type).view(columns[name].type)
+    keep = pa.array([i not in short or bool(short[i].split()) for i in range(len(spans))])
     return pa.RecordBatch.from_arrays(list(columns.values()), names=batch.schema.names).filter(keep)
 
 

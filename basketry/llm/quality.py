@@ -5,7 +5,9 @@ repeated lines, are measured with rolling hashes in numpy, one text at a time.
 An n-gram is repeated if the same words occurred before in the same text.
 Windows with equal hashes are compared word by word, so hashes only save time.
 
-Nulls: a null text has no words and is rejected (too short). Repeated rows are
+Nulls: a null or empty text has no words and is rejected (too short). A text is
+measured whole, in memory of some 20 times its size. Of equal n-grams or lines the
+first in the text is the original. An empty table gives no rows. Repeated rows are
 measured each. Columns beyond those named are passed through by ``keep`` and
 ignored by ``measure``.
 """
@@ -105,7 +107,7 @@ def assess(text: bytes) -> tuple:
         if line.strip():
             if line in before:
                 dup += 1
-                dup_chars += sum(len(w.decode()) for w in line.split())
+                dup_chars += sum(len(w.decode(errors="replace")) for w in line.split())
             before.add(line)
     words, chars = len(ids), int(sizes.sum())
     shares = [dup_chars / max(1, chars), *shares]

@@ -10,7 +10,9 @@ link by link, keeps every connection.
 
 Nulls: a null or empty text has fingerprint zero, linked like any other. A null
 doc_id is never the id of a component unless all of its rows have none. Repeated
-rows get the same result each. Extra columns are ignored.
+rows get the same result each. Texts of any length are read whole, their shingles
+in parts. The smallest doc_id names a component, so there are no ties. An empty table
+gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ averages it over whole texts.
 
 Labels are learned only from documents outside the held-out fold (crc32 of doc_id as
 text, modulo ``FOLDS``, is 0); ids, languages and sources are no inputs. A null or
-empty text has the average of no n-grams, the class prior's score. Labels other than 0
+empty text has the average of no n-grams, the class prior's score; bytes that are no
+UTF-8 count as U+FFFD. Labels other than 0
 and 1 are ignored; without both classes in the sample every score is 0.5 or the prior.
 A null doc_id is never labelled, ``held_out`` is false for it. Rows that repeat a
 doc_id in the labels count once with their largest label. Repeated documents are scored
@@ -21,6 +22,7 @@ each; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,8 +39,7 @@ LENGTHS = (3, 4, 5, 6)
 BUCKET_BITS = 18
 DIMENSIONS, PASSES, BATCH, RATE = 8, 12, 32, 0.3
 CHUNK = 1 << 20
-SEPARATOR = np.zeros(256, bool)
-SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -49,28 +50,47 @@ def ngrams(words: list[bytes]) -> np.ndarray:
     """Hash buckets of all n-grams of the words, repeats included."""
     if not words:
         return np.zeros(0, np.int64)
-    marked = np.frombuffer(b"".join(b"\x02%b\x03" % w for w in words), np.uint8).astype(np.uint64)
     number = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)) + 2)
-    rolling, found = marked + np.uint64(1), []
+    return _buckets(b"".join(b"\x02%b\x03" % w for w in words), number)
+
+
+def ngrams_of(text: bytes) -> Iterator[np.ndarray]:
+    """``ngrams`` of the lower-cased words of a text, in arrays of bounded size; a word of over ``CHUNK`` bytes is cut, its n-grams are not."""
+    text = text.decode(errors="replace").lower().encode()
+    if len(text) <= CHUNK:
+        yield ngrams(text.split())
+        return
+    held, size = [], 0
+    for word in (m.group() for m in WORDS.finditer(text)):
+        if len(word) > CHUNK:
+            word = b"\x02%b\x03" % word
+            for start in range(0, len(word), CHUNK):
+                part = word[start:start + CHUNK + max(LENGTHS) - 1]
+                yield _buckets(part, np.zeros(len(part), np.int64), CHUNK)
+            continue
+        held.append(word)
+        size += len(word) + 2
+        if size > CHUNK:
+            yield ngrams(held)
+            held, size = [], 0
+    yield ngrams(held)
+
+
+def _buckets(marked: bytes, number: np.ndarray, begin: int | None = None) -> np.ndarray:
+    """Of the n-grams inside one word, ``number`` being that of each byte's word; with ``begin`` those that start before that byte."""
+    marked = np.frombuffer(marked, np.uint8).astype(np.uint64)
+    rolling, found = marked + np.uint64(1), [np.zeros(0, np.int64)]
     for n in range(2, max(LENGTHS) + 1):
         if len(marked) < n:
             break
         rolling = rolling[:-1] * np.uint64(0x100000001B3) + marked[n - 1:] + np.uint64(1)
         if n in LENGTHS:
-            own = rolling[number[:len(rolling)] == number[n - 1:]]
+            own = rolling[:begin][(number[:len(rolling)] == number[n - 1:])[:begin]]
             own = (own ^ (own >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15 + 2 * n)
             found.append((own >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
     return np.concatenate(found)
 
 
-def words_of(text: bytes) -> Iterator[list[bytes]]:
-    """The lower-cased words of a text, in parts of bounded size."""
-    words = text.decode().lower().encode().split()
-    size = CHUNK // 16
-    for start in range(0, len(words), size):
-        yield words[start:start + size]
-
-
 @dataclass(frozen=True)
 class Model:
     """What one n-gram of a bucket adds to the log odds, and the odds of a text without any."""
@@ -80,8 +100,7 @@ class Model:
 
     def score(self, text: bytes) -> float:
         total, count = 0.0, 0
-        for words in words_of(text):
-            found = ngrams(words)
+        for found in ngrams_of(text):
             total += float(self.weights[found].sum(dtype=np.float64))
             count += len(found)
         return float(1 / (1 + np.exp(-np.clip(self.prior + total / max(1, count), -50, 50))))
@@ -95,8 +114,7 @@ def train(samples: list[tuple[bytes, int]], seed: int = 7) -> Model:
         return Model(np.zeros(1 << BUCKET_BITS, np.float32), float(np.clip(np.log((share + 1e-3) / (1 - share + 1e-3)), -5, 5)))
     bags = []
     for text, _ in samples:
-        found = [ngrams(words) for words in words_of(text)]
-        buckets, counts = np.unique(np.concatenate([*found, np.zeros(0, np.int64)]), return_counts=True)
+        buckets, counts = np.unique(np.concatenate(list(ngrams_of(text))), return_counts=True)
         bags.append((buckets.astype(np.int32), (counts / max(1, counts.sum())).astype(np.float32)))
     used = np.unique(np.concatenate([b for b, _ in bags]))
     bags = [(np.searchsorted(used, b).astype(np.int32), c) for b, c in bags]

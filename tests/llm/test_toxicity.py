@@ -71,3 +71,66 @@ def test_executors_need_no_library(spark, docs, monkeypatch):
     monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(pickle.dumps(value)) or broadcast(self, value))
     toxicity.score(docs([(1, "a text", "en", "s", 0)]), toxicity.train([(b"bad word", 1), (b"good word", 0)])).collect()
     assert sent and not any(b"basketry" in value for value in sent)
+
+
+def plain_buckets(text):
+    """Buckets of all byte n-grams of the marked words, one at a time."""
+    found = []
+    for word in text.decode(errors="replace").lower().encode().split():
+        marked = b"\x02" + word + b"\x03"
+        for n in toxicity.LENGTHS:
+            for start in range(len(marked) - n + 1):
+                h = 0
+                for b in marked[start:start + n]:
+                    h = (h * 0x100000001B3 + b + 1) % 2**64
+                h = (h ^ (h >> 32)) * (0x9E3779B97F4A7C15 + 2 * n) % 2**64
+                found.append(h >> (64 - toxicity.BUCKET_BITS))
+    return found
+
+
+def test_score_is_that_of_a_plain_loop(monkeypatch):
+    model = toxicity.Model(np.linspace(-3, 2, 1 << toxicity.BUCKET_BITS).astype(np.float32), 0.3)
+    texts = [b"", b"a", b"One TWO  three\x1cfour \xc3\x89T\xc3\x89", b"x" * 500, b"bad \xff\xfe bytes", b"ab " * 40 + b"y" * 300 + b" z"]
+    for chunk in (1 << 20, 64, 7):
+        monkeypatch.setattr(toxicity, "CHUNK", chunk)
+        for text in texts:
+            found = plain_buckets(text)
+            assert sorted(np.concatenate(list(toxicity.ngrams_of(text))).tolist()) == sorted(found)
+            mean = sum(float(model.weights[b]) for b in found) / max(1, len(found))
+            assert abs(model.score(text) - 1 / (1 + np.exp(-(0.3 + mean)))) < 1e-6
+
+
+def test_arrays_of_a_long_word_stay_small(monkeypatch):
+    monkeypatch.setattr(toxicity, "CHUNK", 1000)
+    assert max(map(len, toxicity.ngrams_of(b"w" * 50000 + b" and " + b"v " * 5000))) <= 1100 * len(toxicity.LENGTHS)
+
+
+def test_training_step_is_that_of_a_plain_loop(monkeypatch):
+    monkeypatch.setattr(toxicity, "PASSES", 1)
+    samples = [(b"vile word here", 1), (b"some good words", 0), (b"good words and more good words", 0)]
+    model = toxicity.train(samples, seed=3)
+    bags = [plain_buckets(t) for t, _ in samples]
+    used = sorted({b for bag in bags for b in bag})
+    random = np.random.default_rng(3)
+    vectors = dict(zip(used, random.normal(0, 0.1, (len(used), toxicity.DIMENSIONS)).astype(np.float32).tolist()))
+    softmax = random.normal(0, 0.1, (toxicity.DIMENSIONS, 2)).astype(np.float32).tolist()
+    dims, classes = range(toxicity.DIMENSIONS), range(2)
+    weight = [3 / (2 * 2), 3 / (2 * 1)]
+    slope, top, base = {b: [0.0 for _ in dims] for b in used}, [[0.0, 0.0] for _ in dims], [0.0, 0.0]
+    for bag, (_, label) in zip(bags, samples):
+        mean = [sum(vectors[b][d] for b in bag) / len(bag) for d in dims]
+        raw = [np.exp(sum(mean[d] * softmax[d][c] for d in dims)) for c in classes]
+        error = [(raw[c] / sum(raw) - (c == label)) * weight[label] / len(samples) for c in classes]
+        for d in dims:
+            for b in bag:
+                slope[b][d] += sum(error[c] * softmax[d][c] for c in classes) / len(bag)
+            for c in classes:
+                top[d][c] += mean[d] * error[c]
+        for c in classes:
+            base[c] += error[c]
+    step = lambda value, g: value - toxicity.RATE * g / (1e-8 + g * g) ** 0.5
+    for b in used:
+        after = [step(vectors[b][d], slope[b][d]) * (step(softmax[d][1], top[d][1]) - step(softmax[d][0], top[d][0])) for d in dims]
+        assert abs(model.weights[b] - sum(after)) < 2e-3
+    assert abs(model.prior - (step(0, base[1]) - step(0, base[0]))) < 2e-3
+    assert not model.weights[[b for b in range(1000) if b not in slope]].any()
