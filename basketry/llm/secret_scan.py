@@ -10,8 +10,10 @@ Trigrams are of the lower-cased text, so one index serves rules of either case.
 Matches are leftmost and do not overlap within a rule; those failing the rule's
 length are dropped after matching. Places are code points, the end exclusive.
 
-Nulls: a null text is empty; a null doc_id is an id like any other. Rows that
-repeat doc_id and text get the same result each. Extra columns are ignored.
+Nulls: a null text is empty; a null doc_id is an id like any other. An empty table
+gives no rows. Texts of any length are scanned whole. Spans that begin at the same
+place stand in the order of their rules. Rows that repeat doc_id and text get the
+same result each. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -151,7 +153,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = len(BASE)
     chosen = [F.when(F.col("rules").bitwiseAND(F.lit(1 << i)) != 0, matches(F.col("text"), i, rules[i])).otherwise(no_matches()) for i in indexed]
     full = written(texts.select(*key, F.col("doc_id").cast("long").alias("doc_id"), F.flatten(F.array(no_matches(), *everywhere)).alias("found")), "full-scans")
     index = written(postings(texts, sorted({t for q in indexed.values() for s in q for t in s})), "postings")
-    left = candidates(index, indexed)
+    # A table of known size: while the candidates are few they go to the texts, and no text moves.
+    left = written(candidates(index, indexed), "candidates")
     checked = texts.select(*key, "text").join(left, DOC).select(*DOC, F.flatten(F.array(no_matches(), *chosen)).alias("found"))
     single = full.select(*DOC, F.explode("found").alias("m")).unionByName(checked.select(*DOC, F.explode("found").alias("m"))).select(*DOC, "m.*")
     kinds = F.array(*[F.lit(r.kind) for r in rules])
