@@ -73,7 +73,8 @@ def numbered(rows: DataFrame, key: str, known: DataFrame | None = None) -> DataF
     first = 0
     if known is not None:
         keys = keys.join(known, key, "left_anti")
-        first = (known.agg(F.max("number")).first()[0] or -1) + 1 if known.limit(1).count() else 0
+        last = known.agg(F.max("number")).first()[0]
+        first = 0 if last is None else last + 1
     place = keys.repartitionByRange(key).sortWithinPartitions(key).withColumn("_at", F.monotonically_increasing_id())
     placed = durable(place, "numbered").withColumn("_part", F.shiftright("_at", 33).cast("int"))
     starts, sizes = [], placed.groupBy("_part").count().orderBy("_part").collect()

@@ -67,6 +67,14 @@ def test_empty_keys(spark, orders):
     assert none.count() == 0 and rollups.numbered(orders, "user_id", none).count() == 40
 
 
+def test_new_keys_never_take_a_number_of_known_ones(spark):
+    keys = lambda n: spark.range(n).withColumnRenamed("id", "user_id")
+    numbers = rollups.numbered(keys(1), "user_id")
+    for n in (1, 2, 5):
+        numbers = rollups.numbered(keys(n), "user_id", numbers)
+        assert sorted(r["number"] for r in numbers.collect()) == list(range(n))
+
+
 def test_exact_quartiles_of_any_days(spark, tmp_path):
     values = spark.range(60000).select(
         F.expr("date_add(DATE '2024-01-25', cast(id % 14 AS int))").alias("date"), F.when(F.col("id") % 3 > 0, "a").when(F.col("id") % 1000 > 0, "b").otherwise("c").alias("kind"),
