@@ -546,6 +546,10 @@ def _sessions() -> dict[str, str]:
             FROM sess GROUP BY 2, 3 UNION ALL SELECT 'device_status', device_type, conversion_status, COUNT(*) FROM sess GROUP BY 2, 3"""),
         "device_os_matrix": _with("sess", "SELECT device_type, " + ", ".join(rate(s) for s in ("Windows", "macOS", "Android", "iOS"))
                                   + " FROM sess GROUP BY 1"),
+        "device_os_map": _with("sess", f"""SELECT device_type, CAST(COUNT(*) AS INTEGER) AS systems,
+            string_agg(os || '=' || CAST(CAST(rate AS DECIMAL(18,2)) AS VARCHAR), ';' ORDER BY os) AS rates FROM (
+            SELECT device_type, COALESCE(device_os, 'Unknown') AS os, {_pct("COUNT(*) FILTER (WHERE conversion_status = 'converted')", 'COUNT(*)')} AS rate
+            FROM sess GROUP BY 1, 2) GROUP BY 1"""),
         "page_view_kpis": _with("pv", f"""SELECT COUNT(*) AS total_views, {_mean('COUNT(*)', 'COUNT(DISTINCT session_id)', 2)} AS avg_views_per_session,
             {_mean('SUM(view_duration)', 'COUNT(view_duration)', 2)} AS avg_duration,
             (SELECT page_type FROM pv GROUP BY 1 ORDER BY COUNT(*) DESC, page_type LIMIT 1) AS top_page_type

@@ -135,6 +135,12 @@ def matrix_text(cells: DataFrame, key: str, period: str, value: str) -> DataFram
     return rows.select(key, F.size(value).alias("cells"), text.alias(value))
 
 
+def device_os_text(r: StarRetail) -> DataFrame:
+    """The map of each device type as text, in the order of the systems."""
+    text = F.array_join(F.transform(F.map_entries("rate"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("decimal(18,2)").cast("string"))), ";")
+    return sessions.device_os_map(r.sessions).select("device_type", F.size("rate").alias("systems"), text.alias("rates"))
+
+
 def enriched_flat(r: StarRetail) -> DataFrame:
     return _flat_products(etl.products_enriched(r.products, r.subcategories))
 
@@ -468,6 +474,7 @@ CATALOG: dict[str, Query] = {
     "session_flow": lambda r: sessions.session_flow(r.sessions),
     "session_flow_edges": lambda r: sessions.session_flow_edges(r.sessions),
     "device_os_matrix": lambda r: sessions.device_os_matrix(r.sessions, SYSTEMS),
+    "device_os_map": device_os_text,
     "page_view_kpis": lambda r: sessions.page_view_kpis(r.page_views),
     "filtered_page_view_kpis": lambda r: sessions.page_view_kpis(sessions.page_type_filter(r.page_views, PAGE_TYPES)),
     "page_type_stats": lambda r: sessions.page_type_stats(r.page_views),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from basketry.functions.numeric import half_up, mean, pct, rate_of, ratio
 from basketry.operators.adjacency import transition_counts
 from basketry.operators.quantiles import summary_by
+from basketry.plans.cohort import matrix
 
 CONVERTED, ABANDONED, BROWSING = "converted", "abandoned", "browsing"
 
@@ -104,6 +105,13 @@ def device_os_matrix(sessions: DataFrame, systems: Sequence[str]) -> DataFrame:
     return wide.na.fill(0.0).orderBy("device_type")
 
 
+def device_os_map(sessions: DataFrame) -> DataFrame:
+    """Conversion rate per device type as a map over every operating system that occurs, none of them stated before;
+    sessions without one count as Unknown."""
+    known = sessions.withColumn("device_os", F.coalesce("device_os", F.lit("Unknown")))
+    return matrix(device_os_rates(known), "device_type", "device_os", "rate")
+
+
 def page_type_filter(page_views: DataFrame, page_types: Sequence[str] | None = None) -> DataFrame:
     return page_views if page_types is None else page_views.filter(F.col("page_type").isin(*page_types))
 

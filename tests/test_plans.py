@@ -115,3 +115,10 @@ def test_grouped_quantiles_meet_no_group_in_one_task(spark, no_broadcast):
     for name in ("page_type_stats", "spend_distribution"):
         text = run(name, spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
         assert "_salt" in text
+
+
+def test_every_operating_system_has_its_rate(spark):
+    rows = [("phone", "ios", "converted"), ("phone", "ios", "browsing"), ("phone", "beos", "abandoned"), ("phone", None, "converted"),
+            ("phone", "Unknown", "browsing"), ("desk", "beos", "converted")]
+    found = sessions.device_os_map(spark.createDataFrame(rows, "device_type string, device_os string, conversion_status string")).collect()
+    assert [(r["device_type"], r["rate"]) for r in found] == [("desk", {"beos": 100.0}), ("phone", {"Unknown": 50.0, "beos": 0.0, "ios": 50.0})]
