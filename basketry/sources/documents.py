@@ -21,6 +21,8 @@ ISO_COLUMNS = {
     "categories": (),
 }
 DEFAULT_STOCK, DEFAULT_ACTIVE = 0, True
+# Records a written array file holds on average at most; its task keeps them in memory, some KB each.
+FILE_RECORDS = 1 << 16
 
 
 def read_entity(spark: SparkSession, path: str, entity: str, multi_line: bool = True) -> DataFrame:
@@ -56,10 +58,13 @@ def read_array(spark: SparkSession, files: str, schema: str) -> DataFrame:
     return parts.select(F.from_json(text, schema).alias("r")).select("r.*")
 
 
-def write_array(df: DataFrame, path: str, key: str, files: int = 1) -> None:
-    """Pretty-printed JSON arrays, as many files as asked for, records in the order of ``key``."""
+def write_array(df: DataFrame, path: str, key: str, files: int = 1, most: int = FILE_RECORDS) -> None:
+    """Pretty-printed JSON arrays, records in the order of ``key``: as many files as asked for, or more if
+    these would hold over ``most`` records on average. A file is written by one task, which sorts its records."""
+    files = max(files, -(-df.select(key).count() // most))
     record = F.concat(F.lit("  "), F.regexp_replace(F.to_json(F.struct(*df.columns), {"pretty": "true"}), "\n", "\n  "))
-    rows = df.select(F.pmod(F.xxhash64(key), F.lit(files)).alias("file"), F.col(key).alias("key"), record.alias("value"))
+    rows = df.select(F.pmod(F.xxhash64(key), F.lit(files)).cast("int").alias("file"), F.col(key).alias("key"), record.alias("value"))
+    rows = rows.repartitionById(files, "file")
     order = Window.partitionBy("file").orderBy("key")
     first, last = F.row_number().over(order) == 1, F.lead("key").over(order).isNull()
     text = F.concat(F.when(first, "[\n").otherwise(""), F.col("value"), F.when(last, "\n]").otherwise(","))

@@ -66,6 +66,17 @@ def test_written_arrays_are_arrays(spark, tmp_path):
     assert rows(docs.read_array(spark, str(tmp_path / "x.json"), schema)) == rows(want)
 
 
+def test_files_hold_a_bounded_number_of_records(spark, tmp_path):
+    """A file is sorted by one task: more records make more files, one for each task."""
+    want = spark.range(3000).selectExpr("id", "repeat('x', 20) AS name")
+    docs.write_array(want, str(tmp_path / "x.json"), "id", 2, most=250)
+    files = [json.loads(f.read_text()) for f in (tmp_path / "x.json").rglob("part-*.txt")]
+    assert len(files) == 12 and max(map(len, files)) < 500 and all(f == sorted(f, key=lambda r: r["id"]) for f in files)
+    assert sorted(r["id"] for f in files for r in f) == list(range(3000))
+    docs.write_array(want.limit(0), str(tmp_path / "none.json"), "id", 2, most=250)
+    assert docs.read_array(spark, str(tmp_path / "none.json"), "id BIGINT, name STRING").count() == 0
+
+
 def test_only_wanted_columns_are_parsed(spark, tmp_path):
     (tmp_path / "x.json").write_text(json.dumps(records(30), indent=2))
     plan = docs.read_array(spark, str(tmp_path / "x.json"), SCHEMA).select("id")._jdf.queryExecution().optimizedPlan().toString()
