@@ -4,7 +4,8 @@ A state has rows per day and is partitioned by month and batch (days as partitio
 Adding a batch writes the partitions of its own months and batch and reads or changes no other, so late rows are one
 more partition of their month, and a batch that is run again replaces what it had written. Reports merge the rows they
 need: sums add up, first and last times are the least and greatest, and sets of users are bitmaps that are united, so
-distinct users of any period come from the days. Distributions are KLL sketches: merged over the days of a period they
+distinct users of any period come from the days. A bitmap is kept as its words of 64 users that are not empty, a row
+each, so a day never has more rows than buyers, and words are united without sorting. Distributions are KLL sketches: merged over the days of a period they
 tell between which values a quantile lies, and one scan of those days' values makes it exact.
 """
 
@@ -86,17 +87,20 @@ def numbered(rows: DataFrame, key: str, known: DataFrame | None = None) -> DataF
     return new if known is None else known.unionByName(new)
 
 
+WORD_BITS = 64
+
+
 def buyer_days(orders: DataFrame, numbers: DataFrame) -> DataFrame:
-    """``date, payment_method, bucket, users``: who ordered, as bitmaps over the users' numbers."""
+    """``date, payment_method, bucket, users``: who ordered, as words of a bitmap over the users' numbers; ``bucket`` is the place of a word."""
     seen = orders.select("date", "payment_method", "user_id").distinct().join(numbers, "user_id")
-    return seen.groupBy("date", "payment_method", F.bitmap_bucket_number("number").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("users"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("number").bitwiseAND(F.lit(WORD_BITS - 1)).cast("int"))
+    return seen.groupBy("date", "payment_method", F.shiftright("number", WORD_BITS.bit_length() - 1).alias("bucket")).agg(F.bit_or(bit).alias("users"))
 
 
 def buyers(state: DataFrame, label: Column) -> DataFrame:
     """``label, buyers``: distinct users under each label, which is any expression over the days and payment methods."""
-    united = state.groupBy(label.alias("label"), "bucket").agg(F.bitmap_or_agg("users").alias("users"))
-    return united.groupBy("label").agg(F.sum(F.bitmap_count("users")).alias("buyers"))
+    united = state.groupBy(label.alias("label"), "bucket").agg(F.bit_or("users").alias("users"))
+    return united.groupBy("label").agg(F.sum(F.bit_count("users").cast("bigint")).alias("buyers"))
 
 
 SKETCH_K = 4096  # size of a sketch: some 60 KB at most, a rank is off by 0.13 % with 99 % confidence

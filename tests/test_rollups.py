@@ -62,6 +62,18 @@ def test_distinct_users_of_any_period(spark, orders, tmp_path):
         assert {r["label"]: r["buyers"] for r in rollups.buyers(state, label).collect()} == want
 
 
+def test_a_day_has_no_more_rows_than_buyers_and_each_is_small(spark, orders):
+    """Few buyers among many users: the state grows with the orders, not with days times users."""
+    far = spark.createDataFrame([(u, 1_000_003 * u) for u in range(40)], "user_id long, number long")
+    days = rollups.buyer_days(orders, far)
+    assert dict(days.dtypes)["users"] == "bigint"
+    assert days.count() == orders.filter("user_id IS NOT NULL").select("date", "payment_method", "user_id").distinct().count()
+    assert rollups.buyers(days, F.lit("all")).first()["buyers"] == 40
+    full = spark.range(640).selectExpr("id AS user_id", "id AS number")  # all 64 bits of a word, the sign among them
+    days = rollups.buyer_days(full.selectExpr("user_id", "DATE '2024-01-01' AS date", "'a' AS payment_method"), full)
+    assert days.count() == 10 and rollups.buyers(days, F.col("payment_method")).first()["buyers"] == 640
+
+
 def test_empty_keys(spark, orders):
     none = rollups.numbered(orders.filter("false"), "user_id")
     assert none.count() == 0 and rollups.numbered(orders, "user_id", none).count() == 40
