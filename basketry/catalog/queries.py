@@ -218,7 +218,7 @@ STORE_BUCKETS = 8
 
 def bucketed(r: StarRetail, *names: str) -> Store:
     """The named tables of the bucketed store, written to the shared folder."""
-    store = Store(r.spark, _scratch(r, "store"), etl.store_layouts(r), STORE_BUCKETS)
+    store = Store(r.spark, _scratch(r, "store"), etl.store_layouts(r), etl.store_buckets(r, STORE_BUCKETS))
     tables = etl.store_tables(r)
     store.write({name: tables[name] for name in names})
     return store
@@ -257,7 +257,7 @@ ARRAY_FILES = 3
 
 
 def as_arrays(r: StarRetail, *entities: str) -> documents.DocumentRetail:
-    """The same, as a few files that hold one pretty-printed array each."""
+    """The same, as files that hold one pretty-printed array each."""
     path = _scratch(r, "arrays")
     for name, df in documents.documents_of(r).items():
         if name in entities:

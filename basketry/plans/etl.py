@@ -244,6 +244,15 @@ def store_layouts(r: Retail) -> dict[str, Layout]:
     }
 
 
+# Lines a bucket of the store holds on average at most; the task that joins it sorts them.
+BUCKET_LINES = 1 << 18
+
+
+def store_buckets(r: Retail, least: int, most: int = BUCKET_LINES) -> int:
+    """The number of buckets for the measured number of lines, the largest table of the store."""
+    return max(least, -(-r.hot_keys("items", "transaction_id").total // most))
+
+
 def stored_txn_lines(store: Store, product_dim: DataFrame, hot_products: HotKeys | None = None) -> DataFrame:
     """``txn_lines`` from the store: lines are scanned once and meet their transaction, whose amounts are kept, without a shuffle."""
     header = store.read("transactions").select("transaction_id", "user_id", "date", "total", "discount", "payment_method", "status")

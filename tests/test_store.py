@@ -104,3 +104,8 @@ def test_frequent_keys_are_dealt_and_joined_apart(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, fact.join(dim, "k").collect()))
     files = made.read("fact").filter("k = -1").selectExpr("input_file_name()").distinct().count()
     assert set(hot.counts) == {-1} and files > 1
+
+
+def test_buckets_follow_the_lines(retail):
+    lines = retail.items.count()
+    assert etl.store_buckets(retail, 8) == 8 and etl.store_buckets(retail, 8, 500) == -(-lines // 500) > 8
