@@ -27,6 +27,8 @@ from basketry.session import durable
 
 LARGE_BASKET = 1000
 PROBE = 128
+# Pairs one task lists and counts on average at most.
+TASK_PAIRS = 1 << 19
 
 
 def distinct_baskets(items: DataFrame) -> DataFrame:
@@ -34,27 +36,50 @@ def distinct_baskets(items: DataFrame) -> DataFrame:
     return items.select("transaction_id", "product_id").distinct()
 
 
-def pair_counts(items: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def pair_counts(items: DataFrame, hot: HotKeys | None = None, large: int = LARGE_BASKET) -> DataFrame:
     """``product_a < product_b`` and in how many transactions they meet.
 
-    A self-join on the transaction with the inequality inside the join. A
+    A self-join on the transaction with the inequality inside the join. Usual
+    transactions are dealt to as many tasks as their lines ask for. A
     transaction that holds a large share of all lines is cut into blocks of
     products; every pair of blocks is a join key of its own, so the pairs of one
     transaction are produced by many tasks and each pair exactly once.
     Counts are combined before the shuffle.
     """
-    return basket_pairs(distinct_baskets(items), hot)
+    heavy, number, tasks, repeats = _large(items, large)
+    if not number:
+        return _merged(basket_pairs(_dealt(items, tasks, repeats)), tasks)
+    light = basket_pairs(_dealt(items.join(heavy, "transaction_id", "left_anti"), tasks, repeats))
+    return _merged(light.unionByName(basket_pairs(distinct_baskets(items.join(heavy, "transaction_id", "left_semi")), hot)), tasks)
+
+
+def _dealt(items: DataFrame, tasks: int, repeats: bool = False) -> DataFrame:
+    """``_part, transaction_id, product_id``: baskets of transactions of usual size, each whole in one of ``tasks`` parts.
+
+    Adaptive execution would merge what is small before the join of pairs and large after it. By its part a
+    transaction is made distinct, joined and counted in the same task. ``repeats``: some have so many lines
+    that they are made distinct before they are dealt.
+    """
+    rows = distinct_baskets(items) if repeats else items
+    part = F.pmod(F.xxhash64("transaction_id"), F.lit(tasks)).cast("int").alias("_part")
+    return rows.select(part, "transaction_id", "product_id").repartitionById(tasks, "_part").distinct()
+
+
+def _merged(pairs: DataFrame, tasks: int) -> DataFrame:
+    """Counts of parts, already combined there, summed by ``tasks`` tasks."""
+    return pairs.repartition(tasks, "product_a", "product_b").groupBy("product_a", "product_b").agg(F.sum("co_purchase_count").alias("co_purchase_count"))
 
 
 def basket_pairs(baskets: DataFrame, hot: HotKeys | None = None) -> DataFrame:
-    """The same from baskets that hold a product once."""
+    """The same from baskets that hold a product once; from dealt ones the counts of each part."""
+    part = [c for c in baskets.columns if c == "_part"]
     if hot is None or not hot.counts:
-        left = baskets.select("transaction_id", F.col("product_id").alias("product_a"))
-        right = baskets.select("transaction_id", F.col("product_id").alias("product_b"))
-        pairs = left.join(right, "transaction_id").filter("product_a < product_b")
+        left = baskets.select(*part, "transaction_id", F.col("product_id").alias("product_a"))
+        right = baskets.select(*part, "transaction_id", F.col("product_id").alias("product_b"))
+        pairs = left.join(right, [*part, "transaction_id"]).filter("product_a < product_b")
     else:
         pairs = _blocked_pairs(baskets, hot)
-    return pairs.groupBy("product_a", "product_b").agg(F.count("*").alias("co_purchase_count"))
+    return pairs.groupBy(*part, "product_a", "product_b").agg(F.count("*").alias("co_purchase_count")).drop("_part")
 
 
 def _blocked_pairs(baskets: DataFrame, hot: HotKeys) -> DataFrame:
@@ -85,11 +110,12 @@ def best_pairs(items: DataFrame, k: int, hot: HotKeys | None = None, large: int
     supports, least = first_bound(baskets, k, hot)
     if least > 1:
         baskets = baskets.join(supports.filter(F.col("support") >= least).select("product_id"), "product_id", "left_semi")
-    heavy, number = _large(baskets, large)
+    heavy, number, tasks, _ = _large(baskets, large)
     if not number:
-        return top_k(basket_pairs(baskets, hot), "co_purchase_count", k, products)
+        return top_k(_merged(basket_pairs(_dealt(baskets, tasks)), tasks), "co_purchase_count", k, products)
     lists = _large_lists(baskets, heavy)
-    listed = durable(_with_lists(basket_pairs(baskets.join(heavy, "transaction_id", "left_anti"), hot), lists, products), "listed-pairs")
+    light = _merged(basket_pairs(_dealt(baskets.join(heavy, "transaction_id", "left_anti"), tasks)), tasks)
+    listed = durable(_with_lists(light, lists, products), "listed-pairs")
     longest, shortest = F.greatest(F.size("_l0"), F.size("_l1")), F.least(F.size("_l0"), F.size("_l1"))
     sure = listed.select((F.col("co_purchase_count") + F.greatest(longest + shortest - number, F.lit(0))).alias("n"))
     bounds = [r["n"] for r in sure.orderBy(F.desc("n")).limit(k).collect()]  # k numbers
@@ -112,9 +138,8 @@ def first_bound(baskets: DataFrame, k: int, hot: HotKeys | None = None) -> tuple
 def best_partners(items: DataFrame, k: int, hot: HotKeys | None = None, large: int = LARGE_BASKET) -> DataFrame:
     """``source_product, recommended_product, co_purchase_count``: the ``k`` most frequent partners
     of every product; ties by id. Each task keeps ``k`` rows per product before the shuffle."""
-    heavy, number = _large(items, large)
-    baskets = distinct_baskets(items)
-    listed = basket_pairs(baskets.join(heavy, "transaction_id", "left_anti") if number else baskets, hot)
+    heavy, number, tasks, repeats = _large(items, large)
+    listed = _merged(basket_pairs(_dealt(items.join(heavy, "transaction_id", "left_anti") if number else items, tasks, repeats)), tasks)
     a, b = F.col("product_a"), F.col("product_b")
     both = F.array(
         F.struct(a.alias("source_product"), b.alias("recommended_product")),
@@ -123,7 +148,7 @@ def best_partners(items: DataFrame, k: int, hot: HotKeys | None = None, large: i
     ends = ["source_product", "recommended_product"]
     counted = listed.select(F.explode(both).alias("p"), "co_purchase_count").select("p.*", "co_purchase_count")
     if number:
-        lists = _large_lists(baskets, heavy)
+        lists = _large_lists(distinct_baskets(items), heavy)
         counted = _with_lists(counted, lists, ends).select(*ends, (F.col("co_purchase_count") + _common("_l0", "_l1")).alias("co_purchase_count"))
         sources = lists.select(F.col("product_id").alias("source_product"), F.col("_list").alias("_s"))
         unlisted = sources.join(_partners_by_list(lists, k), "_s").filter("source_product <> recommended_product").select(*ends, "co_purchase_count")
@@ -131,14 +156,21 @@ def best_partners(items: DataFrame, k: int, hot: HotKeys | None = None, large: i
     return top_k_per_group(counted, "source_product", "co_purchase_count", k, ["recommended_product"])
 
 
-def _large(baskets: DataFrame, large: int) -> tuple[DataFrame, int]:
-    """The transactions with more than ``large`` distinct products, and their number; ``baskets`` may repeat a product."""
-    lines = baskets.groupBy("transaction_id").agg(F.count("*").alias("_products")).filter(F.col("_products") > large)
-    if not lines.limit(1).count():  # fewer lines, fewer products: nothing needs to be made distinct
-        return lines.select("transaction_id"), 0
+def _large(baskets: DataFrame, large: int) -> tuple[DataFrame, int, int, bool]:
+    """The transactions with more than ``large`` distinct products and their number; ``baskets`` may repeat a product.
+
+    Also how many tasks the pairs of the others ask for, and whether any transaction has more than ``large`` lines.
+    """
+    lines = baskets.groupBy("transaction_id").agg(F.count("*").alias("_products"))
+    usual = F.least("_products", F.lit(large))
+    most, pairs = lines.agg(F.max("_products"), F.sum(usual * (usual - 1) / 2)).first()
+    tasks = max(1, ceil((pairs or 0) / TASK_PAIRS))
+    lines = lines.filter(F.col("_products") > large)
+    if (most or 0) <= large:  # fewer lines, fewer products: nothing needs to be made distinct
+        return lines.select("transaction_id"), 0, tasks, False
     heavy = distinct_baskets(baskets).groupBy("transaction_id").agg(F.count("*").alias("_products")).filter(F.col("_products") > large).select("transaction_id")
     heavy = durable(heavy, "large-baskets")
-    return heavy, heavy.count()
+    return heavy, heavy.count(), tasks, True
 
 
 def _large_lists(baskets: DataFrame, heavy: DataFrame) -> DataFrame:

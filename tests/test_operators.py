@@ -79,6 +79,22 @@ def test_pair_counts(spark, hot):
     assert got == dict(brute_pairs(rows))
 
 
+def test_pairs_are_listed_by_as_many_tasks_as_they_ask_for(spark, monkeypatch):
+    """A part is dealt once and counted where it lies; pairs of parts meet in as many tasks."""
+    rnd = random.Random(4)
+    rows = [(t, rnd.randrange(40)) for t in range(300) for _ in range(6)] + [(7, rnd.randrange(90)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "transaction_id long, product_id long")
+    monkeypatch.setattr(baskets, "TASK_PAIRS", 100)
+    for large in (20, 1000):
+        assert {(r[0], r[1]): r[2] for r in pair_counts(df, None, large).collect()} == dict(brute_pairs(rows))
+    tasks = baskets._large(df, 1000)[2]
+    dealt = baskets._dealt(df, tasks)
+    held = [len(part) for part in dealt.rdd.glom().collect()]
+    assert tasks > 20 and len(held) == tasks and max(held) < len(rows) / 2
+    plan = pair_counts(df)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(transaction_id" not in plan and "hashpartitioning(product_a" in plan and f", {tasks})" in plan
+
+
 def best_by_brute_force(rows, k):
     want = brute_pairs(rows)
     partners = {}
