@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from basketry.llm import near_copies, simhash
@@ -88,3 +89,58 @@ def test_stage_removes_near_copies(spark, docs):
     texts = pool(5, 1)
     out = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs([(i, t, "en", "s", 0) for i, t in enumerate(texts)]), "")
     assert out.count() == len(set(brute(texts)))
+
+
+def ball(words):
+    """All points of the balls around packed words, one by one."""
+    out = set()
+    for no, word in enumerate(words.tolist()):
+        for flips in range(1 << near_copies.UNSURE):
+            bits = word & (1 << near_copies.WORD_BITS) - 1
+            for k in range(near_copies.UNSURE):
+                if flips >> k & 1:
+                    bits ^= 1 << (word >> near_copies.WORD_BITS + 5 * k & 31)
+            out.add((no, bits))
+    return out
+
+
+def at_the_limit(rnd, size):
+    """Two sets of shingles with the least common part that makes them near copies, of equal size or one inside the other."""
+    for own in range(size, -1, -1):
+        for a, b in ((own, own), (own, 0)):
+            if 10 * (size - own) >= 8 * (size - own + a + b):
+                draw = rnd.randint(0, 1 << 63, size - own + a + b, dtype=np.int64).astype(np.uint64)
+                return draw[:size - own + a], np.concatenate([draw[:size - own], draw[size - own + a:]])
+
+
+@pytest.mark.parametrize("size", [5, 9, 12, 40, 300])
+def test_near_copies_meet_at_a_point_of_their_balls(size):
+    rnd = np.random.RandomState(size)
+    met = [len(ball(near_copies.words(a)) & ball(near_copies.words(b))) for a, b in (at_the_limit(rnd, size) for _ in range(400))]
+    assert min(met) > 0
+
+
+def test_points_are_the_ball_around_each_word(spark):
+    rnd = np.random.RandomState(1)
+    found = {cls: near_copies.words(np.unique(rnd.randint(0, 1 << 63, 200, dtype=np.int64).astype(np.uint64))) for cls in (-5, 3)}
+    rows = near_copies.balls(spark.createDataFrame([(c, w.tolist()) for c, w in found.items()], "cls long, words array<long>")).collect()
+    size = 1 << near_copies.WORD_BITS
+    assert len(rows) == 2 * near_copies.WORDS << near_copies.UNSURE
+    assert {(r["cls"], divmod(r["point"], size)) for r in rows} == {(c, p) for c, w in found.items() for p in ball(w)}
+
+
+def test_pairs_at_the_limit_are_linked(docs):
+    """Blocks of words exchanged, added or cut, so that the similarity is 0.8 or just under it; small and larger texts."""
+    rnd, texts = random.Random(11), []
+    for i in range(240):
+        n = rnd.choice([9, 13, 40, 120, 260])
+        base = [f"b{i}w{k}" for k in range(n)]
+        share, kind = (n - 4) // 5 + rnd.randint(-1, 0), i % 3
+        other = base + [f"o{i}w{k}" for k in range((n - 4) // 4)] if kind == 0 else base[max(0, share):] if kind == 1 else base[:n - max(1, share // 2)] + [f"o{i}w{k}" for k in range(max(1, share // 2))]
+        texts += [" ".join(base), " ".join(other)]
+    group, first = brute(texts), {}
+    for i, g in enumerate(group):
+        first.setdefault(g, i)
+    assert 300 > len(first) > 240
+    kept = near_copies.keep_one(docs([(i, t, "en", "s", 0) for i, t in enumerate(texts)])).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(first.values())
