@@ -9,9 +9,11 @@ that is read. On vectors without structure that is a large share of all lists. D
 vectors, in double precision.
 
 All rows are indexed, equal vectors as one entry with its smallest ids; no more of them can be among the nearest.
-Lists are cut into blocks of about ``BLOCK`` entries by a hash, queries of a list into chunks of ``ASKED``, and a
-block meets a chunk in one task, so neither a long list nor a popular one is ever held whole. Sent to the tasks is
-the index of centroids alone, at most ``MOST_LISTS`` of them for each length of vector in the sample.
+Lists lie on shelves: neighbouring short lists share one, a long list is cut over several by a hash. A shelf meets its
+queries in one task, or in several if they are many. The task holds the shelf, at most ``SHELF`` numbers or so, and the queries
+pass by in batches, so neither a long list nor a popular one is ever held whole, and a query is sent once to a shelf, not to
+each list. Sent to all tasks is the index of centroids alone, at most ``MOST_LISTS`` of them for each length of vector in the
+sample, and which shelf each is on.
 
 Nulls: vectors that are null, empty or zero, or hold a null or non-finite component, and rows without id, take no
 part. Only vectors of equal length meet; a length that the sample does not hold has one list. Repeated rows are
@@ -26,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from basketry.llm.common import written
@@ -36,9 +38,13 @@ K, QUERY_STEP = 10, 100
 SAMPLE, MOST_LISTS, TRIAL_QUERIES = 16384, 4096, 256
 LIST_ROWS, RECALL, MOST_COPIES, CLOSE = 512, 0.97, 4, 1.05
 LINKS, BEAM = 16, 8
-BLOCK, ASKED = 1024, 512
+# Entries of a shelf: BLOCK at least, and more if there would be over SHELVES shelves, up to SHELF numbers. Queries that meet a
+# shelf in one task: ASKED at least, up to MOST_ASKED numbers. A row holds a vector and BESIDES. No more than MOST_TASKS tasks are asked for.
+BLOCK, ASKED, BESIDES = 1024, 512, 16
+SHELF, MOST_ASKED, SHELVES, MOST_TASKS = 1 << 22, 1 << 22, 64, 32000
 SALTS = 64
 CELLS = 1 << 20  # numbers in a matrix of distances
+GROUP = 64  # distances of which the least stands for all
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -101,8 +107,9 @@ class Index:
             seen = np.zeros_like(asked)
             seen[np.repeat(p, self.graph.shape[1]), self.graph[c].reshape(-1)] = True
             p, c = np.nonzero(seen & ~np.isfinite(found))
-            for s in range(0, len(p), 1 << 14):
-                a, b = p[s:s + (1 << 14)], c[s:s + (1 << 14)]
+            step = max(1, CELLS // points.shape[1])
+            for s in range(0, len(p), step):
+                a, b = p[s:s + step], c[s:s + step]
                 found[a, b] = np.sqrt(((points[a] - self.centroids[b]) ** 2).sum(axis=1))
 
     def slices(self, points: np.ndarray) -> Iterator[slice]:
@@ -152,11 +159,12 @@ def fit(sample: np.ndarray, lists: int, k: int = K) -> Index:
 
 
 def entries(rows: DataFrame) -> DataFrame:
-    """``vec_id, v, h1, h2``: the rows that take part, with a digest of the vector."""
+    """``vec_id, v, h1, h2``: the rows that take part, with a digest of the vector; components stay floats if they are."""
     v = F.transform("embedding", lambda c: c.cast("double"))
     good = F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists(v, lambda c: c != 0)
+    kept = F.col("embedding").alias("v") if rows.schema["embedding"].dataType.elementType.typeName() == "float" else v.alias("v")
     return rows.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(good, F.lit(False))).select(
-        F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).withColumns({"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(1), "v")})
+        F.col("vec_id").cast("long").alias("vec_id"), kept, F.xxhash64(v).alias("h1"), F.xxhash64(F.lit(1), v).alias("h2"))
 
 
 def copies(found: DataFrame, k: int = K) -> DataFrame:
@@ -171,110 +179,240 @@ def fit_indexes(distinct: DataFrame) -> dict[int, Index]:
     """An index per length of vector, from a sample of about ``SAMPLE`` of the distinct vectors, chosen by digest."""
     total = distinct.count()
     parts = -(-total // SAMPLE)
-    sample = distinct.filter(F.pmod("h2", F.lit(max(1, parts))) == 0).orderBy("h1", "h2").select("v").toArrow().column("v").to_pylist()
-    out = {}
-    for dim in sorted({len(v) for v in sample}):
-        own = np.array([v for v in sample if len(v) == dim])
-        out[dim] = fit(own, -(-total * len(own) // (len(sample) * LIST_ROWS)))
-    return out
+    sample = distinct.filter(F.pmod("h2", F.lit(max(1, parts))) == 0).orderBy("h1", "h2").select("v").toArrow().combine_chunks()
+    return {dim: fit(vectors_of(own.column("v")), -(-total * len(own) // (len(sample) * LIST_ROWS)))
+            for batch in sample.to_batches() for dim, own in by_length(batch)}
+
+
+def plain(column: pa.Array) -> np.ndarray:
+    """Vectors of one length as a matrix, of floats if they are."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
 def vectors_of(column: pa.Array) -> np.ndarray:
     """Vectors of one length as a matrix."""
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    return plain(column).astype(float, copy=False)
 
 
 def by_length(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
-    sizes = np.array([len(v) for v in batch.column("v")], np.int64)
+    sizes = pc.list_value_length(batch.column("v")).to_numpy()
     for dim in np.unique(sizes).tolist():
         yield dim, batch.filter(pa.array(sizes == dim))
 
 
-def postings(distinct: DataFrame, shared, block: int = BLOCK) -> DataFrame:
-    """``dim, list, block, entries``: every vector in its lists, in blocks of bounded size."""
+def kind(df: DataFrame) -> str:
+    return df.schema["v"].dataType.simpleString()
+
+
+def listed(starts: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    """Lists that begin at ``starts`` in ``values``."""
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)), pa.int32()), pa.array(values, pa.int32()))
+
+
+def postings(distinct: DataFrame, shared) -> DataFrame:
+    """``dim, lists`` and the columns of ``distinct``: every vector with its lists, the nearest first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for dim, own in by_length(batch):
-                p, lists = np.arange(len(own)), np.zeros(len(own), int)
-                if dim in shared.value:
-                    p, lists = Index(*shared.value[dim]).homes(vectors_of(own.column("v")))
-                taken = own.take(pa.array(p))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), dim), pa.int32()), pa.array(lists, pa.int32()), *taken.columns],
-                                                 names=["dim", "list", *own.schema.names])
+                rows = max(1, CELLS // dim)
+                for part in (own.slice(s, rows) for s in range(0, len(own), rows)):
+                    p, lists = np.arange(len(part)), np.zeros(len(part), int)
+                    if dim in shared.value:
+                        p, lists = Index(*shared.value[dim]).homes(vectors_of(part.column("v")))
+                    order = np.argsort(p, kind="stable")
+                    starts = np.searchsorted(p[order], np.arange(len(part)))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), dim), pa.int32()), listed(starts, lists[order]), *part.columns],
+                                                     names=["dim", "lists", *part.schema.names])
+
+    return distinct.select("id", "h1", "h2", "v").mapInArrow(run, f"dim int, lists array<int>, id long, h1 long, h2 long, v {kind(distinct)}")
+
+
+def packed(sizes: list[int], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per list the number of its first shelf, and how many it has; only lists over ``most`` have several, and these alone."""
+    first, of, shelf, held = [], [], 0, 0
+    for n in sizes:
+        if held and held + n > most:
+            shelf, held = shelf + 1, 0
+        first.append(shelf)
+        of.append(max(1, -(-n // most)))
+        shelf, held = (shelf, held + n) if of[-1] == 1 else (shelf + of[-1], 0)
+    return np.array(first, int), np.array(of, int)
+
+
+def shelves(placed: DataFrame, lists: dict[int, int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """``packed`` for each length of vector. One that is not here has one list on one shelf.
+
+    To the driver come the sizes of the lists of the sample's lengths (``lists``), and of others too long for a shelf.
+    """
+    most = F.greatest(F.lit(1), F.floor(F.lit(SHELF) / (F.col("dim") + BESIDES)))
+    sizes = placed.select("dim", F.explode("lists").alias("list")).groupBy("dim", "list").agg(F.count("*").alias("n"))
+    found: dict[int, dict[int, int]] = {dim: {} for dim in lists}
+    for dim, number, n in sizes.filter(F.col("dim").isin(list(lists)) | (F.col("n") > most)).collect():
+        found.setdefault(dim, {})[number] = n
+    out = {}
+    for dim, own in found.items():
+        size = max(1, min(SHELF // (dim + BESIDES), max(BLOCK, -(-sum(own.values()) // SHELVES))))
+        out[dim] = packed([own.get(i, 0) for i in range(lists.get(dim, 1))], size)
+    return out
 
-    placed = written(distinct.select("h1", "h2", "least", "v").mapInArrow(run, "dim int, list int, h1 long, h2 long, least long, v array<double>"), "placed")
-    sizes = placed.groupBy("dim", "list").agg(F.ceil(F.count("*") / block).cast("int").alias("of"))
-    held = placed.join(sizes, ["dim", "list"]).withColumn("block", F.pmod(F.xxhash64("h1", "h2"), F.col("of")).cast("int"))
-    return held.groupBy("dim", "list", "block").agg(F.collect_list(F.struct("h1", "h2", "least", "v")).alias("entries"))
 
+def on_shelves(placed: DataFrame, plan: dict[int, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """``dim, shelf, lists, id, h1, h2, v``: an entry for every list of every vector."""
+    rows = [(dim, number, int(first), int(of)) for dim, own in plan.items() for number, (first, of) in enumerate(zip(*own))]
+    known = placed.sparkSession.createDataFrame(rows, "dim int, list int, first int, of int")
+    each = placed.withColumn("list", F.explode("lists")).join(F.broadcast(known), ["dim", "list"], "left")
+    piece = F.pmod(F.xxhash64("h1", "h2"), F.coalesce("of", F.lit(1))).cast("int")
+    return each.select("dim", (F.coalesce("first", F.lit(0)) + piece).alias("shelf"), F.array("list").alias("lists"), "id", "h1", "h2", "v")
 
-def questions(asked: DataFrame, shared, count: int) -> DataFrame:
-    """``dim, list, chunk, asked``: the queries that read each list, at most ``ASKED`` in a chunk."""
-    inner = "array<struct<vec_id:bigint,h1:bigint,h2:bigint,v:array<double>>>"
 
+def questions(asked: DataFrame, shared, plan, count: int) -> DataFrame:
+    """``dim, shelf, lists, id, h1, h2, v``: every query for each shelf it reads, with the lists there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
             for dim, own in by_length(batch):
+                first, of = plan.value.get(dim, (np.zeros(1, int), np.ones(1, int)))
                 for start in range(0, len(own), ASKED):
-                    part, chunk = own.slice(start, ASKED), chunk + 1
+                    part = own.slice(start, ASKED)
                     p, lists = np.arange(len(part)), np.zeros(len(part), int)
                     if dim in shared.value:
                         p, lists = Index(*shared.value[dim]).read(vectors_of(part.column("v")))
-                    for number in np.unique(lists).tolist():
-                        taken = part.take(pa.array(p[lists == number]))
-                        rows = pa.ListArray.from_arrays(pa.array([0, len(taken)], pa.int32()), pa.StructArray.from_arrays(taken.columns, names=taken.schema.names))
-                        yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([number], pa.int32()), pa.array([chunk], pa.int64()), rows],
-                                                         names=["dim", "list", "chunk", "asked"])
-
-    dealt = asked.select("vec_id", "h1", "h2", "v").repartition(max(1, -(-count // ASKED)), "h1", "vec_id")
-    return dealt.mapInArrow(run, f"dim int, list int, chunk long, asked {inner}")
-
-
-def best_of(matrix: np.ndarray, least: np.ndarray, query: np.ndarray, k: int, rough: np.ndarray, error: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rows nearest to the query, by exact distance and then the smaller id, among those the rounded squares leave possible."""
-    able = np.arange(len(matrix))
-    if len(able) > k:
-        able = np.flatnonzero(~(rough > np.partition(rough, k - 1)[k - 1] + 2 * error))
-    far = np.sqrt(((matrix[able] - query) ** 2).sum(axis=1))
-    order = np.lexsort((least[able], far))[:k]
-    return able[order], far[order]
-
-
-def meet(block: pa.Table, chunk: pa.Table, k: int) -> pa.Table:
-    """The ``k`` nearest entries of a block for each query of a chunk."""
-    own, asked = (t.column(c).combine_chunks().flatten() for t, c in ((block, "entries"), (chunk, "asked")))
-    matrix, queries = vectors_of(own.field("v")), vectors_of(asked.field("v"))
-    least, out = own.field("least").to_numpy(), []
-    squares = (matrix * matrix).sum(1)
-    for start in range(0, len(queries), max(1, CELLS // len(matrix))):
-        part = queries[start:start + max(1, CELLS // len(matrix))]
-        rough = squares[None] - 2 * part @ matrix.T
-        error = 8 * matrix.shape[1] * np.finfo(float).eps * (squares.max() + (part * part).sum(1))
-        for n, query in enumerate(part):
-            rows, far = best_of(matrix, least, query, k, rough[n], error[n])
-            out.append((np.full(len(rows), start + n), rows, far))
-    q, e, far = map(np.concatenate, zip(*out))
-    return pa.Table.from_arrays([asked.field("vec_id").take(pa.array(q)), asked.field("h1").take(pa.array(q)), asked.field("h2").take(pa.array(q)),
-                                 own.field("h1").take(pa.array(e)), own.field("h2").take(pa.array(e)), own.field("least").take(pa.array(e)), pa.array(far)],
-                                names=["query_id", "q1", "q2", "h1", "h2", "least", "score"])
+                    each = np.repeat(np.arange(len(p)), of[lists])
+                    ends = np.cumsum(of[lists])
+                    shelf = first[lists[each]] + np.arange(len(each)) - (ends - of[lists])[each]
+                    p, lists = p[each], lists[each]
+                    new = np.flatnonzero(np.append(True, (p[1:] != p[:-1]) | (shelf[1:] != shelf[:-1])))
+                    bounds, rows = np.append(new, len(p)), max(1, CELLS // dim)
+                    for s in range(0, len(new), rows):
+                        at = new[s:s + rows]
+                        own_lists = listed(at - at[0], lists[at[0]:bounds[min(s + rows, len(new))]])
+                        taken = part.take(pa.array(p[at]))
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), dim), pa.int32()), pa.array(shelf[at], pa.int32()), own_lists, *taken.columns],
+                                                         names=["dim", "shelf", "lists", *taken.schema.names])
+
+    dealt = asked.select("id", "h1", "h2", "v").repartition(max(1, -(-count // ASKED)), "h1", "id")
+    return dealt.mapInArrow(run, f"dim int, shelf int, lists array<int>, id long, h1 long, h2 long, v {kind(asked)}")
+
+
+class Shelf:
+    """The entries of a shelf, list by list."""
+
+    def __init__(self, batches: list[pa.RecordBatch]):
+        lists = np.concatenate([b.column("lists").flatten().to_numpy() for b in batches])
+        least, h1, h2 = (np.concatenate([b.column(c).to_numpy() for b in batches]) for c in ("id", "h1", "h2"))
+        order = np.argsort(lists, kind="stable")
+        self.numbers, starts, self.list_of = np.unique(lists[order], return_index=True, return_inverse=True)
+        self.bounds = np.append(starts, len(lists))
+        self.least, self.h1, self.h2 = least[order], h1[order], h2[order]
+        place, start = np.empty(len(lists), int), 0
+        place[order] = np.arange(len(lists))
+        self.matrix = np.empty((len(lists), len(batches[0].column("v")[0])))
+        for batch in batches:
+            self.matrix[place[start:start + len(batch)]] = plain(batch.column("v"))
+            start += len(batch)
+        self.squares = (self.matrix * self.matrix).sum(1)
+        by_vector = np.lexsort((self.h2, self.h1))
+        new = np.append(True, (np.diff(self.h1[by_vector]) != 0) | (np.diff(self.h2[by_vector]) != 0))
+        self.vector = np.empty(len(lists), int)
+        self.vector[by_vector] = np.cumsum(new)
+        self.most = int(np.bincount(self.vector).max())  # lists here that hold the same vector
+
+    def rough(self, queries: np.ndarray, reads: np.ndarray) -> np.ndarray:
+        """Rounded squares of distances but for a summand of each query; infinite where a list is not read."""
+        out = np.full((len(queries), -(-len(self.matrix) // GROUP) * GROUP), np.inf)
+        for n, (s, e) in enumerate(zip(self.bounds, self.bounds[1:])):
+            who = np.flatnonzero(reads[:, n])
+            if len(who):
+                out[slice(None) if len(who) == len(queries) else who, s:e] = self.squares[s:e] - 2 * queries[who] @ self.matrix[s:e].T
+        return out
+
+    def possible(self, queries: np.ndarray, reads: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, entry) among which are the ``k`` nearest vectors of each query, as far as the rounded squares tell."""
+        rough = self.rough(queries, reads)
+        least, wanted = rough.reshape(len(queries), -1, GROUP).min(axis=2), k * self.most
+        bound = np.partition(least, wanted - 1, axis=1)[:, wanted - 1] if wanted < least.shape[1] else np.full(len(queries), np.inf)
+        error = 8 * queries.shape[1] * np.finfo(float).eps * (self.squares.max() + (queries * queries).sum(1))
+        q, e = np.divmod(np.flatnonzero(~(rough > (bound + 2 * error)[:, None])), rough.shape[1])
+        q, e = q[e < len(self.matrix)], e[e < len(self.matrix)]
+        read = reads[q, self.list_of[e]]
+        return q[read], e[read]
+
+    def nearest(self, queries: np.ndarray, reads: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each query the ``k`` nearest vectors, by exact distance and then the smaller id: its number, the entry, the distance."""
+        q, e = self.possible(queries, reads, k)
+        far, rows = np.empty(len(q)), max(1, CELLS // queries.shape[1])
+        for s in range(0, len(q), rows):
+            far[s:s + rows] = np.sqrt(((self.matrix[e[s:s + rows]] - queries[q[s:s + rows]]) ** 2).sum(axis=1))
+        order = np.lexsort((self.vector[e], self.least[e], far, q))
+        q, e, far = q[order], e[order], far[order]
+        once = np.append(True, (np.diff(q) != 0) | (np.diff(self.vector[e]) != 0))[:len(q)]
+        q, e, far = q[once], e[once], far[once]
+        kept = np.arange(len(q)) - np.searchsorted(q, q) < k
+        return q[kept], e[kept], far[kept]
+
+    def answers(self, asked: pa.RecordBatch, k: int) -> Iterator[pa.RecordBatch]:
+        own = asked.column("lists")
+        lists = own.flatten().to_numpy()
+        at = np.minimum(np.searchsorted(self.numbers, lists), len(self.numbers) - 1)
+        here = self.numbers[at] == lists
+        reads = np.zeros((len(asked), len(self.numbers)), bool)
+        reads[np.repeat(np.arange(len(asked)), pc.list_value_length(own).to_numpy())[here], at[here]] = True
+        rows = max(1, CELLS // len(self.matrix))
+        for start in range(0, len(asked), rows):
+            part = asked.slice(start, rows)
+            q, e, far = self.nearest(vectors_of(part.column("v")), reads[start:start + rows], k)
+            one = part.take(pa.array(q))
+            yield pa.RecordBatch.from_arrays([one.column("id"), one.column("h1"), one.column("h2"), pa.array(self.h1[e]), pa.array(self.h2[e]), pa.array(self.least[e]),
+                                              pa.array(far)], names=["query_id", "q1", "q2", "h1", "h2", "least", "score"])
+
+
+def meet(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The ``k`` nearest entries for each query of each cell. Rows come cell by cell, a cell's entries before its queries."""
+    cell, held, shelf = None, [], None
+    for batch in batches:
+        cells, asks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "asks"))
+        cuts = np.flatnonzero((np.diff(cells) != 0) | (np.diff(asks.astype(int)) != 0)) + 1
+        for s, e in zip([0, *cuts], [*cuts, len(batch)]):
+            if s == e:
+                continue
+            if cells[s] != cell:
+                cell, held, shelf = cells[s], [], None
+            if not asks[s]:
+                held.append(batch.slice(s, e - s))
+                continue
+            if held:
+                shelf, held = Shelf(held), []
+            if shelf:
+                yield from shelf.answers(batch.slice(s, e - s), k)
+
+
+def cells_of(asked: DataFrame) -> DataFrame:
+    """``dim, shelf, first, parts``: the numbers of the cells of each shelf that is read, one for each part of its queries."""
+    most = F.greatest(F.lit(ASKED), F.floor(F.lit(MOST_ASKED) / (F.col("dim") + BESIDES)))
+    parts = asked.groupBy("dim", "shelf").agg(F.count("*").alias("n")).select("dim", "shelf", F.ceil(F.col("n") / most).cast("int").alias("parts"))
+    before = F.sum("parts").over(Window.orderBy("dim", "shelf").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("parts")
+    return parts.withColumn("first", before.cast("int"))  # the window has a row for each shelf
 
 
 def nearest(rows: DataFrame, step: int = QUERY_STEP, k: int = K) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row whose id is divisible by ``step`` its ``k`` nearest other rows found."""
     found = written(entries(rows), "vectors")
-    distinct = written(found.groupBy("h1", "h2").agg(F.first("v").alias("v"), F.min("vec_id").alias("least")), "distinct-vectors")
+    distinct = written(found.groupBy("h1", "h2").agg(F.first("v").alias("v"), F.min("vec_id").alias("id")), "distinct-vectors")
     fitted = {dim: (i.centroids, i.graph, i.ratio) for dim, i in fit_indexes(distinct).items()}
-    shared = rows.sparkSession.sparkContext.broadcast(fitted)
-    asked = written(found.filter(F.pmod("vec_id", F.lit(step)) == 0).dropDuplicates(["vec_id", "h1", "h2"]), "asked")
-    blocks = written(postings(distinct, shared), "postings")
-    chunks = written(questions(asked, shared, asked.count()), "questions")
-    left = blocks.join(chunks.select("dim", "list", "chunk"), ["dim", "list"])
-    right = chunks.join(blocks.select("dim", "list", "block"), ["dim", "list"])
-    right = right.toDF(*right.columns)  # columns of its own
-    cell = ["dim", "list", "block", "chunk"]
-    answers = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(
-        lambda b, q: meet(b, q, k + 1), "query_id long, q1 long, q2 long, h1 long, h2 long, least long, score double")
+    context = rows.sparkSession.sparkContext
+    shared = context.broadcast(fitted)
+    asked = written(found.filter(F.pmod("vec_id", F.lit(step)) == 0).dropDuplicates(["vec_id", "h1", "h2"]).withColumnRenamed("vec_id", "id"), "asked")
+    placed = written(postings(distinct, shared), "postings")
+    plan = shelves(placed, {dim: len(i[0]) for dim, i in fitted.items()})
+    put = written(questions(asked, shared, context.broadcast(plan), asked.count()), "questions")
+    cells = written(cells_of(put), "cells")
+    count = cells.agg(F.max(F.col("first") + F.col("parts"))).first()[0] or 1
+    row = ["cell", "asks", "lists", "id", "h1", "h2", "v"]
+    held = on_shelves(placed, plan).join(cells, ["dim", "shelf"]).withColumns(
+        {"cell": F.explode(F.sequence("first", F.col("first") + F.col("parts") - 1)), "asks": F.lit(False)}).select(*row)
+    part = F.pmod(F.xxhash64("id", "h1", "h2"), F.col("parts")).cast("int")
+    put = put.join(cells, ["dim", "shelf"]).withColumns({"cell": F.col("first") + part, "asks": F.lit(True)}).select(*row)
+    dealt = held.union(put).repartitionById(min(MOST_TASKS, count), F.col("cell")).sortWithinPartitions("cell", "asks")
+    answers = dealt.mapInArrow(lambda batches: meet(batches, k + 1), "query_id long, q1 long, q2 long, h1 long, h2 long, least long, score double")
     query = ["query_id", "q1", "q2"]
     once = answers.groupBy(*query, "h1", "h2", "least").agg(F.min("score").alias("score"))  # a vector may be in several lists
     first = once.withColumn("at", F.row_number().over(Window.partitionBy(*query).orderBy("score", "least"))).filter(F.col("at") <= k + 1)

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from basketry.llm import ann
@@ -84,3 +85,56 @@ def test_registered_query(spark, small):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{small}/embeddings.parquet").collect()]
     got = sorted(map(tuple, queries.QUERIES["op13_neighbours"](spark, small).collect()))
     assert recall(got, brute(rows)) >= 0.9
+
+
+def test_rows_between_the_steps_hold_one_vector(spark, monkeypatch):
+    """Blocks of entries or chunks of queries as rows made a reader hold thousands of them at once."""
+    tables, written = {}, ann.written
+    monkeypatch.setattr(ann, "written", lambda df, name: tables.setdefault(name, written(df, name)))
+    rows = list(enumerate(vectors(5, 1200)))
+    assert recall(map(tuple, ann.nearest(table(spark, rows)).collect()), brute(rows)) >= 0.9
+    assert len(tables) > 3
+    for df in tables.values():
+        assert not [c for c, kind in df.dtypes if "array<struct" in kind or "array<array" in kind]
+
+
+def test_shelves_and_their_queries_are_bounded(spark, monkeypatch):
+    """Long lists, a length that the sample lacks and many queries: same rows, and no task holds more than it may."""
+    rows = list(enumerate(vectors(6, 1500, 12))) + [(i, [1.0, i + 1.0]) for i in range(2000, 2400)] + [(i, [float(i % 7)] * 3) for i in range(3000, 3100)]
+    whole = sorted(map(tuple, ann.nearest(table(spark, rows), 3).collect()))
+    assert recall(whole, brute(rows, 3)) >= 0.9
+    for name, n in (("BLOCK", 16), ("ASKED", 7), ("SHELVES", 10000), ("SHELF", 40 * 32), ("MOST_ASKED", 30 * 32), ("CELLS", 4096)):
+        monkeypatch.setattr(ann, name, n)
+    fit_indexes, sent = ann.fit_indexes, {}
+    monkeypatch.setattr(ann, "fit_indexes", lambda distinct: {dim: index for dim, index in fit_indexes(distinct).items() if dim != 2})
+    for step in ("on_shelves", "cells_of"):
+        monkeypatch.setattr(ann, step, lambda *a, step=step, own=getattr(ann, step): sent.setdefault(step, own(*a)))
+    assert sorted(map(tuple, ann.nearest(table(spark, rows), 3).collect())) == whole
+    held = {tuple(r[:2]): r[2] for r in sent["on_shelves"].groupBy("dim", "shelf").count().collect()}
+    assert max(held.values()) <= 80 and len([k for k in held if k[0] == 2]) > 3
+    assert max(r["parts"] for r in sent["cells_of"].collect()) > 1
+
+
+def test_packed_lists():
+    first, of = ann.packed([3, 4, 25, 0, 2, 10, 1], 10)
+    assert (first.tolist(), of.tolist()) == ([0, 0, 1, 4, 4, 5, 6], [1, 1, 3, 1, 1, 1, 1])
+
+
+@pytest.mark.parametrize("cut", [1, 3, 1000])
+def test_cells_meet_their_queries_whatever_the_batches(cut):
+    """Against plain loops: vectors in several lists, lists that are not read, cells without entries, equal distances."""
+    rnd = np.random.default_rng(7)
+    points = rnd.integers(0, 4, (40, 3)).astype(float).tolist()
+    rows, want = [], []
+    for cell in range(6):
+        held = [(n, int(lists)) for n in range(40) for lists in rnd.choice(5, 2, replace=False)] if cell != 3 else []
+        asks = [(100 + q, sorted(rnd.choice(6, 3, replace=False).tolist()), rnd.integers(0, 4, 3).astype(float).tolist()) for q in range(9 if cell != 4 else 0)]
+        rows += [(cell, False, [one], n, n, -n, points[n]) for n, one in held] + [(cell, True, lists, q, cell, q, v) for q, lists, v in asks]
+        for q, lists, v in asks:
+            found = sorted({(math.dist(points[n], v), n) for n, one in held if one in lists})[:4]
+            want += [(q, cell, q, n, -n, n, far) for far, n in found]
+    kind = pa.schema([("cell", pa.int32()), ("asks", pa.bool_()), ("lists", pa.list_(pa.int32())), ("id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("v", pa.list_(pa.float32()))])
+    batches = pa.Table.from_pylist([dict(zip(kind.names, r)) for r in rows], kind).to_batches(max_chunksize=cut)
+    got = [tuple(r.values()) for batch in ann.meet(iter(batches), 4) for r in batch.to_pylist()]
+    assert [g[:6] for g in sorted(got)] == [w[:6] for w in sorted(want)]
+    assert [g[6] for g in sorted(got)] == pytest.approx([w[6] for w in sorted(want)])
